@@ -1,0 +1,17 @@
+"""Broadcast only what was measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+MAX_BROADCAST_ROWS = 200_000
+
+
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """Reads at most max_rows + 1 rows of the side in question."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint when the side is proven small; otherwise the join shuffles."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
