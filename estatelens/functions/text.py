@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 from estatelens.config import LEGAL_SUFFIXES
 from estatelens.functions.arrays import ColumnLike, _c
 
+WHITESPACE = " \t\n\r\x0b\x0c"
 IPV4 = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"
 
 
@@ -14,6 +15,11 @@ def null_if_empty(col: Column) -> Column:
     return F.when(col != "", col)
 
 
+def stripped(col: ColumnLike) -> Column:
+    """Without leading and trailing whitespace of any kind."""
+    return F.trim(_c(col), F.lit(WHITESPACE))
+
+
 def org_normalised(org: ColumnLike) -> Column:
     """Lower-case, punctuation to spaces, legal-form words dropped, trimmed; empty gives null."""
     plain = F.regexp_replace(F.lower(_c(org)), "[^a-z0-9 ]", " ")
@@ -35,7 +41,7 @@ def is_address(name: ColumnLike) -> Column:
 
 def heartbleed_verdict(raw: ColumnLike) -> Column:
     """The text after the last `` - `` of a probe line."""
-    return null_if_empty(F.trim(F.substring_index(F.trim(_c(raw)), " - ", -1)))
+    return null_if_empty(stripped(F.substring_index(stripped(raw), " - ", -1)))
 
 
 def sequential_name(hostname: Column) -> Column:

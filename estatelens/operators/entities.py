@@ -116,11 +116,14 @@ def entity_facets(hosts: DataFrame, names=None) -> DataFrame:
     def pair(name: str, value: Column) -> Column:
         return F.struct(F.lit(name).alias("facet"), value.alias("value"))
 
+    def each(name: str):
+        return lambda v: pair(name, v)
+
     pairs = F.array(*[pair(name, FACETS[name]()) for name in names if name in FACETS])
     for name in names:
         if name in ARRAY_FACETS:
             pairs = F.concat(pairs, F.coalesce(
-                F.transform(ARRAY_FACETS[name](), lambda v, name=name: pair(name, v)),
+                F.transform(ARRAY_FACETS[name](), each(name)),
                 F.array().cast("array<struct<facet:string,value:string>>")))
     return (hosts.select("entity_domain", F.col("ip").isNotNull().cast("int").alias("has_ip"),
                          F.inline(pairs))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from estatelens.config import ENTITY_CLASSES, LABEL_WORDS
+from estatelens.functions.text import fixed_point, stripped
 from estatelens.operators.verdicts import UnknownClass
 
 METRICS = ("precision", "recall", "f1")
@@ -86,7 +87,7 @@ def accuracy(pairs_df: DataFrame, by_batch: bool = True) -> DataFrame:
 
 def delta_column(now: Column, before: Column) -> Column:
     diff = now - before
-    signed = F.format_string("%+.2f", diff)
+    signed = F.concat(F.when(diff < 0, "-").otherwise("+"), fixed_point(F.abs(diff), 2))
     return (F.when(diff.isNull(), "").when(F.abs(diff) < 0.005, "=").otherwise(signed))
 
 
@@ -135,13 +136,13 @@ def parse_worksheet(lines: DataFrame, words: dict[str, str] = LABEL_WORDS) -> Da
     value = F.col("value")
     right = F.substring(value, F.instr(value, "->") + 2, F.length(value))
     left = F.substring_index(value, "->", 1)
-    answer = F.lower(F.trim(F.substring_index(right, "#", 1)))
+    answer = F.lower(stripped(F.substring_index(right, "#", 1)))
     note = F.when(F.instr(right, "#") > 0,
-                  F.trim(F.substring(right, F.instr(right, "#") + 1, F.length(right))))
+                  stripped(F.substring(right, F.instr(right, "#") + 1, F.length(right))))
     label = F.lit(None).cast("string")
     for word, cls in words.items():
         label = F.when(F.col("answer") == word, cls).otherwise(label)
-    rows = (lines.filter(~F.ltrim("value").startswith("#") & value.contains("->"))
+    rows = (lines.filter(~stripped("value").startswith("#") & value.contains("->"))
             .select(F.regexp_extract(left, r"\d+\.\s*(\S+)", 1).alias("entity_domain"),
                     answer.alias("answer"), F.coalesce(note, F.lit("")).alias("note"))
             .filter("entity_domain <> ''").withColumn("true_class", label))

@@ -98,9 +98,10 @@ def profile_breakdowns(scan: DataFrame) -> DataFrame:
 
     The rank filter is pushed below the shuffle, so only k rows per breakdown and task move.
     """
-    pairs = [F.transform(F.coalesce(col(), F.array().cast("array<string>")),
-                         lambda v, name=name: F.struct(F.lit(name).alias("breakdown"),
-                                                       v.alias("value")))
+    def each(name: str):
+        return lambda v: F.struct(F.lit(name).alias("breakdown"), v.alias("value"))
+
+    pairs = [F.transform(F.coalesce(col(), F.array().cast("array<string>")), each(name))
              for name, (col, _) in BREAKDOWNS.items()]
     counted = (scan.select(F.inline(F.concat(*pairs))).filter("value is not null")
                .groupBy("breakdown", "value").agg(F.count(F.lit(1)).alias("n")))
@@ -114,6 +115,15 @@ def profile_breakdowns(scan: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- raw JSON
+def _at_cut() -> Column:
+    path = F.col("path")
+    return F.length(path) - F.length(F.replace(path, F.lit("."), F.lit(""))) >= MAX_SEGMENTS - 1
+
+
+def _is_object() -> Column:
+    return F.schema_of_variant("node").startswith("OBJECT")
+
+
 def path_inventory(lines: DataFrame, value: str = "value") -> DataFrame:
     """(path, filled, rate): dotted paths with how many records fill them.
 
@@ -122,24 +132,26 @@ def path_inventory(lines: DataFrame, value: str = "value") -> DataFrame:
     """
     parsed = lines.select(F.try_parse_json(value).alias("node")).filter("node is not null")
     total = parsed.agg(F.count(F.lit(1)).alias("total"))
-    nodes = parsed.select(F.lit("").alias("path"), "node")
-    leaves = []
-    dots = F.length("path") - F.length(F.replace(F.col("path"), F.lit("."), F.lit("")))
-    kind = F.schema_of_variant("node")
-    for _ in range(MAX_SEGMENTS + 1):
-        cut = dots >= MAX_SEGMENTS - 1
-        is_object = kind.startswith("OBJECT")
-        leaf = cut | (~is_object & (kind != "VOID")
-                      & ~(kind.startswith("ARRAY") & (F.to_json("node") == "[]")))
-        leaves.append(nodes.filter(leaf).select("path"))
+    explode = lines.sparkSession.tvf.variant_explode_outer
+
+    def step(nodes: DataFrame) -> DataFrame:
+        # Rows that cannot be opened pass through with a null key and keep their path.
         child = F.when(F.col("path") == "", F.col("key")).otherwise(
             F.concat("path", F.lit("."), "key"))
-        nodes = (nodes.filter(~cut & is_object)
-                 .lateralJoin(lines.sparkSession.tvf.variant_explode(F.col("node").outer()))
-                 .select(child.alias("path"), F.col("value").alias("node")))
-    found = leaves[0]
-    for more in leaves[1:]:
-        found = found.unionAll(more)
+        opened = F.when(~_at_cut() & _is_object(), F.col("node"))
+        return (nodes.withColumn("opened", opened)
+                .lateralJoin(explode(F.col("opened").outer()))
+                .select(F.when(F.col("key").isNull(), F.col("path")).otherwise(child).alias("path"),
+                        F.when(F.col("key").isNull(), F.col("node")).otherwise(F.col("value"))
+                        .alias("node")))
+
+    nodes = parsed.select(F.lit("").alias("path"), "node")
+    for _ in range(MAX_SEGMENTS):
+        nodes = step(nodes)
+    kind = F.schema_of_variant("node")
+    empty = ((kind == "VOID") | _is_object()
+             | (kind.startswith("ARRAY") & (F.to_json("node") == "[]")))
+    found = nodes.filter(_at_cut() | ~empty)
     counts = found.groupBy("path").agg(F.count(F.lit(1)).alias("filled"))
     return (counts.join(F.broadcast(total))          # one row
             .select("path", "filled", (F.lit(100.0) * F.col("filled") / F.col("total"))

@@ -31,8 +31,8 @@ def facet_profile(facets: DataFrame) -> DataFrame:
         sorted_values("product").alias("products"))
 
 
-def headline(hosts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """The most urgent finding by exploitation probability.
+def headline_best(hosts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The winning record per entity as comparable structs: partial results merge by maximum.
 
     Fixed: all five columns come from one record, chosen among the records that carry a finding
     by (epss, cvss, id) with the remaining columns as last tie-break. Parity: each column is the
@@ -42,7 +42,7 @@ def headline(hosts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     if settings.parity:
         def best(column: str):
             c = F.col(column)
-            return F.max(F.when(c.isNotNull(), F.struct(epss.alias("k"), c.alias("x"))))["x"]
+            return F.max(F.when(c.isNotNull(), F.struct(epss.alias("k"), c.alias("x"))))
 
         return hosts.groupBy("entity_domain").agg(
             *[best(source).alias(name) for name, source in HEADLINE.items()])
@@ -51,9 +51,20 @@ def headline(hosts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
                    *[F.col(c) for c in ("product", "version", "top_cve_summary",
                                         "top_cve_cvss")])
     return (hosts.filter("top_cve is not null").groupBy("entity_domain")
-            .agg(F.max(row).alias("best"))
-            .select("entity_domain",
-                    *[F.col(f"best.{source}").alias(name) for name, source in HEADLINE.items()]))
+            .agg(F.max(row).alias("best")))
+
+
+def headline_columns(best: DataFrame) -> DataFrame:
+    if "best" in best.columns:
+        picked = [F.col(f"best.{source}").alias(name) for name, source in HEADLINE.items()]
+    else:
+        picked = [F.col(f"{name}.x").alias(name) for name in HEADLINE]
+    return best.select("entity_domain", *picked)
+
+
+def headline(hosts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The most urgent finding by exploitation probability."""
+    return headline_columns(headline_best(hosts, settings))
 
 
 def entity_signals(hosts: DataFrame, measures: DataFrame | None = None,
