@@ -447,8 +447,8 @@ def price_calls(spark, sf):
                "when 2 then 'claude-opus-5' else 'other' end").alias("model"))
     n = F.col("n")
     return plain(usage.select(
-        "conv_id", "turn", pricing.price_call("model", n, n * 2, F.when(n % 2 == 0, n), n + 1)
-        .alias("cost_usd"), pricing.cache_floor("model").alias("floor")))
+        "conv_id", "turn", (pricing.price_call("model", n, n * 2, F.when(n % 2 == 0, n), n + 1) * 1e6)
+        .alias("cost_microusd"), pricing.cache_floor("model").alias("floor")))
 
 
 @query
