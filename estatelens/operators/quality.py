@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, functions as F
 
 from estatelens import config
 from estatelens.functions.arrays import matching
@@ -88,6 +88,15 @@ def checks() -> dict[str, list[Check]]:
     }
 
 
+def _status(failed: Column, error_above: Column, warn_above: Column) -> Column:
+    return F.when(failed > error_above, "error").when(failed > warn_above, "warn").otherwise("pass")
+
+
+def _limits(check: Check) -> list[Column]:
+    return [F.lit(check.error_above).cast("bigint").alias("error_above"),
+            F.lit(check.warn_above).cast("bigint").alias("warn_above")]
+
+
 def report(df: DataFrame, table: str, checks_: list[Check]) -> DataFrame:
     """(table, check, failed, status) with status pass, warn or error."""
     parts = []
@@ -95,26 +104,50 @@ def report(df: DataFrame, table: str, checks_: list[Check]) -> DataFrame:
     if flat:
         counts = df.agg(*[matching(c.condition).alias(f"c{i}") for i, c in enumerate(flat)])
         parts.append(counts.select(F.inline(F.array(*[
-            F.struct(F.lit(c.name).alias("check"), F.col(f"c{i}").alias("failed"),
-                     F.lit(c.error_above).cast("bigint").alias("error_above"),
-                     F.lit(c.warn_above).cast("bigint").alias("warn_above"))
+            F.struct(F.lit(c.name).alias("check"), F.col(f"c{i}").alias("failed"), *_limits(c))
             for i, c in enumerate(flat)]))))
     for c in checks_:
         if c not in flat:
             parts.append(c.offending(df).agg(F.count(F.lit(1)).alias("failed")).select(
-                F.lit(c.name).alias("check"), "failed",
-                F.lit(c.error_above).cast("bigint").alias("error_above"),
-                F.lit(c.warn_above).cast("bigint").alias("warn_above")))
+                F.lit(c.name).alias("check"), "failed", *_limits(c)))
     rows = reduce(DataFrame.unionByName, parts)
-    status = (F.when(F.col("failed") > F.col("error_above"), "error")
-               .when(F.col("failed") > F.col("warn_above"), "warn").otherwise("pass"))
+    status = _status(F.col("failed"), F.col("error_above"), F.col("warn_above"))
     return rows.select(F.lit(table).alias("table"), "check", "failed", status.alias("status"))
 
 
-def enforce(df: DataFrame, table: str, checks_: list[Check]) -> list:
-    """Run the checks of a written layer; raise on the first table with an error."""
-    rows = report(df, table, checks_).collect()      # one row per check
+def watch(df: DataFrame, checks_: list[Check]) -> tuple[DataFrame, Observation | None]:
+    """Count the failing rows of every row check while the table is written, at no extra scan."""
+    rows = [(i, c) for i, c in enumerate(checks_) if c.kind == "row"]
+    if not rows:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *[matching(c.condition).alias(f"c{i}") for i, c in rows]), seen
+
+
+def watched_report(seen: Observation | None, df: DataFrame, table: str,
+                   checks_: list[Check]) -> list[Row]:
+    """Report from the counts taken during the write. A second look at the table is needed for
+    uniqueness, and for grouped checks that found anything."""
+    counts = seen.get if seen is not None else {}
+    done, open_ = [], []
+    for i, c in enumerate(checks_):
+        failed = counts.get(f"c{i}")
+        if failed is None or (c.group_by and failed):
+            open_.append(c)
+            continue
+        status = ("error" if failed > c.error_above else
+                  "warn" if c.warn_above is not None and failed > c.warn_above else "pass")
+        done.append(Row(table=table, check=c.name, failed=failed, status=status))
+    return done + (report(df, table, open_).collect() if open_ else [])      # one row per check
+
+
+def refuse_errors(rows: list[Row]) -> list[Row]:
     failed = [r for r in rows if r.status == "error"]
     if failed:
         raise QualityError("; ".join(f"{r.table}.{r.check}: {r.failed}" for r in failed))
     return rows
+
+
+def enforce(df: DataFrame, table: str, checks_: list[Check]) -> list[Row]:
+    """Check a stored table; raise when any check is in error."""
+    return refuse_errors(report(df, table, checks_).collect())               # one row per check

@@ -1,12 +1,15 @@
 """The layer runner: build, write, check, stop on error.
 
-Staging is a view. Every later layer is a Parquet table, checked after it is written and before
-the next one is built, so a failing check blocks everything downstream. Re-scoring starts from
-the signals table and never reads the scan again.
+Staged hosts and entity hosts are row-local, so they stay views: the three aggregates read disjoint
+columns of the scan table, which costs less than writing and re-reading a second copy of it.
+Every later layer is a Parquet table, checked before the next one is built, so a failing check
+blocks everything downstream. Row checks are counted while rows pass and cost no scan of their own.
+Re-scoring starts from the signals table and never reads the scan again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from estatelens.config import DEFAULTS, Settings
 from estatelens.operators import entities, quality, queueing, scoring, signals, staging
 
-# What the layers after the host table read. The rest stays in the scan table.
+# A host table carries what the aggregates read. The rest stays in the scan table.
 HOST_COLUMNS = (
     "entity_domain", "entity_source", "ip", "hostnames", "asn", "port", "org_normalised",
     "country_code", "country_name", "region_code", "city", "product", "version",
@@ -43,47 +46,66 @@ class Layers:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def write(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        writer = df.write.mode("overwrite").option("compression", "zstd")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(name))
-        stored = self.spark.read.schema(df.schema).parquet(self.path(name))
-        self.check(name, stored)
+    def _store(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a layer and check it."""
+        checks = quality.checks().get(name, [])
+        watched, seen = quality.watch(df, checks)
+        stored = self._store(name, watched)
+        self.judge(quality.watched_report(seen, stored, name, checks))
         return stored
 
+    def judge(self, rows: list) -> None:
+        self.reports += quality.refuse_errors(rows) if self.enforce else rows
+
     def check(self, name: str, df: DataFrame) -> None:
-        checks = quality.checks().get(name)
-        if not checks:
-            return
-        if self.enforce:
-            self.reports += quality.enforce(df, name, checks)
-        else:
-            self.reports += quality.report(df, name, checks).collect()   # one row per check
+        """Check a table somebody else stored."""
+        self.judge(quality.report(df, name, quality.checks()[name]).collect())   # few rows
 
     # ------------------------------------------------------------------------- the pipeline
-    def build_hosts(self, scan: DataFrame, as_of) -> DataFrame:
-        staged = staging.stage(scan, as_of)
-        self.check("staged", staged)
-        return self.write("hosts", entities.entity_hosts(staged).select(*HOST_COLUMNS))
-
-    def build_partials(self, hosts: DataFrame, settings: Settings = DEFAULTS):
-        """The three entity aggregates everything else is made of. Facets are partitioned by
-        kind, so a reader of one kind skips the others."""
-        return (self.write("measures", entities.entity_measures(hosts)),
-                self.write("facets", entities.entity_facets(hosts), ("facet",)),
+    def host_view(self, scan: DataFrame, as_of) -> tuple[DataFrame, Callable[[], None]]:
+        """Entity hosts with their checks attached; call the second value after the first write
+        that reads them."""
+        contract = quality.checks()
+        staged, on_staged = quality.watch(staging.stage(scan, as_of), contract["staged"])
+        plain_hosts = entities.entity_hosts(staging.stage(scan, as_of))
+        hosts, on_hosts = quality.watch(entities.entity_hosts(staged), contract["hosts"])
+
+        def judge() -> None:
+            self.judge(quality.watched_report(on_staged, staging.stage(scan, as_of), "staged",
+                                              contract["staged"]))
+            self.judge(quality.watched_report(on_hosts, plain_hosts, "hosts", contract["hosts"]))
+
+        return hosts, judge
+
+    def write_hosts(self, scan: DataFrame, as_of) -> DataFrame:
+        """The entity hosts as a table, for users who query them directly."""
+        hosts, judge = self.host_view(scan, as_of)
+        self._store("hosts", hosts.select(*HOST_COLUMNS))
+        judge()
+        return self.read("hosts")
+
+    def build_partials(self, scan: DataFrame, as_of, settings: Settings = DEFAULTS):
+        """The three entity aggregates everything else is made of."""
+        watched, judge = self.host_view(scan, as_of)
+        hosts = entities.entity_hosts(staging.stage(scan, as_of))
+        measures = self.write("measures", entities.entity_measures(watched))
+        judge()
+        return (measures, self.write("facets", entities.entity_facets(hosts)),
                 self.write("headlines", signals.headline(hosts, settings)))
 
     def build(self, scan: DataFrame, providers: DataFrame, as_of,
               settings: Settings = DEFAULTS) -> DataFrame:
         """Scan table to ordered queue."""
         self.check("providers", providers)
-        hosts = self.build_hosts(scan, as_of)
-        measures, facets, headlines = self.build_partials(hosts, settings)
-        rollup = entities.entity_rollup(hosts, measures, facets)
+        measures, facets, headlines = self.build_partials(scan, as_of, settings)
+        rollup = self.write("rollup", entities.entity_rollup(None, measures, facets))
         classification = self.write(
             "classification", entities.classify_by_rule(rollup, providers, settings))
-        self.write("signals", signals.company_signals(hosts, classification, measures, facets,
+        self.write("signals", signals.company_signals(None, classification, measures, facets,
                                                       settings, headlines))
         return self.rescore(settings)
 

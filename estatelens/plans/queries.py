@@ -20,7 +20,7 @@ from estatelens.operators import (audit, curated, entities, evaluation, findings
                                   staging, verdicts)
 from estatelens.plans.layers import HOST_COLUMNS
 from estatelens.plans.star_view import AS_OF, raw_records, scan_view
-from estatelens.session import apply_settings, shared_dir, written
+from estatelens.session import apply_settings, shared_dir, spread, written
 from estatelens.sources import providers
 from estatelens.streaming import ingest as stream_ingest, refresh as stream_refresh
 
@@ -63,6 +63,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """For work that is heavy per row."""
+    return spread(read(spark, sf_dir, name))
+
+
 # ------------------------------------------------------------------------------ shared layers
 _TABLES: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -75,6 +80,8 @@ def _build(spark: SparkSession, sf: str, name: str) -> DataFrame:
         return raw_records(spark, sf)
     if base == "hosts":
         return entities.entity_hosts(staged(spark, sf)).select(*HOST_COLUMNS)
+    if base == "rollup":
+        return entities.entity_rollup(None, get("measures"), get("facets"))
     if base == "measures":
         return entities.entity_measures(get("hosts"))
     if base == "facets":
@@ -105,7 +112,7 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return entities.entity_rollup(None, table(spark, sf, "measures"), table(spark, sf, "facets"))
+    return table(spark, sf, "rollup")
 
 
 def scores(spark: SparkSession, sf: str, mode: str = "fixed") -> DataFrame:
@@ -196,7 +203,7 @@ VULN_JSON = """concat('{', case when l_linenumber <= 5 then concat(
 
 @query
 def vuln_summary(spark, sf):
-    lines = read(spark, sf, "lineitem").select(
+    lines = read_spread(spark, sf, "lineitem").select(
         "l_orderkey", F.from_json(F.expr(VULN_JSON), "map<string,string>").alias("vulns"))
     found = lines.withColumn("found", vulns.findings(F.col("vulns")))
     return plain(found.select("l_orderkey", projection.sorted_keys(F.col("vulns")).alias("cves"),
@@ -217,7 +224,7 @@ def service_presence(spark, sf):
 @query
 def heartbleed_verdict(spark, sf):
     probe = F.concat("text", F.lit(" - "), "lang", F.lit(" \n"))
-    return read(spark, sf, "documents").select(
+    return read_spread(spark, sf, "documents").select(
         "doc_id", text.heartbleed_verdict("text").alias("from_text"),
         text.heartbleed_verdict(probe).alias("from_probe"))
 
@@ -259,7 +266,7 @@ def org_normalised(spark, sf):
     names = (read(spark, sf, "supplier").select(F.concat("s_name", F.lit(" Co., LTD")).alias("org"))
              .unionAll(read(spark, sf, "part").select(F.concat(F.initcap("p_name"),
                                                                F.lit(" S.A. (GmbH)"))))
-             .unionAll(read(spark, sf, "documents").select("text")))
+             .unionAll(read_spread(spark, sf, "documents").select("text")))
     return names.select(text.org_normalised("org").alias("org_normalised"))
 
 

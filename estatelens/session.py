@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Aggregates over strings keep hashing instead of sorting after 128 keys.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # HotSpot never compiles a method above 8000 bytes of bytecode; wide rows run faster when such
+    # a stage is split into smaller methods than fused into one that stays interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A repeated JSON key keeps its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -50,6 +53,13 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores when the input has fewer splits than cores (one small file, say). Large
+    inputs pass through unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def written(df: DataFrame, name: str = "step") -> DataFrame:
     """Cut lineage by writing a Parquet table to the shared folder and reading it back.
 

@@ -45,8 +45,9 @@ def test_layers_equal_one_lazy_plan(spark, tmp_path):
     queued = layers.build(scan(spark, rows), providers.builtin(spark), AS_OF)
     assert as_rows(layers.read("scores")) == as_rows(batch_scores(spark, rows))
     assert queued.count() > 0 and all(r.status == "pass" for r in layers.reports)
-    facets = layers.read("facets").filter("facet = 'port'")
-    assert "PartitionFilters: [isnotnull(facet" in facets._jdf.queryExecution().toString()
+    assert {r.table for r in layers.reports} >= {"staged", "hosts", "scores", "queue", "providers"}
+    hosts = layers.write_hosts(scan(spark, rows), AS_OF)
+    assert as_rows(E.entity_measures(hosts)) == as_rows(layers.read("measures"))
 
 
 def test_rescoring_reads_only_signals(spark, tmp_path):
@@ -62,7 +63,7 @@ def test_bad_row_stops_the_run(spark, tmp_path):
     layers = Layers(spark, str(tmp_path))
     with pytest.raises(QualityError, match="entities_are_not_addresses: 1"):
         layers.build(scan(spark, rows), providers.builtin(spark), AS_OF)
-    assert os.path.exists(tmp_path / "hosts") and not os.path.exists(tmp_path / "classification")
+    assert os.path.exists(tmp_path / "measures") and not os.path.exists(tmp_path / "classification")
 
 
 def test_warning_threshold(spark):
