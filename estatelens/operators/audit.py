@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from estatelens.config import DEFAULTS, Settings
 from estatelens.functions.arrays import matching
 from estatelens.operators.entities import apply_rules, rule_cascade, seed_match
-from estatelens.operators.evaluation import pairs  # noqa: F401  (exclusion precision uses it)
 from estatelens.operators.ranking import with_position, with_running_total
 from estatelens.operators.sampling import shuffle_key
 
@@ -19,14 +18,14 @@ def funnel(staged: DataFrame, scores: DataFrame, settings: Settings = DEFAULTS)
     open_ = F.col("rule_class") == "unresolved"
     queued = open_ & (F.col("n_signal_categories") >= 1) & (F.col("n_hosts") >= settings.min_hosts)
     records = staged.agg(F.count(F.lit(1)).alias("records"))
-    entities = scores.agg(F.count(F.lit(1)).alias("entities"),
-                          matching(open_).alias("unresolved"), matching(queued).alias("queued"))
+    counted = scores.agg(F.count(F.lit(1)).alias("entities"),
+                         matching(open_).alias("unresolved"), matching(queued).alias("queued"))
     stages = ("records", "entities", "unresolved", "queued")
     steps = [F.struct(F.lit(i).alias("step"), F.lit(s).alias("stage"), F.col(s).alias("n"),
                       ((F.col(stages[i - 1]) - F.col(s)) if i > 1 else
                        F.lit(None).cast("bigint")).alias("removed"))
              for i, s in enumerate(stages)]
-    return records.join(F.broadcast(entities)).select(F.inline(F.array(*steps)))  # one row each
+    return counted.withColumn("records", records.scalar()).select(F.inline(F.array(*steps)))
 
 
 def rule_evidence_split(classification: DataFrame) -> DataFrame:
@@ -102,8 +101,6 @@ def consistency_summary(matrix: DataFrame) -> DataFrame:
 def exclusion_sample(classification: DataFrame, per_family: int = 50,
                      seed: str = "audit") -> DataFrame:
     """Random entities per rule family, to check what the rules removed."""
-    from pyspark.sql import Window
-
     ranked = Window.partitionBy("rule_evidence").orderBy("_h", "entity_domain")
     return (classification.filter("rule_evidence is not null")
             .withColumn("_h", shuffle_key(seed)).withColumn("_rn", F.row_number().over(ranked))
@@ -143,4 +140,5 @@ def percentile_tiers(scores: DataFrame, column: str = "intent_score", tiles: int
     big_rows = extra * (small + 1)
     tile = F.when(F.col("place") < big_rows, F.floor(F.col("place") / (small + 1))).otherwise(
         extra + F.floor((F.col("place") - big_rows) / F.greatest(small, F.lit(1))))
-    return placed.join(F.broadcast(size)).withColumn("tile", tile + 1).drop("total", "place")
+    return (placed.withColumn("total", size.scalar()).withColumn("tile", tile + 1)
+            .drop("total", "place"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from estatelens.config import ENTITY_CLASSES, LABEL_WORDS
+from estatelens.functions.arrays import literals
 from estatelens.functions.text import fixed_point, stripped
 from estatelens.operators.verdicts import UnknownClass
 
@@ -56,9 +57,8 @@ def confusion(pairs_df: DataFrame, classes=ENTITY_CLASSES, by_batch: bool = True
          .otherwise(F.array(counts("true_class", 0, 0, 1), counts("predicted", 0, 1, 0)))))
     found = _grouping(long, ["class"], by_batch).agg(
         *[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
-    wanted = pairs_df.sparkSession.createDataFrame([(c,) for c in classes], "class STRING")
     groups = _grouping(pairs_df, [], by_batch).agg(F.count(F.lit(1)).alias("n"))
-    frame = groups.select("batch").join(F.broadcast(wanted))   # batches x six classes
+    frame = groups.select("batch", F.explode(literals(classes)).alias("class"))
     zero = F.lit(0).cast("bigint")
     filled = (frame.alias("w").join(
         found.alias("c"), (F.col("w.class") == F.col("c.class"))

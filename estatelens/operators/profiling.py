@@ -153,9 +153,8 @@ def path_inventory(lines: DataFrame, value: str = "value") -> DataFrame:
              | (kind.startswith("ARRAY") & (F.to_json("node") == "[]")))
     found = nodes.filter(_at_cut() | ~empty)
     counts = found.groupBy("path").agg(F.count(F.lit(1)).alias("filled"))
-    return (counts.join(F.broadcast(total))          # one row
-            .select("path", "filled", (F.lit(100.0) * F.col("filled") / F.col("total"))
-                    .alias("rate")))
+    return counts.select("path", "filled",
+                         (F.lit(100.0) * F.col("filled") / total.scalar()).alias("rate"))
 
 
 def value_frequencies(lines: DataFrame, path: str, k: int | None = 25,

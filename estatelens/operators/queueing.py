@@ -85,8 +85,7 @@ def estimate(queued: DataFrame, template: str, system: str, model: str,
     uncached = price_call(name, n * (block + user), zero, zero, n * output_tokens)
     cached = price_call(name, n * user, F.greatest(zero, n - 1) * block, block, n * output_tokens)
     fits = block >= cache_floor(name)
-    return (sizes.join(F.broadcast(head))            # one row each
-            .filter("entities > 0")
+    return (sizes.withColumn("user_tokens", head.scalar()).filter("entities > 0")
             .select("entities", F.lit(len(system) / chars_per_token).alias("system_tokens"),
                     F.lit(len(tool) / chars_per_token).alias("tool_tokens"),
                     "user_tokens", cache_floor(name).alias("cache_floor"),

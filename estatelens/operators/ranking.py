@@ -61,7 +61,7 @@ def value_at(df: DataFrame, column: str, fractions: dict[str, float]) -> DataFra
     histogram = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     running = with_running_total(histogram, [column], F.col("n"), "up_to")
     size = running.agg(F.max("up_to").alias("size"))
-    located = running.join(F.broadcast(size))
+    located = running.withColumn("size", size.scalar())
     picks = []
     for name, fraction in fractions.items():
         index = F.floor(F.col("size") * F.lit(float(fraction)))

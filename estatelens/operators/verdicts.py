@@ -238,7 +238,7 @@ def trace_totals(traces: DataFrame) -> DataFrame:
         F.round(F.coalesce(F.sum("cost_usd"), F.lit(0.0)), 4).alias("cost_usd"))
     latency = traces.select(F.coalesce("latency_ms", F.lit(0)).alias("latency_ms"))
     picked = value_at(latency, "latency_ms", {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95})
-    return totals.join(F.broadcast(picked))         # one row each
+    return totals.select("*", *[picked.select(c).scalar().alias(c) for c in picked.columns])
 
 
 def decision_histogram(traces: DataFrame) -> DataFrame:
