@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from estatelens import schemas
 from estatelens.config import DEFAULTS, ENTITY_CLASSES, LABEL_WORDS, PARITY, PROSPECT_CLASSES
 from estatelens.functions import arrays as A, domains, pricing, text, vulns
 from estatelens.operators import (audit, curated, entities, evaluation, findings, profiling,
@@ -852,7 +853,8 @@ def stream_refresh_scores(spark, sf):
     for part in range(3):
         scan.filter(F.pmod(F.hash("ip", "port", "scanned_at"), F.lit(3)) == part).write.parquet(
             f"{home}/in/part={part}")
-    source = stream_refresh.scan_stream(spark, f"{home}/in", max_files=1)
+    n_files = len(spark.read.schema(schemas.SCAN).parquet(f"{home}/in").inputFiles())
+    source = stream_refresh.scan_stream(spark, f"{home}/in", max_files=-(-n_files // 3))
     stream = stream_refresh.refresh(source, f"{home}/state", f"{home}/checkpoint",
                                     providers.builtin(spark), AS_OF)
     stream.awaitTermination()
