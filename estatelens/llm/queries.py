@@ -6,9 +6,9 @@ import functools
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from estatelens.llm import dac, packing
+from estatelens.llm import dac, langid, mixing, packing, rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +38,40 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    learned = rules.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return rules.judge(docs, learned, "verdict").select(
+        "doc_id", *[f"verdict.{c}" for c in rules.COUNTS[:5]], "verdict.base_failed",
+        "verdict.kept", "verdict.rule")
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    samples = langid.learn(docs)
+    return langid.identify(docs.select("doc_id", "text"), samples, "found").select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "found.lang_pred",
+        "found.score")
+
+
+@query
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "source", "text")
+    return mixing.plan(docs, "plan", carry_text=False).select(
+        "doc_id", "plan.size", "plan.source_size", "plan.target", "plan.taken", "source")
+
+
 @query
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_documents(dac.write_files(documents(spark, sf_dir)))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    machine = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, machine, "score").select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
