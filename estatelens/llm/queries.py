@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from estatelens.llm import dac, langid, mixing, packing, rules, toxicity
+from estatelens.llm import (dac, langid, mixing, packing, rules, substring, suffixes, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,6 +63,20 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "plan.size", "plan.source_size", "plan.target", "plan.taken", "source")
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = substring.mark(documents(spark, sf_dir).select("doc_id", "text"), "m")
+    return marked.select("doc_id", F.col("m.n_items").alias("n_words"), "m.n_removed",
+                         F.sha2("m.kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = suffixes.mark(documents(spark, sf_dir).select("doc_id", "text"), "m")
+    return marked.select("doc_id", F.col("m.n_items").alias("n_bytes"), "m.n_removed", "m.n_spans",
+                         F.sha2("m.kept", 256).alias("kept_sha256"))
+
+
 @query
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_documents(dac.write_files(documents(spark, sf_dir)))
