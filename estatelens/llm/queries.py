@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from estatelens.llm import (dac, langid, mixing, packing, rules, substring, suffixes, toxicity)
+from estatelens.llm import (dac, langid, mixing, neardup, packing, rules, substring, suffixes, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,17 +18,21 @@ ORACLE: dict[str, str] = {}
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def query(fn: Query) -> Query:
+def shipped(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Python workers import this package too; where it is not installed, from here."""
     @functools.wraps(fn)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        # Python workers import this package too; where it is not installed, from here.
+    def run(spark: SparkSession, *args) -> DataFrame:
         spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
-        return fn(spark, sf_dir)
+        return fn(spark, *args)
 
-    QUERIES[fn.__name__] = run
     return run
 
 
+def query(fn: Query) -> Query:
+    QUERIES[fn.__name__] = shipped(fn)
+    return QUERIES[fn.__name__]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -63,6 +67,11 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "plan.size", "plan.source_size", "plan.target", "plan.taken", "source")
 
 
+@query
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(documents(spark, sf_dir))
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = substring.mark(documents(spark, sf_dir).select("doc_id", "text"), "m")
