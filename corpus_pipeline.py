@@ -6,15 +6,45 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelens.llm import packing
+from estatelens.llm import mixing, neardup, packing, rules, substring
+from estatelens.llm.queries import shipped
 from estatelens.session import shared_dir
 
 
+@shipped
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that pass the fixed rules and the learned list."""
+    learned = rules.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return rules.keep_good(docs, learned)
+
+
+@shipped
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return neardup.keep_one(docs)
+
+
+@shipped
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words that a smaller document's passages cover."""
+    return substring.remove(docs)
+
+
+@shipped
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often, or as far, as the mix takes them."""
+    return mixing.mix(docs)
+
+
+@shipped
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("best_fit_packing", best_fit_packing)]
+STAGES = [("quality_rules", quality_rules), ("minhash_near_dedup", minhash_near_dedup),
+          ("substring_dedup", substring_dedup), ("source_mixing", source_mixing),
+          ("best_fit_packing", best_fit_packing)]
 
 # Learned rules, tokenizers and signatures are not expressible in SQL.
 ORACLE_SQL = None
