@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from estatelens.llm import mixing, neardup, packing, rules, substring
 from estatelens.llm.queries import shipped
 from estatelens.session import shared_dir
 
 
+def recounted(docs: DataFrame) -> DataFrame:
+    """n_chars of texts that a stage has cut."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 @shipped
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that pass the fixed rules and the learned list."""
@@ -27,13 +32,13 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 @shipped
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words that a smaller document's passages cover."""
-    return substring.remove(docs)
+    return recounted(substring.remove(docs))
 
 
 @shipped
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often, or as far, as the mix takes them."""
-    return mixing.mix(docs)
+    return recounted(mixing.mix(docs))
 
 
 @shipped
