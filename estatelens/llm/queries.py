@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from estatelens.llm import (dac, langid, mixing, neardup, packing, rules, substring, suffixes, toxicity)
+from estatelens.llm import (dac, langid, mixing, neardup, neighbours, packing, rules, substring, suffixes, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,6 +79,12 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2("m.kept", 256).alias("kept_sha256"))
 
 
+@query
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.where(F.pmod("vec_id", F.lit(neighbours.EVERY)) == 0))
+
+
 @query
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = suffixes.mark(documents(spark, sf_dir).select("doc_id", "text"), "m")
