@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 K, EVERY = 20, 20
-PROJECTIONS, COLLISIONS, VERIFIED = 64, 0.7, 0.2
+PROJECTIONS, COLLISIONS, VERIFIED = 64, 0.7, 0.25
 BLOCK, CHUNK, SAMPLE, WIDEN, ROUNDS, SEED = 16_384, 2_048, 32, 1.08, 40, 11
 LEAST = 50                  # vectors to verify per neighbour asked for, in a small block
 FOUND = "query_id bigint, vec_id bigint, score double"
