@@ -104,3 +104,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, machine, "score").select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+ORACLE["op4_source_mixing"] = """
+WITH d AS (
+  SELECT doc_id, source,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+         -ln((('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE
+              + 1.0) / 281474976710656.0)
+         / coalesce(greatest(0.1, 1.0 - 4.0 * (length(text) - length(translate(text, '#*$%&|<>', '')))
+                                  / greatest(length(text), 1)), 1.0) AS key
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+             row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+      FROM d GROUP BY source),
+w AS (SELECT *, (place % 3 + 1)::DOUBLE AS weight, (3 * source_size)::BIGINT AS cap FROM s),
+l AS (SELECT *, (sum(source_size) OVER ()
+                 - coalesce(sum(cap) OVER (ORDER BY cap / weight, place
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+                / sum(weight) OVER (ORDER BY cap / weight, place
+                                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+      FROM w),
+t AS (SELECT source, source_size, least(cap::DOUBLE, max(level) OVER () * weight) AS target FROM l),
+j AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+             floor(t.target + 0.5)::BIGINT AS budget,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY key, doc_id
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       ((budget // greatest(source_size, 1)) * size
+        + greatest(0, least(size, budget % greatest(source_size, 1) - ahead)))::BIGINT AS taken, source
+FROM j
+"""
