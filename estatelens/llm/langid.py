@@ -123,7 +123,7 @@ class Parser:
         text, begin, length = text[order], begin[order], length[order]
         active = np.searchsorted(-length, -np.arange(SEGMENT), side="left")
         state = [np.zeros(len(text), np.int32) for _ in self.langs]
-        count = [np.ones(len(text), np.int32) for _ in self.langs]
+        count = [np.zeros(len(text), np.int32) for _ in self.langs]
         for t in range(int(length[0]) if len(length) else 0):
             k = active[t]                               # segments longer than t
             c = codes[begin[:k] + t].astype(np.int32)
@@ -131,10 +131,10 @@ class Parser:
                 s = state[lang][:k]
                 to = table[s * SYMBOLS + c]
                 stuck = to == 0
-                # A phrase ends before this symbol, which begins the next; a symbol unknown to
-                # the sample is a phrase of its own.
+                # Stuck: a phrase ends before this symbol, which begins the next. A symbol that
+                # the sample does not have leads to the root: it is a phrase of its own.
                 state[lang][:k] = np.where(stuck, table[c], to)
-                count[lang][:k] += stuck
+                count[lang][:k] += stuck | (s == 0)
         return np.stack([np.bincount(text, weights=c, minlength=len(n)) for c in count], axis=1)
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
