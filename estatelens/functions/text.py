@@ -110,10 +110,25 @@ def epss_phrase(probability: ColumnLike, precise: bool = False) -> Column:
              .otherwise(F.concat(fixed_point(percent, 1 if precise else 0), F.lit("%"))))
 
 
-def template_value(col: ColumnLike, is_array: bool) -> Column:
-    """A prompt slot: first 12 non-empty items joined, or the value, or ``none``."""
+def template_value(col: ColumnLike, is_array: bool, max_items: int | None = None) -> Column:
+    """A prompt slot: the non-empty items joined (on request only the first ``max_items``), or the
+    value, or ``none``."""
     col = _c(col)
     if is_array:
         items = F.filter(col, lambda v: v.isNotNull() & (v != ""))
-        return F.coalesce(null_if_empty(F.array_join(F.slice(items, 1, 12), ", ")), F.lit("none"))
+        items = items if max_items is None else F.slice(items, 1, max_items)
+        return F.coalesce(null_if_empty(F.array_join(items, ", ")), F.lit("none"))
     return F.coalesce(col.cast("string"), F.lit("none"))
+
+
+def is_json_object(line: ColumnLike) -> Column:
+    """Whether the line is one JSON object and nothing else.
+
+    A parser stops at the end of the first value. Here the line is the first item of an array whose
+    second is a mark, so the whole line has to be read before the mark is found.
+    """
+    items = F.try_parse_json(F.concat(F.lit("["), _c(line), F.lit(',"<end>"]')))
+    one = F.coalesce(F.try_variant_get(items, "$[1]", "string") == "<end>", F.lit(False))
+    kind = F.schema_of_variant(F.try_variant_get(items, "$[0]", "variant"))
+    more = F.try_variant_get(items, "$[2]", "variant").isNotNull()
+    return one & ~more & F.coalesce(kind.startswith("OBJECT"), F.lit(False))

@@ -5,6 +5,8 @@ All of it is column expressions over the account row: no join, no Python per row
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from estatelens.config import PUBLIC_SECTOR
@@ -12,8 +14,8 @@ from estatelens.functions.text import count_phrase, epss_phrase, fixed_point
 
 FINDING = "struct<label:string,detail:string,evidence:string,phrase:string,severity:string>"
 SEVERITY = ("critical", "high", "medium")
-FORMATS = ("Cold email", "LinkedIn InMail", "Call script")
-TONES = ("Urgent / technical", "Consultative / executive")
+EMAIL, INMAIL, CALL = FORMATS = ("Cold email", "LinkedIn InMail", "Call script")
+TECHNICAL, EXECUTIVE = TONES = ("Urgent / technical", "Consultative / executive")
 
 # Finding texts. {n:unit} is a counted noun. Fields: signal column, label, detail,
 # evidence, phrase, severity. Order is the order of presentation.
@@ -51,61 +53,86 @@ CVE_DETAIL = "{epss_precise} chance of exploitation within 30 days{cvss}"
 CVE_PHRASE = ("software associated with {cve}, which carries a {epss} probability of exploitation "
               "in the next 30 days")
 
-# Outreach sentences. {slots} are filled from the account and its findings.
-SEEN_TECHNICAL = ("On {company}'s public infrastructure we can currently see {first}{second}. "
-                  "That's visible to anyone scanning, not just us.")
-SEEN_EXECUTIVE = ("A quick look at {company}'s public-facing estate shows {first} — the kind of "
-                  "thing that tends to surface in a customer security review or an insurance "
-                  "renewal before it surfaces internally.")
-RISK_TECHNICAL = ("Separately, one of your public hosts is running a software version associated "
-                  "with {cve} — currently around a {epss} chance of being exploited in the next "
-                  "30 days. That one is inferred from a version banner rather than tested, so "
-                  "it's worth confirming whether it actually applies.")
-RISK_EXECUTIVE = ("There is also a software version in your estate linked to a vulnerability with "
-                  "a {epss} chance of active exploitation this month. We infer that from a "
-                  "version banner rather than testing it, so treat it as a question rather than "
-                  "a finding.")
-EMAIL_SUBJECT_TECHNICAL = "Subject: {lead} on {domain}"
-EMAIL_SUBJECT_EXECUTIVE = "Subject: Quick note on {company}'s external exposure"
-EMAIL_DEFAULT_LEAD = "internet-facing exposure"
-EMAIL_OPEN = "Hi — we track internet-facing exposure across {country}."
-EMAIL_CLOSE_TECHNICAL = "Happy to walk through the detail on a short call if useful."
-EMAIL_CLOSE_EXECUTIVE = "If it's useful I can send the full picture over, no call needed."
-INMAIL = "Hi — we map internet-facing exposure in {country}. {body} {closing}"
-INMAIL_NOTHING = ("Hi — we map internet-facing exposure for organisations in {country}. Nothing "
-                  "urgent on {company} right now, but happy to share what we can see if useful.")
-INMAIL_CLOSE_TECHNICAL = "Worth a 15-minute look?"
-INMAIL_CLOSE_EXECUTIVE = "Would it be useful if I sent that across?"
-CALL_OPEN = ('OPEN — "Hi, calling from [vendor]. We map internet-facing exposure for '
-             'organisations in {country}. Is now a bad time?"')
-CALL_REASON = "REASON FOR THE CALL"
-CALL_NO_FINDING = ("  · No observed finding — lead with the ICP fit ({hosts} hosts, {ports} open "
-                   "ports).")
-CALL_ELSE = "IF THEY ASK WHAT ELSE"
-CALL_PROOF = "PROOF POINTS — all checkable, no login required"
-CALL_QUESTION = ('QUESTION — "Who owns external attack surface for you today, and how are they '
-                 'finding this sort of thing?"')
-CALL_VENDOR = 'IF "WE ALREADY HAVE A VENDOR"'
-CALL_VENDOR_NO_WAF = ('  · "Understood — we found this from the outside with no access. Worth '
-                      'checking whether it\'s in their scope."')
-CALL_VENDOR_WAF = ('  · "Understood — worth comparing what they report against what\'s externally '
-                   'visible."')
-NO_FINDING = ("No specific finding to lead with for {company}. Use the call script format, which "
-              "leads on fit instead.")
+# Drafts, line by line. (format, tone or any, shown when, text); {slots} are filled from
+# the account and its findings. Lines of a format are joined by its separator.
+SEPARATOR = {EMAIL: "\n\n", INMAIL: " ", CALL: "\n"}
+SEEN = {
+    TECHNICAL: ("On {company}'s public infrastructure we can currently see {first}{second}. That's "
+                "visible to anyone scanning, not just us."),
+    EXECUTIVE: ("A quick look at {company}'s public-facing estate shows {first} — the kind of thing "
+                "that tends to surface in a customer security review or an insurance renewal before "
+                "it surfaces internally."),
+}
+RISK = {
+    TECHNICAL: ("Separately, one of your public hosts is running a software version associated with "
+                "{cve} — currently around a {epss} chance of being exploited in the next 30 days. "
+                "That one is inferred from a version banner rather than tested, so it's worth "
+                "confirming whether it actually applies."),
+    EXECUTIVE: ("There is also a software version in your estate linked to a vulnerability with a "
+                "{epss} chance of active exploitation this month. We infer that from a version "
+                "banner rather than testing it, so treat it as a question rather than a finding."),
+}
+LINES = (
+    (EMAIL, TECHNICAL, "always", "Subject: {lead} on {domain}"),
+    (EMAIL, EXECUTIVE, "always", "Subject: Quick note on {company}'s external exposure"),
+    (EMAIL, None, "always", "Hi — we track internet-facing exposure across {country}."),
+    (EMAIL, None, "seen", "{seen}"),
+    (EMAIL, None, "risk", "{risk}"),
+    (EMAIL, TECHNICAL, "always", "Happy to walk through the detail on a short call if useful."),
+    (EMAIL, EXECUTIVE, "always", "If it's useful I can send the full picture over, no call needed."),
+    (INMAIL, None, "something", "Hi — we map internet-facing exposure in {country}."),
+    (INMAIL, None, "seen", "{seen}"),
+    (INMAIL, None, "only risk", "{risk}"),
+    (INMAIL, TECHNICAL, "something", "Worth a 15-minute look?"),
+    (INMAIL, EXECUTIVE, "something", "Would it be useful if I sent that across?"),
+    (INMAIL, None, "nothing", "Hi — we map internet-facing exposure for organisations in {country}. "
+     "Nothing urgent on {company} right now, but happy to share what we can see if useful."),
+    (CALL, None, "always", 'OPEN — "Hi, calling from [vendor]. We map internet-facing exposure for '
+     'organisations in {country}. Is now a bad time?"'),
+    (CALL, None, "always", ""),
+    (CALL, None, "always", "REASON FOR THE CALL"),
+    (CALL, None, "seen", "  · {seen}"),
+    (CALL, None, "unseen", "  · No observed finding — lead with the ICP fit ({hosts} hosts, {ports} "
+     "open ports)."),
+    (CALL, None, "risk", ""),
+    (CALL, None, "risk", "IF THEY ASK WHAT ELSE"),
+    (CALL, None, "risk", "  · {risk}"),
+    (CALL, None, "always", ""),
+    (CALL, None, "always", "PROOF POINTS — all checkable, no login required"),
+    (CALL, None, "proof", "{proof}"),
+    (CALL, None, "always", ""),
+    (CALL, None, "always", 'QUESTION — "Who owns external attack surface for you today, and how are '
+     'they finding this sort of thing?"'),
+    (CALL, None, "always", ""),
+    (CALL, None, "always", 'IF "WE ALREADY HAVE A VENDOR"'),
+    (CALL, None, "no waf", '  · "Understood — we found this from the outside with no access. Worth '
+     "checking whether it's in their scope.\""),
+    (CALL, None, "waf", '  · "Understood — worth comparing what they report against what\'s '
+     'externally visible."'),
+)
+PROOF_POINT = "  · {label}: {detail}  [{evidence}]"
+DEFAULT_LEAD = "internet-facing exposure"
+WITHOUT_FINDINGS = ("No specific finding to lead with for {company}. Use the call script format, which "
+                    "leads on fit instead.")
+# (shown when the account has, text)
+CONTEXT = (
+    (lambda: F.col("entity_class") == PUBLIC_SECTOR, "Public sector"),
+    (lambda: F.col("no_waf_anywhere"), "No incumbent WAF"),
+    (lambda: F.col("n_countries") > 1, "{n_countries} markets"),
+    (lambda: F.col("publishes_securitytxt") != 0, "Publishes security.txt"),
+)
 # ----------------------------------------------------------------------------- end fixed values
 
 
 def _fill(template: str, **slots: Column) -> Column:
     """Template with {slot} placeholders as one concat; a null slot reads as 'None'."""
-    import re
-
     parts = []
     for piece in re.split(r"(\{\w+\})", template):
         if piece.startswith("{"):
             parts.append(F.coalesce(slots[piece[1:-1]].cast("string"), F.lit("None")))
         elif piece:
             parts.append(F.lit(piece))
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+    return F.concat(*parts) if parts else F.lit("")
 
 
 def _counted(template: str, n: Column) -> Column:
@@ -152,12 +179,8 @@ def findings_table(accounts: DataFrame) -> DataFrame:
 
 def context_badges() -> Column:
     """Commercial context, as opposed to what is wrong."""
-    return F.array_compact(F.array(
-        F.when(F.col("entity_class") == PUBLIC_SECTOR, "Public sector"),
-        F.when(F.col("no_waf_anywhere"), "No incumbent WAF"),
-        F.when(F.col("n_countries") > 1,
-               F.concat(F.col("n_countries").cast("string"), F.lit(" markets"))),
-        F.when(F.col("publishes_securitytxt") != 0, "Publishes security.txt")))
+    return F.array_compact(F.array(*[
+        F.when(shown(), _fill(text, n_countries=F.col("n_countries"))) for shown, text in CONTEXT]))
 
 
 def badges() -> Column:
@@ -173,71 +196,43 @@ def badges() -> Column:
 
 
 # ----------------------------------------------------------------------------------- outreach
-def _clauses(technical: bool) -> tuple[Column, Column]:
-    """The observed and the inferred sentence, null when there is nothing to say. The inferred
-    one never names the product: it may come from another service."""
+def outreach_text(fmt: str, tone: str, max_points: int | None = None) -> Column:
+    """The draft of one format and tone. What was observed or tested is told as seen; an inferred
+    finding never names the product, which may come from another service. ``max_points`` bounds
+    the proof points of a call script."""
     observed = F.filter("findings", lambda f: f["evidence"].isin("observed", "tested"))
-    inferred = F.exists("findings", lambda f: f["evidence"] == "inferred")
-    first, second = F.get(observed, F.lit(0))["phrase"], F.get(observed, F.lit(1))["phrase"]
-    more = F.coalesce(F.concat(F.lit(", and "), second), F.lit(""))
-    slots = {"company": F.col("company"), "first": first, "second": more}
-    seen = _fill(SEEN_TECHNICAL if technical else SEEN_EXECUTIVE, **slots)
-    risk = _fill(RISK_TECHNICAL if technical else RISK_EXECUTIVE,
-                 cve=F.col("headline_cve"), epss=epss_phrase("max_epss"))
-    return F.when(first.isNotNull(), seen), F.when(inferred, risk)
-
-
-def _email(technical: bool) -> Column:
-    seen, risk = _clauses(technical)
-    lead = F.coalesce(F.get("findings", F.lit(0))["label"], F.lit(EMAIL_DEFAULT_LEAD))
-    subject = _fill(EMAIL_SUBJECT_TECHNICAL if technical else EMAIL_SUBJECT_EXECUTIVE,
-                    lead=lead, domain=F.col("entity_domain"), company=F.col("company"))
-    close = EMAIL_CLOSE_TECHNICAL if technical else EMAIL_CLOSE_EXECUTIVE
-    return F.concat_ws("\n\n", subject, _fill(EMAIL_OPEN, country=F.col("primary_country_name")),
-                       seen, risk, F.lit(close))
-
-
-def _inmail(technical: bool) -> Column:
-    seen, risk = _clauses(technical)
-    body, country = F.coalesce(seen, risk), F.col("primary_country_name")
-    close = F.lit(INMAIL_CLOSE_TECHNICAL if technical else INMAIL_CLOSE_EXECUTIVE)
-    return F.when(body.isNotNull(), _fill(INMAIL, country=country, body=body, closing=close)
-                  ).otherwise(_fill(INMAIL_NOTHING, country=country, company=F.col("company")))
-
-
-def _call(technical: bool) -> Column:
-    seen, risk = _clauses(technical)
-    blank, bullet = F.lit(""), F.lit("  · ")
-    no_finding = _fill(CALL_NO_FINDING, hosts=F.col("n_hosts"), ports=F.col("n_ports"))
-    proof = F.transform(F.slice("findings", 1, 4), lambda f: F.concat(
-        bullet, f["label"], F.lit(": "), f["detail"], F.lit("  ["), f["evidence"], F.lit("]")))
-    vendor = F.when(F.col("no_waf_anywhere"), CALL_VENDOR_NO_WAF).otherwise(CALL_VENDOR_WAF)
-    nothing = F.array().cast("array<string>")
-    lines = F.concat(
-        F.array(_fill(CALL_OPEN, country=F.col("primary_country_name")), blank,
-                F.lit(CALL_REASON), F.coalesce(F.concat(bullet, seen), no_finding)),
-        F.when(risk.isNotNull(), F.array(blank, F.lit(CALL_ELSE), F.concat(bullet, risk)))
-         .otherwise(nothing),
-        F.array(blank, F.lit(CALL_PROOF)), proof,
-        F.array(blank, F.lit(CALL_QUESTION), blank, F.lit(CALL_VENDOR), vendor))
-    return F.array_join(lines, "\n")
-
-
-WRITERS = {"Cold email": _email, "LinkedIn InMail": _inmail, "Call script": _call}
-
-
-def outreach_text(fmt: str, tone: str) -> Column:
-    text = WRITERS[fmt](tone == TONES[0])
-    if fmt == "Call script":
+    first, second = (F.get(observed, F.lit(i))["phrase"] for i in (0, 1))
+    seen = first.isNotNull()
+    risk = F.exists("findings", lambda f: f["evidence"] == "inferred")
+    when = {"always": F.lit(True), "seen": seen, "unseen": ~seen, "risk": risk,
+            "only risk": risk & ~seen, "something": risk | seen, "nothing": ~(risk | seen),
+            "proof": F.size("findings") > 0,
+            "no waf": F.coalesce(F.col("no_waf_anywhere"), F.lit(False)),
+            "waf": ~F.coalesce(F.col("no_waf_anywhere"), F.lit(False))}
+    points = F.col("findings") if max_points is None else F.slice("findings", 1, max_points)
+    proof = F.transform(points, lambda f: _fill(
+        PROOF_POINT, label=f["label"], detail=f["detail"], evidence=f["evidence"]))
+    slots = {
+        "company": F.col("company"), "domain": F.col("entity_domain"),
+        "country": F.col("primary_country_name"), "hosts": F.col("n_hosts"),
+        "ports": F.col("n_ports"), "cve": F.col("headline_cve"), "epss": epss_phrase("max_epss"),
+        "lead": F.coalesce(F.get("findings", F.lit(0))["label"], F.lit(DEFAULT_LEAD)),
+        "first": first, "second": F.coalesce(F.concat(F.lit(", and "), second), F.lit("")),
+        "proof": F.array_join(proof, SEPARATOR[CALL])}
+    slots |= {"seen": _fill(SEEN[tone], **slots), "risk": _fill(RISK[tone], **slots)}
+    lines = [F.when(when[shown], _fill(text, **slots)) for own, for_tone, shown, text in LINES
+             if own == fmt and for_tone in (None, tone)]
+    text = F.array_join(F.array_compact(F.array(*lines)), SEPARATOR[fmt])
+    if fmt == CALL:                     # a script leads on fit where there is no finding
         return text
-    return F.when(F.size("findings") == 0, _fill(NO_FINDING, company=F.col("company"))
-                  ).otherwise(text)
+    return F.when(F.size("findings") == 0, _fill(WITHOUT_FINDINGS, **slots)).otherwise(text)
 
 
-def outreach(accounts: DataFrame, formats=FORMATS, tones=TONES) -> DataFrame:
+def outreach(accounts: DataFrame, formats=FORMATS, tones=TONES,
+             max_points: int | None = None) -> DataFrame:
     """One row per account, format and tone. Name one of each for a single draft."""
     source = accounts if "findings" in accounts.columns else with_findings(accounts)
     drafts = F.array(*[F.struct(F.lit(f).alias("format"), F.lit(t).alias("tone"),
-                                outreach_text(f, t).alias("draft"))
+                                outreach_text(f, t, max_points).alias("draft"))
                        for f in formats for t in tones])
     return source.select("entity_domain", F.inline(drafts))
