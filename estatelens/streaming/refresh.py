@@ -1,9 +1,13 @@
 """Incremental refresh: new scan files update only the entities they touch.
 
 Measures add or take extremes, facet counts add, headline records take the maximum. So the state
-of an entity is the merge of partial rows, one set per micro-batch, and a refresh reads the new
-files plus the partials of touched entities, never the old scan. Distinct counts and modes stay
-exact because the facet table keeps the values.
+of an entity is the merge of partial rows, one set per micro-batch. Partials and signals are stored
+by a hash bucket of the entity, and a refresh reads the buckets that its new files touch, never the
+old scan. Distinct counts and modes stay exact because the facet table keeps the values.
+
+Nothing stored depends on a reporting date: the earliest certificate expiry is kept as a date (days
+since 1970, which merges by minimum), and scores are a projection of the stored signals for the
+reporting date asked for. So entities that no new file touches age like the others.
 """
 
 from __future__ import annotations
@@ -19,6 +23,13 @@ from estatelens.operators import entities as E
 from estatelens.operators import scoring, signals as S, staging
 
 PARTS = ("measures", "facets", "headlines")
+EPOCH = "1970-01-01"            # expiry days counted from here are a date
+BUCKETS = 256
+EXPIRY = "soonest_cert_expiry_days"
+
+
+def bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64("entity_domain"), F.lit(buckets)).cast("int"))
 
 
 def partials(hosts: DataFrame, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
@@ -33,7 +44,8 @@ def merged(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
             return F.max(name)
         return F.min(name) if name in E.MERGE_MIN else F.sum(name)
 
-    best = [c for c in parts["headlines"].columns if c not in ("entity_domain", "batch_id")]
+    best = [c for c in parts["headlines"].columns
+            if c not in ("entity_domain", "batch_id", "bucket")]
     return {
         "measures": parts["measures"].groupBy("entity_domain").agg(
             *[how(m).alias(m) for m in E.MEASURES]),
@@ -44,46 +56,61 @@ def merged(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def scores_from(parts: dict[str, DataFrame], providers: DataFrame,
-                settings: Settings = DEFAULTS) -> DataFrame:
-    """Scores of the entities in merged partials."""
+def signals_from(parts: dict[str, DataFrame], providers: DataFrame,
+                 settings: Settings = DEFAULTS) -> DataFrame:
+    """Signals of the entities in merged partials."""
     rollup = E.entity_rollup(None, parts["measures"], parts["facets"])
     classification = E.classify_by_rule(rollup, providers, settings)
-    signals = S.company_signals(None, classification, parts["measures"], parts["facets"],
-                                settings, S.headline_columns(parts["headlines"]))
-    return scoring.score(signals, settings)
+    return S.company_signals(None, classification, parts["measures"], parts["facets"],
+                             settings, S.headline_columns(parts["headlines"]))
+
+
+def scored_at(signals: DataFrame, as_of, settings: Settings = DEFAULTS) -> DataFrame:
+    """Scores of stored signals on a reporting date."""
+    date = F.date_add(F.lit(EPOCH).cast("date"), F.col(EXPIRY))
+    return scoring.score(signals.withColumn(EXPIRY, F.datediff(date, staging.date_column(as_of))),
+                         settings)
+
 
+def _write(df: DataFrame, path: str, buckets: int, mode: str = "overwrite") -> None:
+    (bucketed(df, buckets).write.mode(mode).option("compression", "zstd")
+     .partitionBy("bucket").parquet(path))
 
-def shift_as_of(measures: DataFrame, days: int) -> DataFrame:
-    """Measures taken at one reporting date, read ``days`` later."""
-    return measures.withColumn("soonest_cert_expiry_days",
-                               F.col("soonest_cert_expiry_days") - F.lit(days))
 
+def touched_buckets(spark: SparkSession, state: str, batch_id: int) -> list[int]:
+    """Numbers of the buckets that a batch wrote to: at most their count."""
+    rows = spark.read.parquet(f"{state}/measures/batch_id={batch_id}").select("bucket").distinct()
+    return sorted(r.bucket for r in rows.collect())
 
-def refresh(source: DataFrame, state: str, checkpoint: str, providers: DataFrame, as_of,
-            settings: Settings = DEFAULTS,
+
+def known_partials(spark: SparkSession, state: str, batch_id: int) -> dict[str, DataFrame]:
+    """Partials up to this batch of the entities it touched, from their buckets alone."""
+    chosen = F.col("bucket").isin(touched_buckets(spark, state, batch_id))
+    upto = F.col("batch_id") <= batch_id
+    own = spark.read.parquet(f"{state}/measures").filter(
+        chosen & (F.col("batch_id") == batch_id)).select("entity_domain")
+    return {name: spark.read.parquet(f"{state}/{name}").filter(chosen & upto)
+            .join(own, "entity_domain", "left_semi") for name in PARTS}
+
+
+def refresh(source: DataFrame, state: str, checkpoint: str, providers: DataFrame,
+            settings: Settings = DEFAULTS, buckets: int = BUCKETS,
             on_batch: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
-    """Apply new scan rows and stop. ``on_batch`` sees the re-scored rows of each micro-batch.
+    """Apply new scan rows and stop. ``on_batch`` sees the signals of each micro-batch's entities.
 
     Everything a batch writes lies under its own ``batch_id`` and is overwritten on replay.
     """
     spark = source.sparkSession
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        hosts = E.entity_hosts(staging.stage(batch, as_of))
+        hosts = E.entity_hosts(staging.stage(batch, EPOCH))
         for name, part in partials(hosts, settings).items():
-            part.write.mode("overwrite").option("compression", "zstd").parquet(
-                f"{state}/{name}/batch_id={batch_id}")
-        touched = spark.read.parquet(f"{state}/measures/batch_id={batch_id}").select(
-            "entity_domain")
-        upto = F.col("batch_id") <= batch_id
-        known = {name: spark.read.parquet(f"{state}/{name}").filter(upto)
-                 .join(touched, "entity_domain", "left_semi") for name in PARTS}
-        target = f"{state}/scores/batch_id={batch_id}"
-        scores_from(merged(known), providers, settings).write.mode("overwrite").option(
-            "compression", "zstd").parquet(target)
+            _write(part, f"{state}/{name}/batch_id={batch_id}", buckets)
+        known = known_partials(spark, state, batch_id)
+        target = f"{state}/signals/batch_id={batch_id}"
+        _write(signals_from(merged(known), providers, settings), target, buckets)
         if on_batch:
-            on_batch(spark.read.parquet(target), batch_id)
+            on_batch(spark.read.parquet(target).drop("bucket"), batch_id)
 
     return (source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -94,18 +121,23 @@ def scan_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFr
             .option("recursiveFileLookup", True).parquet(path))
 
 
-def current_scores(spark: SparkSession, state: str) -> DataFrame:
-    """Latest row of every entity over all refreshes."""
+def current_signals(spark: SparkSession, state: str) -> DataFrame:
+    """Latest row of every entity over all refreshes; expiry as days since 1970."""
     last = Window.partitionBy("entity_domain").orderBy(F.desc("batch_id"))
-    return (spark.read.parquet(f"{state}/scores")
+    return (spark.read.parquet(f"{state}/signals")
             .withColumn("_n", F.row_number().over(last)).filter("_n = 1")
-            .drop("_n", "batch_id"))
+            .drop("_n", "batch_id", "bucket"))
+
+
+def current_scores(spark: SparkSession, state: str, as_of,
+                   settings: Settings = DEFAULTS) -> DataFrame:
+    """Scores of every entity on a reporting date, whenever its files came."""
+    return scored_at(current_signals(spark, state), as_of, settings)
 
 
-def compact(spark: SparkSession, state: str, into: str) -> None:
+def compact(spark: SparkSession, state: str, into: str, buckets: int = BUCKETS) -> None:
     """Fold all partials into one batch under a new state folder, to keep merges short."""
     parts = {name: spark.read.parquet(f"{state}/{name}") for name in PARTS}
     for name, df in merged(parts).items():
-        df.write.mode("errorifexists").option("compression", "zstd").parquet(
-            f"{into}/{name}/batch_id=-1")
-    current_scores(spark, state).write.mode("errorifexists").parquet(f"{into}/scores/batch_id=-1")
+        _write(df, f"{into}/{name}/batch_id=-1", buckets, "errorifexists")
+    _write(current_signals(spark, state), f"{into}/signals/batch_id=-1", buckets, "errorifexists")
