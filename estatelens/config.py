@@ -47,8 +47,9 @@ TIER_R, TIER_U, TIER_X = "R - needs review", "U - unclassified", "X - not a pros
 QUADRANT = (TIER_A, TIER_B, TIER_C, TIER_D)
 RULE_STAGE_TIERS = QUADRANT + (TIER_U, TIER_X)
 
-SIZE_BANDS = {"Any": (0, 10**9), "1 host": (1, 1), "2–10": (2, 10),
-              "11–100": (11, 100), "101–500": (101, 500), "500+": (501, 10**9)}
+# Fewest and most hosts; None: no bound.
+SIZE_BANDS = {"Any": (None, None), "1 host": (1, 1), "2–10": (2, 10),
+              "11–100": (11, 100), "101–500": (101, 500), "500+": (501, None)}
 
 # USD per million tokens by model-name prefix; the first matching prefix wins.
 TOKEN_RATES = {

@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 from estatelens.config import DEFAULTS, Settings
 from estatelens.functions.arrays import matching
 from estatelens.operators.entities import apply_rules, rule_cascade, seed_match
-from estatelens.operators.ranking import with_position, with_running_total
+from estatelens.operators.ranking import with_running_totals, with_position
 from estatelens.operators.sampling import shuffle_key
 
 
@@ -119,9 +120,12 @@ def exclusion_precision(sample: DataFrame, labels: DataFrame, prospects) -> Data
 
 def cost_drift(traces: DataFrame, estimate_per_call: float, tolerance: float = 0.25,
                order=("ts", "subject")) -> DataFrame:
-    """Running mean cost per call against the estimate; ``alarm`` once it leaves the tolerance."""
-    placed = with_running_total(traces, list(order), F.col("cost_usd"), "spent")
-    counted = with_position(placed, list(order), "call_no")
+    """Running mean cost per call against the estimate; ``alarm`` once it leaves the tolerance.
+    Calls that agree in ``order`` are told apart by a hash of the rest, so that both totals follow
+    one order."""
+    plain = [f.name for f in traces.schema.fields if not isinstance(f.dataType, T.MapType)]
+    counted = with_running_totals(traces, [*order, F.xxhash64(*plain)], {
+        "spent": F.col("cost_usd"), "call_no": F.lit(1).cast("bigint")})
     mean = F.col("spent") / F.col("call_no")
     return counted.withColumns({
         "mean_cost": mean,

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from estatelens.config import (COMPANY, DEFAULTS, PROSPECT_CLASSES, PUBLIC_SECTOR, QUADRANT,
                                SIZE_BANDS, TIER_A, TIER_R, TIER_U, TIER_X, Settings)
 from estatelens.functions.arrays import matching
-from estatelens.functions.sizes import broadcast_if_small
 from estatelens.operators.scoring import FIT_POINTS, INTENT_POINTS, quadrant, retier
 
 # The published columns. An explicit list is the privacy rule: no address can get in.
@@ -55,18 +54,17 @@ def final_tier(settings: Settings = DEFAULTS) -> Column:
 
 
 def curate(scores: DataFrame, verdicts: DataFrame, traces: DataFrame | None = None,
-           settings: Settings = DEFAULTS, max_broadcast: int = 100_000) -> DataFrame:
-    """One row per classified entity. The verdict side is broadcast when it is proven small, so
-    the score table is filtered in place instead of shuffled."""
+           settings: Settings = DEFAULTS) -> DataFrame:
+    """One row per classified entity. Whether a side is broadcast is left to its measured bytes."""
     decided = verdicts.filter("entity_class is not null").select(
         "entity_domain", "entity_class", "canonical_name",
         F.col("confidence").alias("class_confidence"), F.col("reasoning").alias("class_reasoning"))
-    joined = scores.join(broadcast_if_small(decided, max_broadcast), "entity_domain")
+    joined = scores.join(decided, "entity_domain")
     telemetry = [F.lit(None).cast(kind).alias(name) for name, kind in
                  zip(TRACE_COLUMNS, ("string", "string", "bigint", "double", "bigint", "bigint",
                                      "bigint"))]
     if traces is not None:
-        joined = joined.join(broadcast_if_small(traces, max_broadcast), "entity_domain", "left")
+        joined = joined.join(traces, "entity_domain", "left")
         telemetry = [F.col(c) for c in TRACE_COLUMNS]
     return joined.select(
         "entity_domain", F.coalesce("canonical_name", "entity_domain").alias("company"),
@@ -126,8 +124,11 @@ def accounts_view(accounts: DataFrame, tiers=None, segment: str = "commercial",
     if markets:
         view = view.filter(F.col("primary_country_name").isin(*markets))
     low, high = SIZE_BANDS[size_band]
-    view = view.filter(F.col("n_hosts").between(low, high)
-                       & (F.col("intent_score") >= min_intent))
+    if low is not None:
+        view = view.filter(F.col("n_hosts") >= low)
+    if high is not None:
+        view = view.filter(F.col("n_hosts") <= high)
+    view = view.filter(F.col("intent_score") >= min_intent)
     if whitespace_only:
         view = view.filter("no_waf_anywhere")
     if exploited_only:
@@ -139,7 +140,7 @@ def default_tiers(accounts: DataFrame) -> list[str]:
     """Opening selection: the A tiers, or every visible tier when there is no A. The tier
     column has seven values."""
     shown = sorted(r[0] for r in accounts.filter(visible_tiers()).select("tier").distinct()
-                   .limit(20).collect())
+                   .collect())
     return [t for t in shown if t.startswith("A")] or shown
 
 

@@ -15,9 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from estatelens.config import DEFAULTS, RuleThresholds, Settings
 from estatelens.functions.arrays import first, matching
-from estatelens.functions.sizes import is_small
 
-MAX_NESTED_LOOP_PATTERNS = 2_000
+MAX_PATTERNS = 2_000
 
 
 def entity_hosts(staged: DataFrame) -> DataFrame:
@@ -133,7 +132,7 @@ def entity_facets(hosts: DataFrame, names=None) -> DataFrame:
 
 
 def of_interest(facets: DataFrame, names) -> DataFrame:
-    """Only these facets: prunes partitions of a written facet table."""
+    """Only these facets; the condition reaches the scan of a written facet table."""
     return facets.filter(F.col("facet").isin(*names))
 
 
@@ -178,41 +177,61 @@ def entity_rollup(hosts: DataFrame, measures: DataFrame | None = None,
                     "is_reverse_dns_zone", "has_hostname_anchor"))
 
 
-def _matches(match_orgs: bool) -> Column:
-    by_domain = F.col("entity_domain").contains(F.replace(F.col("pattern"), F.lit(" "), F.lit("")))
-    return by_domain | F.col("orgs_seen").contains(F.col("pattern")) if match_orgs else by_domain
+def _compact(pattern: Column) -> Column:
+    return F.replace(pattern, F.lit(" "), F.lit(""))
 
 
-def _candidates_by_gram(texts: DataFrame, providers: DataFrame, match_orgs: bool) -> DataFrame:
-    """Substring join without a nested loop, for a pattern list too long to broadcast.
+def _names(rollup: DataFrame) -> DataFrame:
+    """(entity_domain, name): normalised organisation names have no separator of their own."""
+    return rollup.select("entity_domain", F.explode(F.split("orgs_seen", r" \| ")).alias("name"))
 
-    A text that contains a pattern contains the pattern's first g characters, so an equi-join on
-    g-grams (g = the shortest pattern) finds every candidate; the condition then verifies it.
+
+def _named(texts: DataFrame, text: str, providers: DataFrame, compact: bool) -> DataFrame:
+    """``texts`` with provider and provider_class of every pattern they contain.
+
+    The provider list is a reference table that does not grow with the data (its size is checked),
+    so it travels as a literal and each text is tested in its own row.
     """
-    compact = F.replace(F.col("pattern"), F.lit(" "), F.lit(""))
-    g = providers.agg(F.min(F.least(F.length("pattern"), F.length(compact)))).first()[0]
-    grams = F.array_distinct(F.flatten(F.transform(
-        F.array("entity_domain", *(["orgs_seen"] if match_orgs else [])),
-        lambda t: F.when(F.length(t) >= g, F.transform(
-            F.sequence(F.lit(1), F.length(t) - g + 1), lambda i: F.substring(t, i, g)))
-        .otherwise(F.array().cast("array<string>")))))
-    keyed = providers.select("*", F.explode(F.array_distinct(F.array(
-        F.substring("pattern", 1, g), F.substring(compact, 1, g)))).alias("gram"))
-    return (texts.withColumn("gram", F.explode(grams)).join(keyed, "gram")
-            .filter(_matches(match_orgs)))
+    rows = providers.select("pattern", "provider", "provider_class").limit(MAX_PATTERNS + 1).collect()
+    if len(rows) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} patterns: use seed_match_by_gram")
+    if not rows:
+        return texts.withColumns({c: F.lit(None).cast("string")
+                                  for c in ("provider", "provider_class")}).limit(0)
+    known = F.array(*[F.struct(
+        F.lit(r.pattern.replace(" ", "") if compact else r.pattern).alias("pattern"),
+        F.lit(r.provider).alias("provider"), F.lit(r.provider_class).alias("provider_class"))
+        for r in rows if r.pattern is not None])
+    hit = F.explode(F.filter(known, lambda p: F.col(text).contains(p["pattern"])))
+    return texts.withColumn("_hit", hit).select(*texts.columns, "_hit.provider", "_hit.provider_class")
+
+
+def _grams(texts: DataFrame, text: str, providers: DataFrame, compact: bool) -> DataFrame:
+    """The same for a list of any length: a text that contains a pattern contains its first g
+    characters (g = the shortest pattern), so a join on grams finds it, and a test confirms it."""
+    pattern = _compact(F.col("pattern")) if compact else F.col("pattern")
+    keyed = providers.select(pattern.alias("pattern"), "provider", "provider_class")
+    g = keyed.agg(F.min(F.length("pattern"))).first()[0] or 1
+    own = F.when(F.length(text) >= g, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(text) - g + 1), lambda i: F.substring(F.col(text), i, g))))
+    return (texts.withColumn("_gram", F.explode(own))
+            .join(keyed.withColumn("_gram", F.substring("pattern", 1, g)), "_gram")
+            .where(F.col(text).contains(F.col("pattern")))
+            .select(*texts.columns, "provider", "provider_class"))
 
 
 def seed_match(rollup: DataFrame, providers: DataFrame, settings: Settings = DEFAULTS,
-               max_patterns: int = MAX_NESTED_LOOP_PATTERNS) -> DataFrame:
+               find=_named) -> DataFrame:
     """Entities named in the provider list -> (matched_provider, matched_provider_class).
 
-    Entities are already aggregated here, so the theta join sees each organisation once.
+    Every domain and every distinct organisation name is tested once; names are joined back to
+    their entities, so an organisation with very many names spreads over all tasks.
     """
-    texts = rollup.select("entity_domain", "orgs_seen")
-    if is_small(providers, max_patterns):
-        hits = texts.join(F.broadcast(providers), _matches(settings.match_orgs))
-    else:
-        hits = _candidates_by_gram(texts, providers, settings.match_orgs)
+    hits = find(rollup.select("entity_domain"), "entity_domain", providers, True)
+    if settings.match_orgs:
+        names = _names(rollup)
+        found = find(names.select("name").distinct(), "name", providers, False)
+        hits = hits.unionByName(names.join(found, "name").drop("name"))
     if settings.parity:
         matched = [F.min("provider").alias("matched_provider"),
                    F.min("provider_class").alias("matched_provider_class")]
@@ -223,6 +242,12 @@ def seed_match(rollup: DataFrame, providers: DataFrame, settings: Settings = DEF
                     F.col("m.provider_class").alias("matched_provider_class")))
 
 
+def seed_match_by_gram(rollup: DataFrame, providers: DataFrame,
+                       settings: Settings = DEFAULTS) -> DataFrame:
+    """``seed_match`` for a provider list too long to travel in a plan."""
+    return seed_match(rollup, providers, settings, _grams)
+
+
 def rule_cascade(rules: RuleThresholds) -> list[tuple[str, str, Column]]:
     """(evidence, class, condition) in order of precedence; first match wins."""
     n, ports = F.col("n_services"), F.col("n_ports")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from estatelens import schemas
 from estatelens.config import ENTITY_CLASSES, LABEL_WORDS
 from estatelens.functions.arrays import literals
 from estatelens.functions.text import fixed_point, stripped
-from estatelens.operators.verdicts import UnknownClass
+from estatelens.operators.verdicts import SEQ, UnknownClass, latest, line_order
 
 METRICS = ("precision", "recall", "f1")
 
@@ -19,9 +20,11 @@ class LabelProblem(ValueError):
 def labelled_only(labels: DataFrame, classes=ENTITY_CLASSES) -> DataFrame:
     """Rows with a label; raises on a label outside the permitted classes."""
     rows = labels.filter(F.coalesce("true_class", F.lit("")) != "")
-    bad = rows.filter(~F.col("true_class").isin(*classes)).limit(5).collect()
+    bad = (rows.filter(~F.col("true_class").isin(*classes)).groupBy("true_class")
+           .agg(F.count("*").alias("n"), F.min("entity_domain").alias("example"))
+           .orderBy("true_class").collect())            # one row per wrong class
     if bad:
-        raise UnknownClass("; ".join(f"invalid label {r['true_class']!r} on {r['entity_domain']}"
+        raise UnknownClass("; ".join(f"invalid label {r.true_class!r} on {r.n} rows, e.g. {r.example}"
                                      for r in bad))
     return rows.withColumn("batch", F.coalesce("batch", F.lit(1)))
 
@@ -111,6 +114,27 @@ def result_rows(metrics: DataFrame, version: str, model: str, run_at: str) -> Da
                                 "run_at": F.lit(run_at)})
 
 
+def append_run(pairs_df: DataFrame, path: str, version: str, model: str, run_at: str) -> None:
+    """Append a run: ``details`` (one row per entity) first, then ``metrics`` over all rows."""
+    runs = {"details": pairs_df, "metrics": confusion(pairs_df, by_batch=False)}
+    for name, rows in runs.items():
+        (result_rows(rows, version, model, run_at).write.mode("append")
+         .option("compression", "zstd").parquet(f"{path}/{name}"))
+
+
+def stored_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/metrics")
+
+
+def stored_details(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/details")
+
+
+def read_labels(spark: SparkSession, path: str) -> DataFrame:
+    """A labelled set as JSON lines."""
+    return spark.read.schema(schemas.LABEL).json(path)
+
+
 def baseline_run(results: DataFrame, version: str, model: str,
                  compare: str | None = None) -> DataFrame:
     """Rows of the run to compare with: an explicit ``version:model`` (its newest run), or else
@@ -130,6 +154,8 @@ def baseline_run(results: DataFrame, version: str, model: str,
 def parse_worksheet(lines: DataFrame, words: dict[str, str] = LABEL_WORDS) -> DataFrame:
     """``N. domain -> word # note`` lines to (entity_domain, true_class, note, problem).
 
+    ``seq``, a column that orders the lines, is kept if there is one.
+
     Comment lines and lines without an arrow are skipped; a missing or unknown word becomes a
     problem text and no label.
     """
@@ -144,20 +170,30 @@ def parse_worksheet(lines: DataFrame, words: dict[str, str] = LABEL_WORDS) -> Da
         label = F.when(F.col("answer") == word, cls).otherwise(label)
     rows = (lines.filter(~stripped("value").startswith("#") & value.contains("->"))
             .select(F.regexp_extract(left, r"\d+\.\s*(\S+)", 1).alias("entity_domain"),
-                    answer.alias("answer"), F.coalesce(note, F.lit("")).alias("note"))
+                    answer.alias("answer"), F.coalesce(note, F.lit("")).alias("note"),
+                    *(["seq"] if "seq" in lines.columns else []))
             .filter("entity_domain <> ''").withColumn("true_class", label))
     problem = F.when(F.col("answer") == "", "no label").when(
         F.col("true_class").isNull(), F.concat(F.lit("unknown word "), F.col("answer")))
-    return rows.select("entity_domain", "true_class", "note", problem.alias("problem"))
+    return rows.select("entity_domain", "true_class", "note", problem.alias("problem"),
+                       *(["seq"] if "seq" in lines.columns else []))
 
 
 def worksheet_labels(lines: DataFrame) -> DataFrame:
-    """Parsed labels, one per domain; raises when any line has a problem, so nothing is written."""
+    """Parsed labels, the last line of a domain; raises when any line has a problem, so nothing is
+    written (``parse_worksheet`` lists the problems). ``seq`` orders the lines."""
+    if "seq" not in lines.columns:
+        raise LabelProblem("worksheet lines need a seq column: a later label replaces an earlier one")
     parsed = parse_worksheet(lines)
-    bad = parsed.filter("problem is not null").limit(10).collect()
-    if bad:
-        raise LabelProblem("; ".join(f"{r.entity_domain}: {r.problem}" for r in bad))
-    return parsed.select("entity_domain", "true_class", "note").dropDuplicates(["entity_domain"])
+    bad = parsed.filter("problem is not null").agg(F.count("*"), F.min("entity_domain")).first()
+    if bad[0]:
+        raise LabelProblem(f"{bad[0]} lines without a usable label, e.g. of {bad[1]}")
+    return latest(parsed).select("entity_domain", "true_class", "note")
+
+
+def read_worksheet(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of worksheet files with their order."""
+    return spark.read.text(path).withColumn("seq", line_order().cast(SEQ))
 
 
 def merge_labels(existing: DataFrame, incoming: DataFrame, labels: DataFrame) -> DataFrame:
@@ -174,6 +210,14 @@ def merge_labels(existing: DataFrame, incoming: DataFrame, labels: DataFrame) ->
         "labeller_note": note}).drop("new_class", "note")
 
 
+def complete(merged: DataFrame) -> DataFrame:
+    """The merged set, refused while a row has no label."""
+    n, example = unlabelled(merged).agg(F.count("*"), F.min("entity_domain")).first()
+    if n:
+        raise LabelProblem(f"{n} rows are still unlabelled, e.g. {example}")
+    return merged
+
+
 def unlabelled(merged: DataFrame) -> DataFrame:
     """Rows that still have no label; must be empty before the set is written."""
     return merged.filter(F.coalesce("true_class", F.lit("")) == "")

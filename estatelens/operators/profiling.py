@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from estatelens.functions.arrays import matching
 
-MAX_SEGMENTS = 4
 
 
 def _hot() -> Column:
@@ -80,81 +84,138 @@ def _malware_module() -> Column:
             | module.contains("botnet"))
 
 
-# breakdown -> (values of one record as an array, how many to show)
+# breakdown -> values of one record as an array
 BREAKDOWNS = {
-    "tags": (lambda: F.col("tags"), 15),
-    "countries": (lambda: F.array("country_name"), 12),
-    "org": (lambda: F.array("org"), 15),
-    "services": (lambda: F.col("services"), 12),
-    "ports": (lambda: F.array(F.col("port").cast("string")), 10),
-    "waf vendors": (lambda: F.array("http_waf"), 15),
-    "technologies": (lambda: F.col("http_components"), 15),
-    "malware scan modules": (lambda: F.array(F.when(_malware_module(), F.col("scan_module"))), 15),
+    "tags": lambda: F.col("tags"),
+    "countries": lambda: F.array("country_name"),
+    "org": lambda: F.array("org"),
+    "services": lambda: F.col("services"),
+    "ports": lambda: F.array(F.col("port").cast("string")),
+    "waf vendors": lambda: F.array("http_waf"),
+    "technologies": lambda: F.col("http_components"),
+    "malware scan modules": lambda: F.array(F.when(_malware_module(), F.col("scan_module"))),
 }
+# How many values a published profile shows.
+SHOWN = {"tags": 15, "countries": 12, "org": 15, "services": 12, "ports": 10, "waf vendors": 15,
+         "technologies": 15, "malware scan modules": 15}
 
 
-def profile_breakdowns(scan: DataFrame) -> DataFrame:
+def profile_breakdowns(scan: DataFrame, sizes: dict[str, int] | None = SHOWN) -> DataFrame:
     """(breakdown, value, n): the most frequent values of eight fields, in one pass.
 
-    The rank filter is pushed below the shuffle, so only k rows per breakdown and task move.
+    ``sizes`` says how many per breakdown; None gives all. The rank filter is pushed below the
+    shuffle, so only k rows per breakdown and task move.
     """
     def each(name: str):
         return lambda v: F.struct(F.lit(name).alias("breakdown"), v.alias("value"))
 
     pairs = [F.transform(F.coalesce(col(), F.array().cast("array<string>")), each(name))
-             for name, (col, _) in BREAKDOWNS.items()]
+             for name, col in BREAKDOWNS.items()]
     counted = (scan.select(F.inline(F.concat(*pairs))).filter("value is not null")
                .groupBy("breakdown", "value").agg(F.count(F.lit(1)).alias("n")))
+    if sizes is None:
+        return counted
     limit = F.lit(0)
-    for name, (_, k) in BREAKDOWNS.items():
+    for name, k in sizes.items():
         limit = F.when(F.col("breakdown") == name, k).otherwise(limit)
     ranked = Window.partitionBy("breakdown").orderBy(F.desc("n"), "value")
-    most = max(k for _, k in BREAKDOWNS.values())
+    most = max(sizes.values(), default=0)
     return (counted.withColumn("rn", F.row_number().over(ranked)).filter(F.col("rn") <= most)
             .filter(F.col("rn") <= limit).drop("rn"))
 
 
 # ---------------------------------------------------------------------------------- raw JSON
-def _at_cut() -> Column:
-    path = F.col("path")
-    return F.length(path) - F.length(F.replace(path, F.lit("."), F.lit(""))) >= MAX_SEGMENTS - 1
-
-
-def _is_object() -> Column:
-    return F.schema_of_variant("node").startswith("OBJECT")
-
-
-def path_inventory(lines: DataFrame, value: str = "value") -> DataFrame:
+_NAME = re.compile(r"`(?:[^`]|``)*`|[^`:,<>]+")
+_KIND = re.compile(r"[A-Z_]+(?:\([^)]*\))?")
+
+
+def shape_paths(shape: str, max_segments: int | None = None) -> list[str]:
+    """Dotted paths that a record of this shape (the text of ``schema_of_variant``) fills."""
+    out: list[str] = []
+
+    def walk(at: int, path: str, shown: bool) -> int:
+        """Reads one type at ``at``; returns the place behind it."""
+        kind = _KIND.match(shape, at)
+        word, end = kind[0], kind.end()
+        cut = max_segments is not None and path.count(".") >= max_segments - 1
+        if word == "OBJECT":
+            if shown and cut:
+                out.append(path)
+            end += 1                                    # <
+            while shape[end] != ">":
+                name = _NAME.match(shape, end)
+                key = name[0][1:-1].replace("``", "`") if name[0][0] == "`" else name[0]
+                end = walk(name.end() + 2, f"{path}.{key}" if path else key, shown and not cut)
+                if shape[end] == ",":
+                    end += 2
+            return end + 1
+        if word == "ARRAY":
+            inner = end + 1
+            end = walk(inner, path, False)
+            if shown and (cut or shape[inner:end] != "VOID"):
+                out.append(path)
+            return end + 1
+        if shown and (cut or word != "VOID"):
+            out.append(path)
+        return end
+
+    walk(0, "", True)
+    return out
+
+
+def json_paths(text: str, max_segments: int | None = None) -> list[str]:
+    """The same of one JSON text."""
+    out: list[str] = []
+
+    def walk(node, path: str) -> None:
+        if max_segments is not None and path.count(".") >= max_segments - 1:
+            out.append(path)
+        elif isinstance(node, dict):
+            for key, value in node.items():
+                walk(value, f"{path}.{key}" if path else key)
+        elif node is not None and node != []:
+            out.append(path)
+
+    walk(json.loads(text), "")
+    return out
+
+
+def path_inventory(lines: DataFrame, value: str = "value",
+                   max_segments: int | None = None) -> DataFrame:
     """(path, filled, rate): dotted paths with how many records fill them.
 
-    Null, {} and [] do not fill a path and arrays are leaves. A path is cut at three dots, dots
-    inside keys included; at the cut it counts whatever it holds. ``rate`` is per readable record.
+    Null, {} and [] do not fill a path and arrays are leaves. With ``max_segments`` a path is cut
+    at so many segments, dots inside keys included; at the cut it counts whatever it holds.
+    ``rate`` is per readable record.
+
+    Records are counted by shape, with partial sums in every task, and paths are read off the
+    distinct shapes. A shape cannot tell [null] from []; records where that could matter are the
+    few that are opened one by one.
     """
-    parsed = lines.select(F.try_parse_json(value).alias("node")).filter("node is not null")
-    total = parsed.agg(F.count(F.lit(1)).alias("total"))
-    explode = lines.sparkSession.tvf.variant_explode_outer
-
-    def step(nodes: DataFrame) -> DataFrame:
-        # Rows that cannot be opened pass through with a null key and keep their path.
-        child = F.when(F.col("path") == "", F.col("key")).otherwise(
-            F.concat("path", F.lit("."), "key"))
-        opened = F.when(~_at_cut() & _is_object(), F.col("node"))
-        return (nodes.withColumn("opened", opened)
-                .lateralJoin(explode(F.col("opened").outer()))
-                .select(F.when(F.col("key").isNull(), F.col("path")).otherwise(child).alias("path"),
-                        F.when(F.col("key").isNull(), F.col("node")).otherwise(F.col("value"))
-                        .alias("node")))
-
-    nodes = parsed.select(F.lit("").alias("path"), "node")
-    for _ in range(MAX_SEGMENTS):
-        nodes = step(nodes)
-    kind = F.schema_of_variant("node")
-    empty = ((kind == "VOID") | _is_object()
-             | (kind.startswith("ARRAY") & (F.to_json("node") == "[]")))
-    found = nodes.filter(_at_cut() | ~empty)
-    counts = found.groupBy("path").agg(F.count(F.lit(1)).alias("filled"))
-    return counts.select("path", "filled",
-                         (F.lit(100.0) * F.col("filled") / total.scalar()).alias("rate"))
+    read = lines.select(F.col(value).alias("line"), F.try_parse_json(value).alias("node")).where(
+        "node is not null").withColumn("shape", F.schema_of_variant("node"))
+    unsure = F.col("shape").contains("ARRAY<VOID>") & F.col("line").rlike(r"\[\s*null")
+    # The digits of a number do not matter; a quoted key might look like a type.
+    shape = F.when(F.col("shape").contains("`"), F.col("shape")).otherwise(
+        F.regexp_replace("shape", r"DECIMAL\(\d+,\d+\)", "DOUBLE"))
+    shapes = read.where(~unsure).groupBy(shape.alias("shape")).agg(F.count(F.lit(1)).alias("n"))
+
+    def opened(column: str, paths: Callable[[str, int | None], list[str]]):
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                rows = [(p, n) for text, n in zip(frame[column], frame["n"])
+                        for p in (None, *paths(text, max_segments))]
+                yield pd.DataFrame(rows, columns=["path", "n"])
+        return run
+
+    known = shapes.mapInPandas(opened("shape", shape_paths), "path string, n bigint")
+    rest = read.where(unsure).select("line", F.lit(1).cast("bigint").alias("n")).mapInPandas(
+        opened("line", json_paths), "path string, n bigint")
+    counts = known.unionAll(rest).groupBy("path").agg(F.sum("n").alias("filled"))
+    # The row without a path counts records; the window runs over one row per path.
+    total = F.max(F.when(F.col("path").isNull(), F.col("filled"))).over(Window.partitionBy())
+    return counts.select("path", "filled", (F.lit(100.0) * F.col("filled") / total).alias("rate")
+                         ).where("path is not null")
 
 
 def value_frequencies(lines: DataFrame, path: str, k: int | None = 25,

@@ -49,9 +49,10 @@ def pending(queued: DataFrame, verdict_log: DataFrame, version: str, model: str)
     return queued.join(done, "entity_domain", "left_anti")
 
 
-def render_prompt(rows: DataFrame, template: str, name: str = "prompt") -> DataFrame:
+def render_prompt(rows: DataFrame, template: str, name: str = "prompt",
+                  max_items: int | None = None) -> DataFrame:
     """Fill ``{field}`` slots; the template is split once, here, into literals and columns.
-    A slot without a column renders as ``none``."""
+    A slot without a column renders as ``none``; ``max_items`` cuts lists."""
     arrays = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.ArrayType)}
     parts = []
     for piece in re.split(r"(\{\w+\})", template):
@@ -59,25 +60,23 @@ def render_prompt(rows: DataFrame, template: str, name: str = "prompt") -> DataF
         if not slot:
             parts.append(F.lit(piece))
         elif slot[1] in rows.columns:
-            parts.append(template_value(slot[1], slot[1] in arrays))
+            parts.append(template_value(slot[1], slot[1] in arrays, max_items))
         else:
             parts.append(F.lit("none"))
     return rows.withColumn(name, F.concat(*parts))
 
 
 def estimate(queued: DataFrame, template: str, system: str, model: str,
-             tool_schema: dict | str = "", sample_rows: int = 200,
-             chars_per_token: float = CHARS_PER_TOKEN,
+             tool_schema: dict | str = "", chars_per_token: float = CHARS_PER_TOKEN,
              output_tokens: int = ASSUMED_OUTPUT_TOKENS) -> DataFrame:
     """Price of a run without making a call: one row.
 
-    Mean prompt length comes from the first ``sample_rows`` of the queue, the count from all of
-    it. If the fixed block clears the model's cache floor it is written once and read afterwards.
+    Mean prompt length and count come from the whole queue. If the fixed block clears the model's cache floor it is written once and read afterwards.
     """
     tool = tool_schema if isinstance(tool_schema, str) else json.dumps(tool_schema)
-    head = render_prompt(take(queued, sample_rows), template).agg(
+    sizes = render_prompt(queued, template).agg(
+        F.count(F.lit(1)).alias("entities"),
         (F.avg(F.length("prompt")) / F.lit(chars_per_token)).alias("user_tokens"))
-    sizes = queued.agg(F.count(F.lit(1)).alias("entities"))
     block = F.lit(len(system) / chars_per_token + len(tool) / chars_per_token)
     n, user = F.col("entities"), F.col("user_tokens")
     zero = F.lit(0)
@@ -85,7 +84,7 @@ def estimate(queued: DataFrame, template: str, system: str, model: str,
     uncached = price_call(name, n * (block + user), zero, zero, n * output_tokens)
     cached = price_call(name, n * user, F.greatest(zero, n - 1) * block, block, n * output_tokens)
     fits = block >= cache_floor(name)
-    return (sizes.withColumn("user_tokens", head.scalar()).filter("entities > 0")
+    return (sizes.filter("entities > 0")
             .select("entities", F.lit(len(system) / chars_per_token).alias("system_tokens"),
                     F.lit(len(tool) / chars_per_token).alias("tool_tokens"),
                     "user_tokens", cache_floor(name).alias("cache_floor"),

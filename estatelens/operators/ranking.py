@@ -24,33 +24,43 @@ def _partition() -> Column:
     return F.shiftright("_place", INDEX_BITS)
 
 
-def _offsets(ordered: DataFrame, amount: Column) -> DataFrame:
-    """Total before each partition. The only unpartitioned window: one row per task."""
-    totals = ordered.groupBy(_partition().alias("_part")).agg(F.sum(amount).alias("_sum"))
+def _offsets(ordered: DataFrame, **amounts: Column) -> DataFrame:
+    """Totals before each partition. The only unpartitioned window: one row per task."""
+    totals = ordered.groupBy(_partition().alias("_part")).agg(
+        *[F.sum(amount).alias(name) for name, amount in amounts.items()])
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    return totals.select("_part", *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name)
+                                    for name in amounts])
 
 
 def with_position(df: DataFrame, order, name: str = "rank", start: int = 1) -> DataFrame:
     """Dense position in the global order, counted from ``start``."""
     ordered = _ordered(df, order)
-    offsets = _offsets(ordered, F.lit(1).cast("bigint"))
+    offsets = _offsets(ordered, _before=F.lit(1).cast("bigint"))
     inside = F.col("_place").bitwiseAND((1 << INDEX_BITS) - 1)
     return (ordered.withColumn("_part", _partition()).join(F.broadcast(offsets), "_part")
             .withColumn(name, F.col("_before") + inside + start)
             .drop("_part", "_place", "_before"))
 
 
+def with_running_totals(df: DataFrame, order, amounts: dict[str, Column]) -> DataFrame:
+    """For each name the sum of its amount over this row and all before it: one sort for all."""
+    own = {f"_amount{i}": amount for i, amount in enumerate(amounts.values())}
+    ordered = _ordered(df.withColumns(own), order)
+    offsets = _offsets(ordered, **{f"_before{i}": F.col(f"_amount{i}") for i in range(len(own))})
+    so_far = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    placed = ordered.withColumn("_part", _partition())
+    inside = placed.withColumns({f"_inside{i}": F.sum(f"_amount{i}").over(so_far)
+                                 for i in range(len(own))})
+    total = {name: F.col(f"_before{i}") + F.col(f"_inside{i}") for i, name in enumerate(amounts)}
+    helpers = [f"{kind}{i}" for kind in ("_amount", "_inside", "_before") for i in range(len(own))]
+    return (inside.join(F.broadcast(offsets), "_part").withColumns(total)
+            .drop("_part", "_place", *helpers))
+
+
 def with_running_total(df: DataFrame, order, amount: Column, name: str) -> DataFrame:
     """Sum of ``amount`` over this row and all before it in the global order."""
-    ordered = _ordered(df.withColumn("_amount", amount), order)
-    offsets = _offsets(ordered, F.col("_amount"))
-    inside = F.sum("_amount").over(Window.partitionBy("_part").orderBy("_place")
-                                   .rowsBetween(Window.unboundedPreceding, 0))
-    return (ordered.withColumn("_part", _partition()).withColumn("_inside", inside)
-            .join(F.broadcast(offsets), "_part")
-            .withColumn(name, F.col("_before") + F.col("_inside"))
-            .drop("_part", "_place", "_before", "_inside", "_amount"))
+    return with_running_totals(df, order, {name: amount})
 
 
 def value_at(df: DataFrame, column: str, fractions: dict[str, float]) -> DataFrame:

@@ -58,9 +58,6 @@ def stratified(pool: DataFrame, n: int, seed: str) -> DataFrame:
         Window.orderBy("band_no", "_h", "entity_domain"))).drop("_h", "_rn", "band_no")
 
 
-def band_counts(sample: DataFrame) -> DataFrame:
-    return sample.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
-
 
 def exclusions(*domain_sets: DataFrame) -> DataFrame:
     """Set union of domains not to sample."""
@@ -90,11 +87,13 @@ def next_batch(labels: DataFrame) -> DataFrame:
                       .alias("batch"))
 
 
-def worksheet_rows(sample: DataFrame, batch: int) -> DataFrame:
-    """Evidence with lists cut to 12 non-null items, a blank label and a note field."""
+def worksheet_rows(sample: DataFrame, batch: int, max_items: int | None = None) -> DataFrame:
+    """Evidence with lists of non-null items (on request only the first ``max_items``), a blank
+    label and a note field."""
     def clean(name: str) -> Column:
         if dict(sample.dtypes)[name].startswith("array"):
-            return F.slice(F.filter(name, lambda v: v.isNotNull()), 1, 12).alias(name)
+            items = F.filter(name, lambda v: v.isNotNull())
+            return (items if max_items is None else F.slice(items, 1, max_items)).alias(name)
         return F.col(name)
 
     return sample.select(

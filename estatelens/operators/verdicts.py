@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import json
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -12,10 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from estatelens import schemas
 from estatelens.config import CLASS_ALIASES, ENTITY_CLASSES, TOKEN_RATES
 from estatelens.functions.pricing import price_call
+from estatelens.functions.text import is_json_object
 from estatelens.operators.ranking import value_at
+from estatelens.session import written
 
 MAX_ATTEMPTS = 3
-WORKERS = 8
+WORKERS = 4                 # calls in flight per task
+CHUNK_ROWS = 100_000        # calls between two commits, about
 FIELDS = ("entity_class", "canonical_name", "confidence", "reasoning")
 
 _CALL = """
@@ -66,26 +69,30 @@ def _call(fn: Callable[[dict], dict], row: dict, max_attempts: int, retry_wait:
 
 
 def classify(rows: DataFrame, fn: Callable[[dict], dict], version: str, model: str,
-             workers: int = WORKERS, max_attempts: int = MAX_ATTEMPTS,
-             retry_wait: float = 0.0) -> DataFrame:
+             parallelism: int | None = None, workers: int = WORKERS,
+             max_attempts: int = MAX_ATTEMPTS, retry_wait: float = 0.0) -> DataFrame:
     """One result row per input row: the verdict when it is valid, and the trace always.
 
     ``fn`` takes a row as a dict and returns the four verdict fields, plus token counts if it has
-    them. Up to ``workers`` tasks call it at once. Write the result before using it twice, or the
-    calls are made twice: see ``run``.
+    them. ``parallelism`` tasks (the cluster's cores if not given) run at once, each with
+    ``workers`` calls in flight. Write the result before using it twice, or the calls are made
+    twice: see ``run``.
     """
     prompt = "prompt" in rows.columns
+    parallelism = parallelism or rows.sparkSession.sparkContext.defaultParallelism
+
+    def one(row: dict) -> dict:
+        return {"entity_domain": row["entity_domain"], "ts": time.time(),
+                "prompt_chars": len(row["prompt"]) if prompt else None,
+                **_call(fn, row, max_attempts, retry_wait)}
 
     def calls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.to_dict("records"):
-                out.append({"entity_domain": row["entity_domain"], "ts": time.time(),
-                            "prompt_chars": len(row["prompt"]) if prompt else None,
-                            **_call(fn, row, max_attempts, retry_wait)})
-            yield pd.DataFrame(out, columns=schemas.names(_CALL))
-
-    return (rows.repartition(workers, "entity_domain").mapInPandas(calls, _CALL)
+        with ThreadPoolExecutor(workers) as pool:
+            for batch in batches:
+                out = list(pool.map(one, batch.to_dict("records")))
+                yield pd.DataFrame(out, columns=schemas.names(_CALL))
+
+    return (rows.repartition(parallelism, "entity_domain").mapInPandas(calls, _CALL)
             .withColumns({"prompt_version": F.lit(version), "model": F.lit(model)}))
 
 
@@ -115,15 +122,33 @@ def traces_of(results: DataFrame, task: str = "entity_classification",
 
 
 def run(rows: DataFrame, fn: Callable[[dict], dict], version: str, model: str,
-        results_path: str, **options) -> tuple[DataFrame, DataFrame]:
-    """Call, append the combined result once, and return (verdicts, traces) read from it.
-
-    The append is the commit point: verdict and trace of a call appear together or not at all.
+        results_path: str, chunk_rows: int = CHUNK_ROWS,
+        on_chunk: Callable[[int], None] | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """Call for every row that this (version, model) has no verdict for yet, and return its
+    (verdicts, traces) from the stored results.
+
+    Rows are called in chunks of about ``chunk_rows``, dealt by hash; each chunk is appended when it
+    is done, verdict and trace of a call together. A run that dies keeps what it has appended, and
+    the next one calls only for the rest. A task that Spark repeats makes its calls again.
     """
+    spark = rows.sparkSession
+    n_chunks = max(1, -(-rows.count() // chunk_rows))
+    chunk = F.pmod(F.xxhash64("entity_domain"), F.lit(n_chunks))
     results = classify(rows, fn, version, model, **options)
-    results.write.mode("append").option("compression", "zstd").parquet(results_path)
-    stored = rows.sparkSession.read.schema(results.schema).parquet(results_path)
-    return verdicts_of(stored), traces_of(stored)
+
+    def stored() -> DataFrame:
+        known = spark.read.schema(results.schema).parquet(results_path)
+        return configuration(known, version, model)
+
+    results.limit(0).write.mode("append").parquet(results_path)       # so that there is a table
+    for i in range(n_chunks):
+        done = stored().where(chunk == i).where("error is null").select("entity_domain")
+        left = rows.where(chunk == i).join(done, "entity_domain", "left_anti")
+        (classify(left, fn, version, model, **options).write.mode("append")
+         .option("compression", "zstd").parquet(results_path))
+        if on_chunk:
+            on_chunk(i)
+    return verdicts_of(stored()), traces_of(stored())
 
 
 # -------------------------------------------------------------------------------------- logs
@@ -131,7 +156,11 @@ def line_order() -> Column:
     """Order of lines in an append-only set of text files: older file first, then position."""
     m = F.col("_metadata")
     return F.struct(m["file_modification_time"], m["file_path"], m["file_block_start"],
-                    F.monotonically_increasing_id())
+                    F.monotonically_increasing_id().alias("line"))
+
+
+SEQ = ("STRUCT<file_modification_time: TIMESTAMP, file_path: STRING, file_block_start: BIGINT, "
+       "line: BIGINT>")
 
 
 def read_log(spark: SparkSession, path: str, ddl: str, missing_ok: bool = False) -> DataFrame:
@@ -144,9 +173,9 @@ def read_log(spark: SparkSession, path: str, ddl: str, missing_ok: bool = False)
         fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
         found = fs.globStatus(jvm_path)
         if found is None or len(found) == 0:
-            return spark.createDataFrame([], f"{ddl}, seq BIGINT")
-    lines = spark.read.text(path).withColumn("seq", line_order())
-    parsed = lines.filter(F.json_object_keys("value").isNotNull()).select(
+            return spark.createDataFrame([], f"{ddl}, seq {SEQ}")
+    lines = spark.read.text(path).withColumn("seq", line_order().cast(SEQ))
+    parsed = lines.filter(is_json_object("value")).select(
         F.from_json("value", ddl).alias("r"), "seq")
     return parsed.select("r.*", "seq")
 
@@ -159,11 +188,6 @@ def read_traces(spark: SparkSession, path: str, missing_ok: bool = True) -> Data
     return read_log(spark, path, schemas.TRACE, missing_ok)
 
 
-def append_log(rows: DataFrame, path: str) -> None:
-    """Append verdicts or traces as JSON lines; one job, committed as a whole."""
-    rows.write.mode("append").json(path)
-
-
 def configuration(log: DataFrame, version: str, model: str) -> DataFrame:
     return log.filter((F.col("prompt_version") == version) & (F.col("model") == model))
 
@@ -185,12 +209,14 @@ def accepted_classes(verdicts: DataFrame, aliases: dict[str, str] = CLASS_ALIASE
 def unknown_classes(verdicts: DataFrame) -> DataFrame:
     """Offending classes with their count and up to three examples."""
     first_three = Window.partitionBy("entity_class").orderBy("entity_domain")
-    bad = accepted_classes(verdicts).filter(~F.col("entity_class").isin(*ENTITY_CLASSES))
+    known = F.coalesce(F.col("entity_class").isin(*ENTITY_CLASSES), F.lit(False))
+    bad = accepted_classes(verdicts).filter(~known)
     examples = (bad.withColumn("n", F.row_number().over(first_three)).filter("n <= 3")
                 .groupBy("entity_class")
                 .agg(F.array_sort(F.collect_list("entity_domain")).alias("examples")))
-    return bad.groupBy("entity_class").agg(F.count(F.lit(1)).alias("n")).join(
-        examples, "entity_class")
+    counted = bad.groupBy("entity_class").agg(F.count(F.lit(1)).alias("n"))
+    same = counted["entity_class"].eqNullSafe(examples["entity_class"])
+    return counted.join(examples, same).select(counted["entity_class"], "n", "examples")
 
 
 def configurations(log: DataFrame) -> DataFrame:
@@ -203,14 +229,15 @@ def publishable(log: DataFrame, version: str, model: str) -> DataFrame:
     Refuses to go on when that configuration is absent, or when a class is neither known nor an
     alias: a stray class would silently drop a real company.
     """
-    chosen = latest(configuration(log, version, model))
-    bad = unknown_classes(chosen).limit(20).collect()
+    chosen = written(latest(configuration(log, version, model)), "latest-verdicts")
+    # One row per class, and one per configuration: neither grows with the log's rows.
+    bad = unknown_classes(chosen).collect()
     if bad:
         raise UnknownClass("; ".join(f"{r.entity_class!r}: {r.n}, e.g. {r.examples}"
                                      for r in bad))
     if chosen.isEmpty():
         known = [f"{r[0]} / {r[1]}" for r in
-                 configurations(log).orderBy("prompt_version", "model").limit(100).collect()]
+                 configurations(log).orderBy("prompt_version", "model").collect()]
         raise NoVerdicts(f"no rows for {version} / {model}; available: {', '.join(known)}")
     return accepted_classes(chosen).select(*schemas.names(schemas.VERDICT))
 

@@ -53,13 +53,6 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when the input has fewer splits than cores (one small file, say). Large
-    inputs pass through unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def written(df: DataFrame, name: str = "step") -> DataFrame:
     """Cut lineage by writing a Parquet table to the shared folder and reading it back.
 
