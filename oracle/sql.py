@@ -5,8 +5,8 @@ from __future__ import annotations
 import json
 
 from estatelens import schemas
-from estatelens.operators import findings as texts
 from estatelens.plans import queries as q
+from oracle import texts
 from oracle.base import (AT_CLASSES, AT_HOSTS, AT_RAW, AT_ROLLUP, AT_STAGED, CATEGORIES, FIT,
                          INTENT, at_scores, at_signals, cert, class_of, evidence, matched,
                          norm_org, quote)
@@ -83,6 +83,12 @@ O["heartbleed_verdict"] = f"""select doc_id,
 HOST = "regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)"
 O["registrable_domain"] = f"""select page_id,
   regexp_extract({HOST}, '([^.]+\\.[^.]+)$', 1) as primary_domain from pages"""
+O["registrable_domain_suffixes"] = """select page_id, case page_id % 9
+    when 0 then concat('shop', page_id, '.com.vn') when 1 then concat('shop', page_id, '.co.ke')
+    when 2 then concat('shop', page_id, '.com.pe') when 3 then concat('shop', page_id, '.tk')
+    when 4 then concat('shop', page_id, '.bank') when 5 then concat('shop', page_id, '.any.ck')
+    when 6 then concat('shop', page_id, '.xn--p1ai') when 8 then 'www.ck' end as domain,
+  cast(null as varchar) as of_suffix from pages"""
 O["stage_casts"] = f"""select o_orderkey, cast(try_cast(raw as timestamp) as varchar) as cert_expires_at,
   cast(date_diff('day', date '1998-06-01', cast(try_cast(raw as timestamp) as date)) as integer)
     as days_to_cert_expiry
@@ -164,6 +170,10 @@ QUEUE = ("entity_domain", "orgs_seen", "primary_country", "n_hosts", "n_ports",
          "products", "technologies", "cloud_host_ratio", "waf_vendors", "fit_score",
          "intent_score", "n_signal_categories", "max_epss", "headline_cve",
          "headline_cve_product", "rule_class")
+O["layers_queue"] = O["queue_ranked"]
+O["layers_refuse"] = AT_RAW + "select true as stopped, count(*) as n from raw"
+O["provider_csv"] = """select lower(s_name) as pattern, s_name as provider,
+  if(s_nationkey > 9, 'hosting', null) as provider_class from supplier"""
 O["queue_top"] = S + f"select {cols(*QUEUE)} from (from queue order by {QORDER} limit 100)"
 LOG = f"""log as (select {q.EVENT_ENTITY} as entity_domain, {q.EVENT_VERSION} as prompt_version,
   {q.EVENT_MODEL} as model, {q.EVENT_CLASS} as entity_class,
@@ -179,7 +189,7 @@ O["pending_anti"] = S + f", {LOG} " + f"""select entity_domain, fit_score from q
 
 
 def slot_list(col: str) -> str:
-    return (f"coalesce(nullif(array_to_string(list_filter({col}, lambda v: v <> '')[1:12], ', '),"
+    return (f"coalesce(nullif(array_to_string(list_filter({col}, lambda v: v <> ''), ', '),"
             " ''), 'none')")
 
 
@@ -210,7 +220,7 @@ FITS = BLOCK >= 1024
 CACHED = price(M, "n * u", f"(n - 1) * {BLOCK!r}", f"{BLOCK!r}", "n * 140")
 UNCACHED = price(M, f"n * ({BLOCK!r} + u)", "0", "0", "n * 140")
 O["queue_cost"] = S + f""", sized as (select (select count(*) from queue) as n,
-    (select avg(length({PROMPT})) / 3.2 from (from queue order by {QORDER} limit 200)) as u)
+    (select avg(length({PROMPT})) / 3.2 from queue) as u)
   select n as entities, round(cast({SYS!r} as double), 6) as system_tokens,
     round(cast({TOOL!r} as double), 6) as tool_tokens, round(u, 6) as user_tokens,
     1024 as cache_floor, {str(FITS).lower()} as cached,
@@ -224,10 +234,11 @@ O["price_calls"] = f"""with u as (select conv_id, turn, length(text) as n, case
 VERDICT = ("entity_domain", "prompt_version", "model", "entity_class", "canonical_name",
            "confidence", "reasoning")
 O["verdict_latest"] = f"with {LOG}, {ACCEPTED} select {cols(*VERDICT)} from accepted"
-O["verdict_classes"] = f"""with {LOG}, bad as (select entity_domain from log where seq % 50 = 0)
-  select 'school' as entity_class, count(*) as n, (select string_agg(entity_domain, '|'
-    order by entity_domain) from (select entity_domain from bad order by 1 limit 3)) as examples
-  from bad"""
+O["verdict_classes"] = f"""with {LOG}, bad as (select entity_domain, if(seq % 50 = 0, 'school', null)
+    as entity_class, row_number() over (partition by seq % 50 order by entity_domain) as k
+  from log where seq % 50 < 2)
+  select entity_class, count(*) as n, string_agg(entity_domain, '|' order by entity_domain)
+    filter (where k <= 3) as examples from bad group by 1"""
 O["verdict_configurations"] = f"with {LOG} select distinct prompt_version, model from log"
 TRACES = ("traces as (select *, round(" + price(
     "model", "input_tokens", "cached_tokens", "cache_write_tokens", "output_tokens")
@@ -377,6 +388,7 @@ PARTS.append(found(
 G = C + ", found as (" + "\nunion all ".join(PARTS) + """), placed as (select *,
   cast(row_number() over (partition by entity_domain order by o) - 1 as integer) as position
   from found) """
+O["curated_written"] = O["curated_accounts"]
 O["findings_table"] = G + """select entity_domain, position, label, detail, evidence, phrase, severity
   from placed"""
 O["badges"] = G + """, all_badges as (
@@ -435,8 +447,7 @@ brief as (select c.*, (select phrase from seen_ s where s.entity_domain = c.enti
       and evidence = 'inferred') as inferred,
     (select label from placed p where p.entity_domain = c.entity_domain and position = 0) as lead,
     (select string_agg(concat('  · ', label, ': ', detail, '  [', evidence, ']'), chr(10)
-       order by position) from placed p where p.entity_domain = c.entity_domain
-       and position < 4) as proof
+       order by position) from placed p where p.entity_domain = c.entity_domain) as proof
   from curated c) """
 O["outreach"] = G + BRIEF + "\nunion all ".join(
     f"select entity_domain, {quote(f)} as format, {quote(t)} as tone, "
@@ -451,7 +462,7 @@ def paired(shift: int = 1, name: str = "pairs_") -> str:
     return f"""{name} as (select concat('d', doc_id, '.example') as entity_domain,
       {NTH('doc_id % 5')} as true_class, cast(doc_id % 3 + 1 as integer) as batch,
       if(quality = 1, {NTH('doc_id % 5')}, {NTH(f'(doc_id + toxic + {shift}) % 6')}) as predicted,
-      doc_id % 100 / 100.0 as confidence from labels where doc_id % 19 <> 0)"""
+      doc_id % 100 / 100.0 as confidence from labels where not (quality = 0 and toxic = 1))"""
 
 
 def prf(source: str, groups: str) -> str:
@@ -512,7 +523,7 @@ O["eval_stratified"] = POOL + """, bands(no, band) as (values (0, 'single host')
 
 
 def cut(col: str) -> str:
-    return f"array_to_string({col}[1:12], '|') as {col}"
+    return f"array_to_string({col}, '|') as {col}"
 
 
 O["worksheet_rows"] = POOL + f"""select entity_domain, orgs_seen, primary_country, n_hosts, n_ports,
@@ -521,13 +532,13 @@ O["worksheet_rows"] = POOL + f"""select entity_domain, orgs_seen, primary_countr
   cast(printf('%.2f', sequential_name_ratio) as double) as sequential_name_ratio,
   3 as batch, '' as true_class, '' as labeller_note from pool"""
 MERGED = """with sheet as (select concat('d', doc_id, '.example') as entity_domain,
-    case quality + toxic * 2 when 0 then 'end_customer_company' when 1 then 'hosting_or_cloud'
-      else 'isp_telco' end as c, if(doc_id % 2 = 0, concat('doc ', doc_id), '') as note
-  from labels where doc_id % 3 <> 0),
+    case when toxic = 1 then 'government_or_education' when quality = 0 then 'end_customer_company'
+      else 'hosting_or_cloud' end as c,
+    if(doc_id % 2 = 0 and toxic = 0, concat('doc ', doc_id), '') as note from labels),
 base as (select concat('d', doc_id, '.example') as entity_domain, 'unknown' as c, 'old' as note,
-    1 as batch from labels where doc_id % 2 = 0
+    1 as batch from labels where quality = 1
   union all select concat('d', doc_id, '.example'), '', '', 2 from documents where doc_id not in
-    (select doc_id from labels where doc_id % 2 = 0)),
+    (select doc_id from labels where quality = 1)),
 merged as (select entity_domain, coalesce(s.c, b.c) as true_class,
     coalesce(nullif(s.note, ''), b.note) as labeller_note, batch
   from base b left join sheet s using (entity_domain)) """
@@ -706,7 +717,11 @@ O["cost_drift"] = f"""with {TRACES}, run as (select ts, subject, row_number() ov
     abs(spent / call_no - 0.003) > 0.003 * 0.05 as alarm from run"""
 O["stream_ingest_table"] = AT_RAW + """select transport, count(*) as n,
     cast(sum(n_cves) as bigint) as n_cves from raw group by 1
-  union all select 'quarantine', count(*), 0 from documents"""
+  union all select 'quarantine', 2 * count(*), 0 from documents"""
+O["stream_ingest_resume"] = AT_RAW + """select cast((select count(*) from raw) + 2 * count(*) as bigint)
+  as records, 2 * count(*) as malformed, (select count(*) from raw) as scan_rows from documents"""
 O["stream_refresh_scores"] = O["scores_fixed"]
+O["eval_stored_runs"] = O["eval_delta"]
+O["eval_stored_details"] = O["eval_errors"]
 
 ORACLE = O

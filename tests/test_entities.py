@@ -98,7 +98,7 @@ def test_long_provider_lists_match_the_same(spark, settings):
     rollup = spark.createDataFrame(list(zip(names, orgs)), "entity_domain string, orgs_seen string")
     seed = providers.builtin(spark)
     loop = entities.seed_match(rollup, seed, settings).collect()
-    grams = entities.seed_match(rollup, seed, settings, max_patterns=5).collect()
+    grams = entities.seed_match_by_gram(rollup, seed, settings).collect()
     assert sorted(loop) == sorted(grams) and loop
 
 

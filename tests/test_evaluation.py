@@ -103,20 +103,37 @@ def test_baseline_selection(spark):
 
 
 def text(spark, *lines):
-    return spark.createDataFrame([(line,) for line in lines], "value string")
+    return spark.createDataFrame(list(enumerate(lines)), "seq bigint, value string")
 
 
 def test_worksheet(spark):
     df = text(spark, "# comment -> company", " 1. bond.style    -> company  # note # two",
-              "      JP · 1 hosts", "no number -> isp", "12. x.y -> ISP", "nothing here")
+              "      JP · 1 hosts", "no number -> isp", "9. x.y -> company", "12. x.y -> ISP",
+              "nothing here")
     got = {r.entity_domain: (r.true_class, r.note) for r in evaluation.worksheet_labels(df).collect()}
     assert got == {"bond.style": ("end_customer_company", "note # two"), "x.y": ("isp_telco", "")}
 
 
-@pytest.mark.parametrize("line,message", [("1. a.b ->", "no label"), ("1. a.b -> bank", "bank")])
-def test_worksheet_problems_stop_everything(spark, line, message):
-    with pytest.raises(evaluation.LabelProblem, match=message):
-        evaluation.worksheet_labels(text(spark, "2. ok.x -> isp", line))
+@pytest.mark.parametrize("line,problem", [("1. a.b ->", "no label"),
+                                          ("1. a.b -> bank", "unknown word bank")])
+def test_worksheet_problems_stop_everything(spark, line, problem):
+    sheet = text(spark, "2. ok.x -> isp", line)
+    assert [r.problem for r in evaluation.parse_worksheet(sheet).collect()] == [None, problem]
+    with pytest.raises(evaluation.LabelProblem, match="1 lines .* a.b"):
+        evaluation.worksheet_labels(sheet)
+
+
+def test_worksheet_needs_an_order(spark):
+    with pytest.raises(evaluation.LabelProblem, match="seq"):
+        evaluation.worksheet_labels(spark.createDataFrame([("1. a.b -> isp",)], "value string"))
+
+
+def test_incomplete_sets_are_refused(spark):
+    rows = spark.createDataFrame([("a", "isp_telco"), ("b", ""), ("c", None)],
+                                 "entity_domain string, true_class string")
+    with pytest.raises(evaluation.LabelProblem, match="2 rows"):
+        evaluation.complete(rows)
+    assert evaluation.complete(rows.where("entity_domain = 'a'")).count() == 1
 
 
 def test_label_merge(spark):

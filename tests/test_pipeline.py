@@ -1,9 +1,12 @@
+import datetime
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from estatelens.config import DEFAULTS, PARITY
+from estatelens.functions.domains import SuffixRules
 from estatelens.operators import audit, curated, findings, profiling, quality, scoring, signals
 from estatelens.operators import entities as E, staging
 from estatelens.operators.quality import Check, QualityError
@@ -28,8 +31,8 @@ def sample_rows(n=400):
              "scanned_at": f"2026-01-{1 + i % 5:02d} 00:00:00"} for i in range(n)]
 
 
-def batch_scores(spark, rows, settings=DEFAULTS):
-    hosts = E.entity_hosts(staging.stage(scan(spark, rows), AS_OF))
+def batch_scores(spark, rows, settings=DEFAULTS, as_of=AS_OF):
+    hosts = E.entity_hosts(staging.stage(scan(spark, rows), as_of))
     classes = E.classify_by_rule(E.entity_rollup(hosts), providers.builtin(spark), settings)
     return scoring.score(signals.company_signals(hosts, classes, settings=settings), settings)
 
@@ -75,34 +78,45 @@ def test_warning_threshold(spark):
     assert got == {"a": (2, "warn"), "b": (2, "error"), "c": (2, "pass"), "unique_x": (0, "pass")}
 
 
-def test_stream_ingest_resumes_without_loss_or_repeats(spark, tmp_path):
-    home = {k: str(tmp_path / k) for k in ("in", "out", "bad", "checkpoint")}
-    os.mkdir(home["in"])
+RULES = SuffixRules.parse(["com"])
+
 
-    def run():
-        q = stream_ingest.ingest(stream_ingest.stream_source(spark, home["in"]), home["out"],
-                                 home["bad"], home["checkpoint"])
-        q.awaitTermination()
-        return sorted(r.org for r in spark.read.parquet(home["out"]).collect())
+def ingest(spark, home, source=None, **options):
+    source = source or stream_ingest.stream_source(spark, str(home / "in"))
+    stream_ingest.ingest(source, str(home / "out"), str(home / "checkpoint"), RULES,
+                         **options).awaitTermination()
+    return sorted(r.org for r in stream_ingest.ingested(spark, str(home / "out")).collect())
 
+
+def test_stream_ingest_resumes_without_loss_or_repeats(spark, tmp_path):
+    os.mkdir(tmp_path / "in")
     (tmp_path / "in" / "1.json").write_text('{"org": "a", "timestamp": "2026-01-01"}\n{broken\n')
-    assert run() == ["a"]
+    assert ingest(spark, tmp_path) == ["a"]
     (tmp_path / "in" / "2.json").write_text('{"org": "b"}\n')
-    assert run() == ["a", "b"] and run() == ["a", "b"]
-    assert [r.value for r in spark.read.text(home["bad"]).collect()] == ["{broken"]
+    assert ingest(spark, tmp_path) == ["a", "b"] and ingest(spark, tmp_path) == ["a", "b"]
+    out = str(tmp_path / "out")
+    assert [r.line for r in stream_ingest.quarantined(spark, out).collect()] == ["{broken"]
+    assert sorted((r.batch_id, r.records, r.malformed)
+                  for r in stream_ingest.totals(spark, out).collect()) == [(0, 2, 1), (1, 1, 0)]
+
+
+@pytest.mark.parametrize("line", ['{"a":1} {"b":2}', '{"a":1}}', '{"a":1},{}', "{'a':1}",
+                                  '{"port":1}x}', "[1]", "null", "{}],[{}", ""])
+def test_near_misses_are_refused(spark, tmp_path, line):
+    os.mkdir(tmp_path / "in")
+    (tmp_path / "in" / "1.json").write_text(line + '\n {"org": "a"} \n')
+    assert ingest(spark, tmp_path, by_date=False) == ["a"]
+    assert [r.line for r in stream_ingest.quarantined(spark, str(tmp_path / "out")).collect()] == [line]
 
 
 def test_replayed_batch_is_not_counted_twice(spark, tmp_path):
     """The last commit is lost, as when a run dies after its write: the batch runs again."""
-    home = {k: str(tmp_path / k) for k in ("in", "out", "bad", "checkpoint")}
-    os.mkdir(home["in"])
+    os.mkdir(tmp_path / "in")
     (tmp_path / "in" / "1.json").write_text('{"org": "a"}\n{"org": "b"}\n')
     for _ in range(2):
-        stream_ingest.ingest(stream_ingest.stream_source(spark, home["in"]), home["out"],
-                             home["bad"], home["checkpoint"]).awaitTermination()
+        assert ingest(spark, tmp_path) == ["a", "b"]
         for f in (tmp_path / "checkpoint" / "commits").iterdir():
             f.unlink()
-    assert spark.read.parquet(home["out"]).count() == 2
 
 
 def test_stream_of_zstd_files(spark, tmp_path):
@@ -110,30 +124,47 @@ def test_stream_of_zstd_files(spark, tmp_path):
     os.mkdir(tmp_path / "in")
     (tmp_path / "in" / "a.json.zst").write_bytes(zstandard.compress(b'{"org": "a"}\n{"org": "b"}\n'))
     source = stream_ingest.stream_source(spark, str(tmp_path / "in"), compressed=True)
-    stream_ingest.ingest(source, str(tmp_path / "out"), str(tmp_path / "bad"),
-                         str(tmp_path / "checkpoint")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    assert ingest(spark, tmp_path, source) == ["a", "b"]
 
 
 @pytest.mark.parametrize("settings", [DEFAULTS, PARITY])
 def test_refresh_equals_full_run(spark, tmp_path, settings):
+    """Three batches; scores on any later date equal a full run on it, also of entities that the
+    last batches did not touch."""
     rows, state = sample_rows(), str(tmp_path / "state")
     seen = []
     for part in range(3):
         scan(spark, rows[part::3]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream_refresh.refresh(
             stream_refresh.scan_stream(spark, str(tmp_path / "in")), state,
-            str(tmp_path / "checkpoint"), providers.builtin(spark), AS_OF, settings,
+            str(tmp_path / "checkpoint"), providers.builtin(spark), settings, 4,
             lambda df, i: seen.append((i, df.count()))).awaitTermination()
     assert [i for i, _ in seen] == [0, 1, 2]
-    now = stream_refresh.current_scores(spark, state)
-    assert as_rows(now) == as_rows(batch_scores(spark, rows, settings))
     small = str(tmp_path / "compacted")
-    stream_refresh.compact(spark, state, small)
-    assert as_rows(stream_refresh.current_scores(spark, small)) == as_rows(now)
+    stream_refresh.compact(spark, state, small, 4)
+    for days in (0, 10, 400):
+        date = datetime.date.fromisoformat(str(AS_OF)) + datetime.timedelta(days)
+        want = as_rows(batch_scores(spark, rows, settings, date))
+        assert as_rows(stream_refresh.current_scores(spark, state, date, settings)) == want
+        assert as_rows(stream_refresh.current_scores(spark, small, date, settings)) == want
     parts = {n: spark.read.parquet(f"{small}/{n}") for n in stream_refresh.PARTS}
-    again = stream_refresh.scores_from(stream_refresh.merged(parts), providers.builtin(spark), settings)
-    assert as_rows(again) == as_rows(now)
+    again = stream_refresh.signals_from(stream_refresh.merged(parts), providers.builtin(spark), settings)
+    assert as_rows(stream_refresh.scored_at(again, AS_OF, settings)) == as_rows(
+        batch_scores(spark, rows, settings))
+
+
+def test_refresh_reads_touched_buckets_only(spark, tmp_path):
+    state = str(tmp_path / "state")
+    for i, rows in enumerate((sample_rows(), sample_rows(1))):
+        scan(spark, rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream_refresh.refresh(stream_refresh.scan_stream(spark, str(tmp_path / "in")), state,
+                               str(tmp_path / "checkpoint"), providers.builtin(spark),
+                               buckets=64).awaitTermination()
+    touched = stream_refresh.touched_buckets(spark, state, 1)
+    assert len(touched) < len(stream_refresh.touched_buckets(spark, state, 0))
+    plan = stream_refresh.known_partials(spark, state, 1)["facets"]._jdf.queryExecution().toString()
+    [filters] = {m for m in re.findall(r"PartitionFilters: \[(.*?)\], Push", plan) if "bucket" in m and "<=" in m}
+    assert "bucket" in filters
 
 
 # --------------------------------------------------------------------------- account table
@@ -165,9 +196,6 @@ def test_final_tiers_and_privacy(spark, tmp_path):
         curated.write_curated(got.withColumn("ip", F.lit("1")), str(tmp_path / "x"))
     curated.write_curated(got, str(tmp_path / "ok"))
     assert curated.table_bytes(spark, str(tmp_path / "ok")) > 0
-    big = curated.curate(scores, verdict_rows(
-        spark, ("a", "v", "m", "unknown", None, 0.9, "r")), max_broadcast=0)
-    assert big.count() == 1
     curated.export_csv(curated.crm_columns(got), str(tmp_path / "csv"))
     assert spark.read.csv(str(tmp_path / "csv"), header=True).columns[:2] == ["Company", "Domain"]
 
@@ -228,8 +256,27 @@ def test_path_inventory(spark):
     df = spark.createDataFrame([(x,) for x in (
         '{"a": {"b": {"c": {"d": {"e": 1}}}}}', '{"a": {}, "b": [], "c": null, "d": [null]}',
         '{"a": {"b": {"c": {"d": null}}}}', '{"x.y": {"z": {"w": {"q": 1}}}}', "bad")], "value string")
-    got = {r.path: (r.filled, r.rate) for r in profiling.path_inventory(df).collect()}
+    got = {r.path: (r.filled, r.rate) for r in profiling.path_inventory(df, max_segments=4).collect()}
     assert got == {"a.b.c.d": (2, 50.0), "d": (1, 25.0), "x.y.z.w": (1, 25.0)}
+    got = {r.path: (r.filled, r.rate) for r in profiling.path_inventory(df).collect()}
+    assert got == {"a.b.c.d.e": (1, 25.0), "d": (1, 25.0), "x.y.z.w.q": (1, 25.0)}
+
+
+def test_paths_of_shapes_are_paths_of_texts(spark):
+    texts = ('{"a.b":1,"c d":[null],"e":[],"f":{},"g":null,"x":1.25,"h`i":[{"q":null}],"z":"s, t: >"}',
+             '{"k":{"l":{"m":[1,"a"],"n":[[]],"o":[{}],"p":{"q":{}}}}, "DECIMAL(3,1)": {"a": 2.5}}',
+             '[]', '[1]', '5', 'null', '{"": {"": true}}')
+    shapes = spark.createDataFrame([(t,) for t in texts], "value string").selectExpr(
+        "value", "schema_of_variant(parse_json(value)) as shape").collect()
+    for row in shapes:
+        for depth in (None, 1, 2, 3):
+            want = profiling.json_paths(row.value, depth)
+            if row.value != texts[0]:           # there [null] and [] differ
+                assert sorted(profiling.shape_paths(row.shape, depth)) == sorted(want)
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = {r.path: r.filled for r in profiling.path_inventory(df).collect()}
+    want = [p for t in texts for p in profiling.json_paths(t)]
+    assert got == {p: want.count(p) for p in want}
 
 
 def test_value_frequencies(spark):

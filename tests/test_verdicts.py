@@ -144,5 +144,55 @@ def test_running_total(spark):
 def test_prompt_rendering(spark):
     df = spark.createDataFrame([("a.com", None, 3, [None, "", *"abcdefghijklmn"]), ("b", "x", 0, [])],
                                "entity_domain string, c string, n int, xs array<string>")
-    got = [r.prompt for r in queueing.render_prompt(df, "{entity_domain}/{c}/{n}/{xs}/{gone}").collect()]
-    assert got == ["a.com/none/3/a, b, c, d, e, f, g, h, i, j, k, l/none", "b/x/0/none/none"]
+    template = "{entity_domain}/{c}/{n}/{xs}/{gone}"
+    got = [r.prompt for r in queueing.render_prompt(df, template).collect()]
+    assert got == ["a.com/none/3/a, b, c, d, e, f, g, h, i, j, k, l, m, n/none", "b/x/0/none/none"]
+    got = [r.prompt for r in queueing.render_prompt(df, template, max_items=2).collect()]
+    assert got == ["a.com/none/3/a, b/none", "b/x/0/none/none"]
+
+
+class Counting:
+    """Leaves one file per call, so that calls of any process are seen."""
+
+    def __init__(self, folder):
+        self.folder = str(folder)
+
+    def __call__(self, row):
+        import uuid
+        open(f"{self.folder}/{row['entity_domain']}.{uuid.uuid4().hex}", "w").close()
+        return {"entity_class": "isp_telco", "canonical_name": "x", "confidence": 0.5, "reasoning": "y"}
+
+
+def test_a_run_that_dies_keeps_its_calls(spark, tmp_path):
+    (tmp_path / "calls").mkdir()
+    fn, store = Counting(tmp_path / "calls"), str(tmp_path / "r")
+    rows = spark.createDataFrame([(f"e{i}",) for i in range(60)], "entity_domain string")
+
+    def stop(chunk):
+        if chunk == 2:
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        verdicts.run(rows, fn, "v1", "m", store, chunk_rows=10, on_chunk=stop, parallelism=2)
+    early = len(list((tmp_path / "calls").iterdir()))
+    assert 0 < early < 60
+    found, _ = verdicts.run(rows, fn, "v1", "m", store, chunk_rows=10, parallelism=2)
+    assert found.count() == 60
+    names = [p.name.split(".")[0] for p in (tmp_path / "calls").iterdir()]
+    assert sorted(names) == sorted(f"e{i}" for i in range(60))
+    other, _ = verdicts.run(rows.limit(5), fn, "v2", "m", store, parallelism=2)
+    assert other.count() == 5 and {r.prompt_version for r in other.collect()} == {"v2"}
+
+
+def test_a_null_class_is_refused(spark):
+    log = spark.createDataFrame([("a", "v", "m", None, "n", 0.5, "r", 1)],
+                                schemas.VERDICT + ", seq BIGINT")
+    with pytest.raises(verdicts.UnknownClass, match="None"):
+        verdicts.publishable(log, "v", "m")
+
+
+def test_an_absent_log_has_the_same_type(spark, tmp_path):
+    (tmp_path / "log.json").write_text('{"subject": "a"}\n')
+    there = verdicts.read_traces(spark, str(tmp_path / "log.json"))
+    assert there.dtypes == verdicts.read_traces(spark, str(tmp_path / "none.json")).dtypes
+    assert there.count() == 1
