@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from estatelens import schemas
-from estatelens.session import spread
 
 AS_OF = "1998-06-01"
 TABLES = ("lineitem", "orders", "supplier", "nation", "region", "part")
@@ -135,7 +134,6 @@ def select_list(array) -> str:
 
 def _view(spark: SparkSession, sf_dir: str, columns: str) -> DataFrame:
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
-    tables["lineitem"] = spread(tables["lineitem"])
     sql = f"select {columns} {FROM}"
     for t in TABLES:                       # from lineitem l -> from {lineitem} l
         sql = sql.replace(f" {t} {t[0]} ", f" {{{t}}} {t[0]} ")
