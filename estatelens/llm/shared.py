@@ -4,17 +4,17 @@ Two equal windows have equal grams, so the smallest gram hash of a window (its m
 same wherever the window stands. A document is cut into runs of consecutive windows with the same
 minimizer; a run and the n - 1 items behind it are its segment. Only equal minimizers have to meet:
 
-1. minimizers per document, as (minimizer, smallest and largest doc_id) already combined per slice
-   of text, are aggregated; those of one document only are done with, and with them nearly all text;
-2. segments with a shared minimizer are written, and equal segments become one, with the smallest
-   doc_id that has it: every other holder loses all its windows, however many holders there are;
-3. different segments with the same minimizer are compared by the operator's own method, block by
-   block, which says for each segment which of its windows occur in a smaller document. A
-   minimizer with very many different segments is not compared in one block: its windows are
-   aggregated one by one instead, with partial sums in every task;
-4. the answers are joined back to the documents that hold the segments.
-
-No step gathers the holders of a segment, a minimizer or a window in one place.
+1. of equal texts the one with the smallest doc_id goes on; the others lose all they have;
+2. minimizers are counted (per slice of text first, then over all); those of one document only are
+   done with, and with them most of the text;
+3. segments with a shared minimizer are dealt to blocks by minimizer. Within a block equal segments
+   become one, with the smallest doc_id that has it: every other holder loses all its windows. The
+   different segments are compared by the operator's own method, which says which of their windows
+   occur in a smaller document;
+4. a minimizer with very many segments would make a block too large. Its segments and windows are
+   aggregated one by one instead, with partial sums in every task, and joined back.
+
+No step gathers the holders of a text, a frequent minimizer or a frequent window in one place.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ from estatelens.llm.rules import fresh_name
 from estatelens.session import written
 
 BROADCAST_LONGS = 4_000_000      # a list of this many longs (32 MB) at most is broadcast
-HOT_SEGMENTS = 20_000            # different segments of one minimizer compared in one block
+HOT_SEGMENTS = 20_000            # segments of one minimizer dealt to one block
+WHOLE = -1                       # as the end of a span: the whole text
 RESULT = T.StructType([
     T.StructField("n_items", T.LongType(), False), T.StructField("n_removed", T.LongType(), False),
     T.StructField("n_spans", T.LongType(), False), T.StructField("kept", T.BinaryType(), False)])
@@ -77,6 +78,9 @@ class WordItems:
         items = segment.split()
         return [b" ".join(items[i:i + n]) for i in range(len(items) - n + 1)]
 
+    def count(self, text: str) -> int:
+        return len(text.encode().split())
+
     def keep(self, text: str, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
         items = text.encode().split()
         kept, at = [], 0
@@ -110,6 +114,9 @@ class ByteItems:
     def windows_of(self, segment: bytes, n: int) -> list[bytes]:
         return [segment[i:i + n] for i in range(len(segment) - n + 1)]
 
+    def count(self, text: str) -> int:
+        return len(text.encode())
+
     def keep(self, text: str, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
         data = text.encode()
         kept, at = [], 0
@@ -167,20 +174,24 @@ def runs(search: Search, texts: pa.Array) -> tuple[np.ndarray, ...]:
 
 
 def _minimizers(docs: DataFrame, search: Search) -> DataFrame:
+    """(m, docs, runs) per minimizer and slice of text."""
     def run(batches):
         for batch in words.slices(batches):
             doc, least, *_ = runs(search, batch.column("text"))
             if not len(doc):
                 continue
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[doc]
-            order = np.argsort(least, kind="stable")
+            order = np.lexsort((ids, least))
             least, ids = least[order], ids[order]
-            new = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+            new = np.append(True, least[1:] != least[:-1])
+            other = np.append(True, ids[1:] != ids[:-1]) | new
+            first = np.flatnonzero(new)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(least[new].view(np.int64)), pa.array(np.minimum.reduceat(ids, new)),
-                 pa.array(np.maximum.reduceat(ids, new))], ["m", "lo", "hi"])
+                [pa.array(least[first].view(np.int64)),
+                 pa.array(np.add.reduceat(other.astype(np.int64), first)),
+                 pa.array(np.diff(np.append(first, len(least))))], ["m", "docs", "runs"])
 
-    return docs.mapInArrow(run, "m bigint, lo bigint, hi bigint")
+    return docs.mapInArrow(run, "m bigint, docs bigint, runs bigint")
 
 
 def _segments(docs: DataFrame, search: Search) -> DataFrame:
@@ -202,78 +213,103 @@ def _segments(docs: DataFrame, search: Search) -> DataFrame:
         run, "m bigint, doc_id bigint, tie bigint, start bigint, windows int, segment binary")
 
 
-def _among(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose ``m`` is among ``keys`` (a written table of one bigint column): broadcast if
-    the list is short by its row count, else a shuffled join."""
-    short = keys.count() <= BROADCAST_LONGS
-    return rows.join(F.broadcast(keys) if short else keys, "m", "left_semi")
-
-
-def _compare_blocks(table: DataFrame, search: Search, n_blocks: int) -> DataFrame:
-    """(d1, d2, places): windows of each segment that a smaller document has."""
-    def run(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        places = search.compare(group["segment"].to_pylist(), group["first"].to_numpy())
-        some = [i for i, p in enumerate(places) if p]
-        at = pa.array(some, pa.int64())
-        return pa.table({"d1": group["d1"].take(at), "d2": group["d2"].take(at),
-                         "places": pa.array([places[i] for i in some], pa.list_(pa.int32()))})
+def _among(rows: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose key is (or is not) in ``keys``, a written table of bigint columns: broadcast if
+    it is short by its row count, else a shuffled join."""
+    short = keys.count() * len(keys.columns) <= BROADCAST_LONGS
+    return rows.join(F.broadcast(keys) if short else keys, keys.columns, how)
+
+
+def _in_blocks(held: DataFrame, search: Search, n_blocks: int) -> DataFrame:
+    """(doc_id, tie, b, e): spans to remove, found block by block."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        m, doc, start, count = (table[c].to_numpy() for c in ("m", "doc_id", "start", "windows"))
+        coded = pc.dictionary_encode(table["segment"]).combine_chunks()
+        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        first = np.full(len(coded.dictionary), np.iinfo(np.int64).max)
+        np.minimum.at(first, which, doc)
+        own = np.zeros(len(first), np.int64)
+        own[which] = m
+        _, group, sizes = np.unique(own, return_inverse=True, return_counts=True)
+        several = np.flatnonzero(sizes[group] > 1)
+        places: dict[int, list[int]] = {}
+        if len(several):
+            found = search.compare(coded.dictionary.take(pa.array(several)).to_pylist(),
+                                   first[several])
+            places = {u: p for u, p in zip(several.tolist(), found) if p}
+        every = np.flatnonzero(doc > first[which])
+        begin, end, row = [start[every]], [start[every] + count[every] + search.n - 1], [every]
+        partly = np.zeros(len(first), bool)
+        partly[list(places)] = True
+        for i in np.flatnonzero(partly[which] & (doc == first[which])).tolist():
+            for a, b in merged([(p, p + search.n) for p in places[which[i]]]):
+                begin.append([start[i] + a])
+                end.append([start[i] + b])
+                row.append([i])
+        at = pa.array(np.concatenate(row).astype(np.int64))
+        return pa.table({"doc_id": table["doc_id"].take(at), "tie": table["tie"].take(at),
+                         "b": np.concatenate(begin).astype(np.int64),
+                         "e": np.concatenate(end).astype(np.int64)})
 
     block = F.pmod(F.xxhash64("m"), F.lit(n_blocks))
-    return table.withColumn("block", block).groupBy("block").applyInArrow(
-        run, "d1 bigint, d2 bigint, places array<int>")
+    return held.withColumn("block", block).groupBy("block").applyInArrow(
+        run, "doc_id bigint, tie bigint, b bigint, e bigint")
 
 
-def _compare_hot(table: DataFrame, search: Search) -> DataFrame:
-    """The same for minimizers with very many segments: one row per window, aggregated."""
+def _one_by_one(held: DataFrame, search: Search) -> DataFrame:
+    """The same for minimizers with very many segments: segments, then windows, aggregated."""
     def run(batches):
         for batch in batches:
-            out = []
-            for i, segment in enumerate(batch.column("segment").to_pylist()):
-                out += [(i, k, xxhash.xxh3_128_digest(w))
-                        for k, w in enumerate(search.items.windows_of(segment, search.n))]
+            out = [(i, k, xxhash.xxh3_128_digest(w))
+                   for i, segment in enumerate(batch.column("segment").to_pylist())
+                   for k, w in enumerate(search.items.windows_of(segment, search.n))]
             at = pa.array([i for i, _, _ in out], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(at) for c in ("d1", "d2", "first")),
+                [batch.column("segment").take(at), batch.column("first").take(at),
                  pa.array([k for _, k, _ in out], pa.int32()),
                  pa.array([w for _, _, w in out], pa.binary())],
-                ["d1", "d2", "first", "place", "window"])
+                ["segment", "first", "place", "window"])
 
-    spread = table.mapInArrow(run, "d1 bigint, d2 bigint, first bigint, place int, window binary")
+    held = written(held, "hot-segments")
+    unique = written(held.groupBy("segment").agg(F.min("doc_id").alias("first")), "hot-unique")
+    spread = unique.mapInArrow(run, "segment binary, first bigint, place int, window binary")
     owner = spread.groupBy("window").agg(F.min("first").alias("owner"))
-    return (spread.join(owner, "window").where("owner < first").groupBy("d1", "d2")
-            .agg(F.collect_list("place").alias("places")))          # at most a segment's windows
+    answers = (spread.join(owner, "window").where("owner < first").groupBy("segment")
+               .agg(F.collect_list("place").alias("places")))       # at most a segment's windows
+    known = written(unique.join(answers, "segment", "left"), "hot-answers")
+    begin, n = F.col("start"), search.n
+    every = F.array(F.struct(begin.alias("b"), (begin + F.col("windows") + (n - 1)).alias("e")))
+    some = F.transform(F.coalesce("places", F.array().cast("array<int>")),
+                       lambda p: F.struct((begin + p).alias("b"), (begin + p + n).alias("e")))
+    return (held.join(known, "segment").select("doc_id", "tie", F.inline(
+        F.when(F.col("doc_id") > F.col("first"), every).otherwise(some))))
 
 
 def spans(docs: DataFrame, search: Search) -> DataFrame:
-    """(doc_id, tie, spans): items to remove, as unordered, overlapping (begin, end) pairs. ``docs``
-    has doc_id, text and tie, a hash of the text that tells rows of equal doc_id apart."""
+    """(doc_id, tie, spans): items to remove, as unordered, overlapping (b, e) pairs. ``docs`` has
+    doc_id, text and tie, a hash of the text that tells rows of equal doc_id apart."""
     docs = docs.where("doc_id is not null and text is not null").select("doc_id", "text", "tie")
+    texts = docs.select("doc_id", "tie", F.xxhash64(F.lit(7), "text").alias("again"))
+    least = texts.groupBy("tie", "again").agg(F.min("doc_id").alias("first"))
+    copies = written(texts.join(least, ["tie", "again"]).where("doc_id > first")
+                     .select("doc_id", "tie").distinct(), "copies")
+    docs = _among(docs, copies, "left_anti")
     shared = written(_minimizers(docs, search).groupBy("m")
-                     .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-                     .where("lo < hi").select("m"), "shared-minimizers")
-    held = _among(_segments(docs, search), shared)
-    held = written(held.withColumns({"d1": F.xxhash64("segment"),
-                                     "d2": F.xxhash64(F.lit(7), "segment")}), "shared-segments")
-    unique = written(held.groupBy("m", "segment", "d1", "d2").agg(F.min("doc_id").alias("first")),
-                     "unique-segments")
-    several = written(unique.groupBy("m").count().where("count > 1"), "several-segments")
-    hot = several.where(F.col("count") > search.hot_segments).select("m")
-    cool = several.where(F.col("count") <= search.hot_segments)
-    n_segments = cool.agg(F.sum("count")).first()[0] or 0
+                     .agg(F.sum("docs").alias("docs"), F.sum("runs").alias("runs"))
+                     .where("docs > 1").select("m", "runs"), "shared-minimizers")
+    cool = shared.where(F.col("runs") <= search.hot_segments)
+    n_segments = cool.agg(F.sum("runs")).first()[0] or 0
     n_blocks = max(1, -(-n_segments // search.block_segments))
-    answers = _compare_blocks(_among(unique, cool.select("m")), search, n_blocks)
+    segments = _segments(docs, search)
+    found = _in_blocks(_among(segments, cool.select("m")), search, n_blocks)
+    hot = shared.where(F.col("runs") > search.hot_segments).select("m")
     if not hot.isEmpty():
-        answers = answers.unionAll(_compare_hot(_among(unique, hot), search))
-    known = unique.select("d1", "d2", "first").join(written(answers, "answers"), ["d1", "d2"], "left")
-    begin, n = F.col("start"), search.n
-    every = F.array(F.struct(begin.alias("b"), (begin + F.col("windows") + (n - 1)).alias("e")))
-    some = F.transform(F.coalesce("places", F.array().cast("array<int>")),
-                       lambda p: F.struct((begin + p).alias("b"), (begin + p + n).alias("e")))
-    found = (held.select("doc_id", "tie", "start", "windows", "d1", "d2").join(known, ["d1", "d2"])
-             .select("doc_id", "tie", F.explode(
-                 F.when(F.col("doc_id") > F.col("first"), every).otherwise(some)).alias("span")))
-    return found.groupBy("doc_id", "tie").agg(F.collect_list("span").alias("spans"))
+        found = found.unionByName(_one_by_one(_among(segments, hot), search))
+    whole = copies.select("doc_id", "tie", F.lit(0).cast("bigint").alias("b"),
+                          F.lit(WHOLE).cast("bigint").alias("e"))
+    return (found.unionByName(whole).groupBy("doc_id", "tie")
+            .agg(F.collect_list(F.struct("b", "e")).alias("spans")))    # at most a text's segments
 
 
 def merged(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -303,8 +339,12 @@ def mark(docs: DataFrame, search: Search, name: str) -> DataFrame:
             out = []
             for value, pairs in zip(batch.column("text").cast(pa.string()).to_pylist(),
                                     batch.column(found).to_pylist()):
-                ends = merged([(p["b"], p["e"]) for p in pairs or ()])
-                out.append((*search.items.keep(value or "", ends), len(ends)))
+                text, ends = value or "", [(p["b"], p["e"]) for p in pairs or ()]
+                if any(e == WHOLE for _, e in ends):
+                    n = search.items.count(text)
+                    ends = [(0, n)] if n >= search.n else []
+                ends = merged(ends)
+                out.append((*search.items.keep(text, ends), len(ends)))
             result = pa.StructArray.from_arrays(
                 [pa.array([r[i] for r in out], pa.int64()) for i in (0, 1, 3)]
                 + [pa.array([r[2] for r in out], pa.binary())],

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from estatelens.llm import shared
 from estatelens.llm.rules import fresh_name
 
-WINDOW, BLOCK_SEGMENTS = 50, 4_000
+WINDOW, BLOCK_SEGMENTS = 50, 8_000
 
 
 class ReferenceBlock:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from estatelens.llm import shared
 
-WINDOW, BLOCK_SEGMENTS = 50, 2_000
+WINDOW, BLOCK_SEGMENTS = 50, 8_000
 
 
 def column_wise(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
