@@ -73,8 +73,9 @@ def scored_at(signals: DataFrame, as_of, settings: Settings = DEFAULTS) -> DataF
 
 
 def _write(df: DataFrame, path: str, buckets: int, mode: str = "overwrite") -> None:
-    (bucketed(df, buckets).write.mode(mode).option("compression", "zstd")
-     .partitionBy("bucket").parquet(path))
+    # Rebalanced by bucket: few files per bucket, and a large bucket is still split over tasks.
+    (bucketed(df, buckets).hint("rebalance", "bucket").write.mode(mode)
+     .option("compression", "zstd").partitionBy("bucket").parquet(path))
 
 
 def touched_buckets(spark: SparkSession, state: str, batch_id: int) -> list[int]:
