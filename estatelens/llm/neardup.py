@@ -15,9 +15,10 @@ shingles) of their weighted one.
 Steps: equal word sequences become one document. Signatures are cut into bands; documents with an
 equal band are candidates. In each bucket all are first checked against its smallest doc_id, which
 joins nearly everything that is alike; buckets that still hold several components are then compared
-pair by pair on sketches of the signatures, in cells of at most ``CELL`` by ``CELL`` documents, and
+pair by pair on sketches of the signatures, in cells of about ``CELL`` by ``CELL`` documents, and
 only pairs of different components whose sketches allow the threshold go on. Every pair is verified
-on the whole texts. So a pair of similar documents in one bucket is linked or already connected.
+on the shingles of the whole texts, and only links leave a task. So a pair of similar documents in
+one bucket is linked or already connected.
 
 A pair at similarity 0.8 shares no band with probability (1 - 0.8 ** 5) ** 28 = 1.5e-5, and a
 sketch of 140 coordinates falls below ``SKETCH_LEAST`` at similarity 0.8 with less than 1e-7.
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -40,7 +42,7 @@ from estatelens.llm.components import components
 from estatelens.session import written
 
 SHINGLE, THRESHOLD, ROWS, BANDS = 5, 0.8, 5, 28
-SKETCH_LEAST, CELL, BLOCK_ROWS = 0.62, 512, 20_000
+SKETCH_LEAST, CELL, BLOCK_ROWS = 0.62, 2_048, 4_000
 BROADCAST_LONGS = 4_000_000      # a list of this many longs (32 MB) at most is broadcast
 BASE_RANK = 0.25                 # the first region's upper rank
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -198,36 +200,67 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, threshold: float)
                    .distinct(), "verified")
 
 
-def _cells(buckets: DataFrame, n_blocks: int, cell: int, least: float) -> DataFrame:
-    """Pairs of different components within each bucket whose sketches allow a link. A bucket's
-    documents are dealt to chunks by hash; each pair of chunks is a cell of its own."""
+def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(id, shingles): the sorted, distinct shingle hashes of every row."""
+    def run(batches):
+        for batch in words.slices(batches):
+            doc, element = shingles(batch.column("text"), shingle)
+            ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            sets = [np.unique(element[x:y]).view(np.int64) for x, y in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
+
+    return docs.mapInArrow(run, "id bigint, shingles array<bigint>")
+
+
+def _linked_in_cells(buckets: DataFrame, n_blocks: int, cell: int, least: float,
+                     threshold: float) -> DataFrame:
+    """Links (a, b) between different components within each bucket. A bucket's documents are
+    dealt to chunks by hash; each pair of chunks is a cell of its own, with its documents'
+    sketches, band keys and shingles. Pairs whose sketches allow the threshold are verified on the
+    spot, in the first band they share, unless a link found before has joined their components."""
     chunks = F.ceil(F.col("n") / cell).cast("int")
     own = F.pmod(F.xxhash64("id"), chunks).cast("int")
     spread = buckets.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), chunks - 1))})
     where = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    spread = spread.select(where.alias("cell"), "id", "component", "sketch",
-                           (F.col("own") < F.col("other")).alias("left"),
+    spread = spread.select(where.alias("cell"), "key", "id", "component", "sketch", "bands",
+                           "shingles", (F.col("own") < F.col("other")).alias("left"),
                            (F.col("own") == F.col("other")).alias("same"))
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        cells = table["cell"].to_numpy()
+        cells, ids, component, key = (table[c].to_numpy() for c in ("cell", "id", "component", "key"))
+        left, same = table["left"].to_numpy(), table["same"].to_numpy()
+        drawn = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
+        bands = pa.concat_arrays(table["bands"].chunks).flatten().to_numpy().reshape(len(ids), -1)
+        lists = pa.concat_arrays(table["shingles"].chunks)
+        hashes, ends = lists.flatten().to_numpy(), np.cumsum(
+            np.append(0, pc.list_value_length(lists).to_numpy()))
         order = np.argsort(cells, kind="stable")
-        ids, component = table["id"].to_numpy()[order], table["component"].to_numpy()[order]
-        drawn = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8)
-        drawn = drawn.reshape(len(ids), -1)[order]
-        left, same = (table[c].to_numpy()[order] for c in ("left", "same"))
-        cuts = np.flatnonzero(np.diff(cells[order])) + 1
-        found = []
-        for rows in np.split(np.arange(len(ids)), cuts):
-            sides = (rows, rows) if same[rows[0]] else (rows[left[rows]], rows[~left[rows]])
-            for i in sides[0].tolist():
-                other = sides[1][component[sides[1]] != component[i]]
-                alike = (drawn[other] == drawn[i]).mean(axis=1) >= least if len(other) else []
-                for j in other[alike].tolist() if len(other) else ():
-                    found.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
-        found = np.array(sorted(set(found)), np.int64).reshape(-1, 2)
-        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+        found = set()
+        for rows in np.split(order, np.flatnonzero(np.diff(cells[order])) + 1):
+            one, two = (rows, rows) if same[rows[0]] else (rows[left[rows]], rows[~left[rows]])
+            label = dict(zip(rows.tolist(), component[rows].tolist()))
+            of_two = component[two].copy()
+            for at, i in enumerate(one.tolist()):
+                open_ = of_two != label[i]
+                if same[i]:
+                    open_[:at + 1] = False              # each pair once
+                other = np.flatnonzero(open_)
+                alike = (drawn[two[other]] == drawn[i]).mean(axis=1) >= least
+                for k in other[alike].tolist():
+                    j = int(two[k])
+                    if of_two[k] == label[i] or bands[i][np.argmax(bands[i] == bands[j])] != key[i]:
+                        continue
+                    x, y = hashes[ends[i]:ends[i + 1]], hashes[ends[j]:ends[j + 1]]
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    if common >= threshold * (len(x) + len(y) - common) - 1e-9:
+                        found.add((max(ids[i], ids[j]), min(ids[i], ids[j])))
+                        gone, stays = of_two[k], label[i]
+                        of_two[of_two == gone] = stays
+                        label = {r: stays if c == gone else c for r, c in label.items()}
+        links = np.array(sorted(found), np.int64).reshape(-1, 2)
+        return pa.table({"a": links[:, 0], "b": links[:, 1]})
 
     return spread.withColumn("block", F.pmod("cell", F.lit(n_blocks))).groupBy("block").applyInArrow(
         run, "a bigint, b bigint").distinct()
@@ -259,9 +292,14 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOL
         "component", F.coalesce("component", "id"))
     mixed = (labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo < hi").select("key"))
-    rest = written(labelled.join(mixed, "key", "left_semi").join(sketches, "id"), "mixed-buckets")
+    rest = written(labelled.join(mixed, "key", "left_semi"), "mixed-buckets")
+    ids = written(rest.select("id").distinct(), "mixed-ids")
+    sets = written(_shingle_sets(_among(docs, ids.withColumnRenamed("id", "doc_id"), "doc_id")
+                                 .distinct(), shingle), "shingle-sets")
+    own = _among(chosen.select("id", "sketch", "bands"), ids, "id").distinct().join(sets, "id")
     n_blocks = max(1, -(-rest.count() // BLOCK_ROWS))
-    more = _verified(_cells(rest, n_blocks, cell, SKETCH_LEAST), docs, shingle, threshold)
+    more = written(_linked_in_cells(rest.join(written(own, "mixed-documents"), "id"), n_blocks, cell,
+                                    SKETCH_LEAST, threshold), "links-in-cells")
     named = known.select("doc_id", "digest").join(equal, "digest")
     several = named.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("last"))
     same = (named.join(several.where("b < last"), "doc_id").where("id > b")
