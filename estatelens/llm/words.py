@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 import xxhash
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
