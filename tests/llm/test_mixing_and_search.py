@@ -1,9 +1,13 @@
+import hashlib
+
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from estatelens.llm import mixing, neighbours
-from tests.llm.cases import SCHEMA, frame, hard_texts, prose
+from estatelens.llm import mixing, neighbours, rules
+from tests.llm.cases import SCHEMA, frame, hard_texts, prose, windows_kept
+from tests.llm.test_dedup import jaccard_classes
+from tests.llm.test_models import plain_counts
 
 
 def plain_targets(sizes, weights=(1, 2, 3), cap=3):
@@ -137,22 +141,62 @@ def test_recall(spark):
 
 
 # ------------------------------------------------------------------------------ pipeline
-def test_stages_follow_each_other(spark):
+def test_every_stage_against_plain_versions(spark, tmp_path):
+    """Each stage on all its predecessor kept, written and read again in between."""
     home = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{home}/documents.parquet")
-    columns, before = docs.columns, {r.doc_id: r.text for r in docs.collect()}
-    names = [name for name, _ in corpus_pipeline.STAGES]
-    assert names == ["quality_rules", "minhash_near_dedup", "substring_dedup", "source_mixing",
-                     "best_fit_packing"]
-    for _, stage in corpus_pipeline.STAGES[:2]:
-        docs = stage(spark, docs, home)
-        assert docs.columns == columns
-        rows = docs.collect()
-        assert len({r.doc_id for r in rows}) == len(rows) < len(before)
-        assert all(before[r.doc_id] == r.text for r in rows)
-    packed = corpus_pipeline.run(spark, home).collect()
+    columns = docs.columns
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "minhash_near_dedup", "substring_dedup", "source_mixing", "best_fit_packing"]
+    tables = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, tables[-1], home).write.parquet(str(tmp_path / name))
+        tables.append(spark.read.parquet(str(tmp_path / name)))
+    assert all(t.columns == columns for t in tables[:-1])
+    first, good, alone, cut, mixed, packed = (t.collect() for t in tables)
+
+    labels = spark.read.parquet(f"{home}/labels.parquet")
+    learned = rules.learn(docs, labels)
+    verdict = {r.doc_id: r.v for r in rules.judge(docs, learned, "v").collect()}
+    for row in first:
+        counts = plain_counts(row.text)
+        assert tuple(verdict[row.doc_id])[:5] == counts
+        assert verdict[row.doc_id].base_failed == (counts[0] < 20 or 100 * counts[4] > 30 * counts[0])
+    assert {r.doc_id for r in good} == {d for d, v in verdict.items() if v.kept}
+    before = {r.doc_id: r for r in first}
+    assert all(r == before[r.doc_id] for r in good)
+
+    classes = jaccard_classes([(r.doc_id, r.text) for r in good])
+    assert sorted(r.doc_id for r in alone) == sorted({c for _, c in classes})
+
+    want = {d: (n, gone, sha) for d, n, gone, _, sha in windows_kept(
+        [(r.doc_id, r.text) for r in alone], 50, True)}
+    texts = {r.doc_id: r.text for r in cut}
+    assert set(texts) == {d for d, (n, gone, _) in want.items() if gone == 0 or gone < n}
+    for doc, text in texts.items():
+        plain = b" ".join(text.encode().split())
+        assert hashlib.sha256(plain).hexdigest() == want[doc][2]
+        assert text == before[doc].text or want[doc][1]
+    assert all(r.n_chars == len(r.text) for r in cut)
+
+    sizes = {}
+    for r in cut:
+        sizes[r.source] = sizes.get(r.source, 0) + len(r.text.encode().split())
+    target = plain_targets(sizes)
+    for source in sizes:
+        taken = sum(len(r.text.encode().split()) for r in mixed if r.source == source)
+        assert abs(taken - target[source]) <= 0.5 + 1e-6
+    assert all(texts[r.doc_id].startswith(r.text) and r.n_chars == len(r.text) for r in mixed)
+
     ends = {}
     for r in sorted(packed, key=lambda r: (r.sequence_id, r.offset)):
         assert r.offset == ends.get(r.sequence_id, 0)
         ends[r.sequence_id] = r.offset + r.length
-    assert packed and max(ends.values()) <= 4096
+    assert max(ends.values()) <= 4096
+    assert sorted(r.doc_id for r in packed if r.piece == 0) == sorted(r.doc_id for r in mixed)
+
+
+def test_run_gives_the_last_stage(spark):
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert rows.columns[:7] == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert rows.count() > 0
