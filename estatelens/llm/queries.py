@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from estatelens.llm import (dac, langid, mixing, neardup, neighbours, packing, rules, substring, suffixes, toxicity)
+from estatelens.llm import (dac, langid, mixing, neardup, neighbours, packing, rules, substring,
+                            suffixes, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

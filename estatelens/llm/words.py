@@ -6,6 +6,7 @@ carriage return. Null text has no words. All arrays of a batch are flat, with do
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20
 
 
@@ -106,6 +106,5 @@ def owners(offsets: np.ndarray) -> np.ndarray:
 
 
 def crc32(offsets: np.ndarray, values: np.ndarray) -> np.ndarray:
-    import zlib
     data = memoryview(values.astype("<u4").tobytes())
     return np.array([zlib.crc32(data[4 * a:4 * b]) for a, b in zip(offsets, offsets[1:])], np.int64)
