@@ -7,7 +7,6 @@ pipeline itself does, and read from there.
 from __future__ import annotations
 
 import functools
-import json
 import uuid
 from collections.abc import Callable
 
@@ -15,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from estatelens import schemas
-from estatelens.config import DEFAULTS, ENTITY_CLASSES, LABEL_WORDS, PARITY, PROSPECT_CLASSES
+from estatelens.config import DEFAULTS, ENTITY_CLASSES, PARITY, PROSPECT_CLASSES
 from estatelens.functions import arrays as A, domains, pricing, text, vulns
 from estatelens.operators import (audit, curated, entities, evaluation, findings, profiling,
                                   projection, quality, queueing, sampling, scoring, signals,
