@@ -31,6 +31,8 @@ tables give no rows; other columns are not read, and are kept by ``keep_one``.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -44,6 +46,8 @@ from estatelens.session import written
 SHINGLE, THRESHOLD, ROWS, BANDS = 5, 0.8, 5, 28
 SKETCH_LEAST, CELL, BLOCK_ROWS = 0.62, 2_048, 4_000
 BROADCAST_LONGS = 4_000_000      # a list of this many longs (32 MB) at most is broadcast
+SLICE_DOCS = 1_000               # documents that throw darts at a time
+BLOCK_SHINGLES = 2_000_000       # shingles compared in one block, about (16 MB)
 BASE_RANK = 0.25                 # the first region's upper rank
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -131,7 +135,7 @@ def _profiles(docs: DataFrame, shingle: int, rows: int, bands: int) -> DataFrame
     k = rows * bands
 
     def run(batches):
-        for batch in words.slices(batches, nbytes=4 << 20):
+        for batch in words.slices(batches, rows=SLICE_DOCS):
             texts = batch.column("text")
             flat, offsets = words.split(texts)
             hashed = words.of_words(flat).tobytes()
@@ -297,7 +301,9 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOL
     sets = written(_shingle_sets(_among(docs, ids.withColumnRenamed("id", "doc_id"), "doc_id")
                                  .distinct(), shingle), "shingle-sets")
     own = _among(chosen.select("id", "sketch", "bands"), ids, "id").distinct().join(sets, "id")
-    n_blocks = max(1, -(-rest.count() // BLOCK_ROWS))
+    shingles_each = sets.agg(F.avg(F.size("shingles"))).first()[0] or 1
+    n_rows = rest.count()
+    n_blocks = max(1, -(-n_rows // BLOCK_ROWS), math.ceil(n_rows * shingles_each / BLOCK_SHINGLES))
     more = written(_linked_in_cells(rest.join(written(own, "mixed-documents"), "id"), n_blocks, cell,
                                     SKETCH_LEAST, threshold), "links-in-cells")
     named = known.select("doc_id", "digest").join(equal, "digest")

@@ -18,14 +18,14 @@ SLICE_BYTES = 4 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
-           nbytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in pieces of about ``nbytes`` of text (at least one row), so that working
-    memory follows the slice and the longest text, not the batch."""
+           nbytes: int = SLICE_BYTES, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of about ``nbytes`` of text and at most ``rows`` rows (at least one),
+    so that working memory follows the slice and the longest text, not the batch."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes.astype(np.int64)) // nbytes
+        part = np.cumsum(sizes.astype(np.int64)) // nbytes + np.arange(batch.num_rows) // rows
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
