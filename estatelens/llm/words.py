@@ -6,6 +6,7 @@ carriage return. Null text has no words. All arrays of a batch are flat, with do
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Iterator
 
@@ -21,6 +22,23 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            nbytes: int = SLICE_BYTES, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of about ``nbytes`` of text and at most ``rows`` rows (at least one),
     so that working memory follows the slice and the longest text, not the batch."""
+    try:
+        yield from _slices(batches, text, nbytes, rows)
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Return free memory to the system: an idle worker would keep what its largest slice took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):          # another C library
+        pass
+
+
+def _slices(batches: Iterator[pa.RecordBatch], text: str, nbytes: int,
+            rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows == 0:
             continue
