@@ -10,7 +10,8 @@ Texts are parsed whole, in segments of ``SEGMENT`` symbols (a phrase also ends w
 and many segments advance at once, one symbol per step.
 
 Bounded: per language at most ``SAMPLE_DOCS`` labelled documents, those with the smallest hash,
-and ``SAMPLE_CHARS`` characters, an equal share from each. Prediction reads every whole text.
+and ``SAMPLE_CHARS`` characters, an equal share from each. Every code point of the samples is a
+symbol. Prediction reads every whole text.
 
 Nulls: null text and text without a letter get ``und`` with score 0; so does everything if nothing
 is labelled. A null lang is no label, a null doc_id is predicted but not learned from. Ties go to
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from estatelens.llm import words
 
-SAMPLE_DOCS, SAMPLE_CHARS, SYMBOLS, SEGMENT = 150, 45_000, 64, 512
+SAMPLE_DOCS, SAMPLE_CHARS, SEGMENT = 150, 45_000, 512
 UNKNOWN = "und"
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType(), False),
                        T.StructField("score", T.DoubleType(), False)])
@@ -45,9 +46,8 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def automaton(codes: list[int], n_symbols: int) -> np.ndarray:
-    """Transitions of the suffix automaton of a sequence: state x symbol -> state, 0 for none.
-    State 0 is the root; no transition leads back to it."""
+def automaton(codes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions of the suffix automaton of a sequence, without those by symbol 0: see ``packed``."""
     step: list[dict[int, int]] = [{}]
     link, longest, last = [-1], [0], 0
     for c in codes:
@@ -73,11 +73,63 @@ def automaton(codes: list[int], n_symbols: int) -> np.ndarray:
                     step[p][c] = short
                     p = link[p]
         last = here
-    table = np.zeros((len(step), n_symbols), np.int32)
-    for state, moves in enumerate(step):
-        for c, to in moves.items():
-            table[state, c] = to
-    return table
+    for moves in step:
+        moves.pop(0, None)
+    return packed(step, max(codes, default=0) + 1)
+
+
+def packed(step: list[dict[int, int]], n_symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """Moves in one row of slots: the move from state s by symbol c lies in slot s + c if s owns it.
+    States are numbered anew for that; the root, which has every symbol, is 0, and no move leads
+    back to it. As many slots as moves, and some more, whatever the alphabet."""
+    size = np.array([len(moves) for moves in step])
+    number, taken, used = np.zeros(len(step), np.int64), {0}, bytearray(4 * len(step) + 2 * n_symbols)
+    for c in step[0]:
+        used[c] = 1
+    begin = 1
+    for state in np.argsort(-size, kind="stable")[:int((size > 1).sum())].tolist():
+        if not state:                           # the root stays 0
+            continue
+        symbols = sorted(step[state])
+        slot, tries = begin, 0
+        while True:
+            slot = used.find(0, slot)
+            if slot < 0 or slot + n_symbols >= len(used):
+                slot = max(slot, begin)
+                used.extend(bytes(len(used)))
+                continue
+            at = slot - symbols[0]
+            if at > 0 and at not in taken and not any(used[at + c] for c in symbols[1:]):
+                break
+            slot, tries = slot + 1, tries + 1
+        if tries > 8:                           # nearly full up to here
+            begin = slot
+        number[state] = at
+        taken.add(at)
+        for c in symbols:
+            used[at + c] = 1
+    # States of one move take the free slots in turn; those whose number is taken, later ones.
+    rest = 1 + np.flatnonzero(size[1:] == 1)
+    symbol = np.array([next(iter(step[s])) for s in rest.tolist()], np.int64)
+    full, numbers, begin = np.frombuffer(bytes(used), bool), np.array(sorted(taken)), 1
+    while len(rest):
+        full = np.pad(full, (0, len(rest) + max(begin - len(full), 0)))
+        slots = begin + np.flatnonzero(~full[begin:])[:len(rest)]
+        at = slots - symbol
+        once = np.zeros(len(rest), bool)
+        once[np.unique(at, return_index=True)[1]] = True
+        good = once & (at > 0) & ~np.isin(at, numbers)
+        number[rest[good]] = at[good]
+        numbers, begin = np.concatenate([numbers, at[good]]), int(slots[-1]) + 1
+        rest, symbol = rest[~good], symbol[~good]
+    none = 1 + np.flatnonzero(size[1:] == 0)
+    number[none] = numbers.max() + 1 + np.arange(len(none))
+    moves = np.array([(s, c, t) for s, m in enumerate(step) for c, t in m.items()], np.int64).reshape(-1, 3)
+    slot = number[moves[:, 0]] + moves[:, 1]
+    owner = np.full(number.max() + n_symbols, -1, np.int32)
+    to = np.zeros(len(owner), np.int32)
+    owner[slot], to[slot] = number[moves[:, 0]], number[moves[:, 2]]
+    return owner, to
 
 
 class Parser:
@@ -97,18 +149,20 @@ class Parser:
         self.langs = sorted(samples, key=lambda x: x.encode())
         parts = {k: [_points(t) for t in samples[k]] for k in self.langs}
         every = np.concatenate([p for k in self.langs for p in parts[k]] or [np.zeros(0, np.uint32)])
-        point, count = np.unique(every, return_counts=True)
-        common = point[np.argsort(-count, kind="stable")][:SYMBOLS - 1]
-        self.code = np.zeros(0x110000, np.uint8)        # 0: a symbol that no sample has
-        self.code[common] = np.arange(1, len(common) + 1)
-        self.table, self.cost = [], []
+        point = np.unique(every)
+        self.n_symbols = len(point) + 1
+        self.code = np.zeros(0x110000, np.int32)        # 0: a symbol that no sample has
+        self.code[point] = np.arange(1, self.n_symbols)
+        self.moves, self.cost = [], []
         for k in self.langs:
             codes: list[int] = []
             for p in parts[k]:                          # 0 parts the excerpts; it is never matched
                 codes += [*self.code[p].tolist(), 0]
-            table = automaton(codes, SYMBOLS)
-            table[:, 0] = 0
-            self.table.append(table.reshape(-1))
+            owner, to = automaton(codes)
+            room = max(self.n_symbols - len(owner), 0) + self.n_symbols     # any state plus any symbol
+            owner, to = np.pad(owner, (0, room), constant_values=-1), np.pad(to, (0, room))
+            first = np.where(owner[:self.n_symbols] == 0, to[:self.n_symbols], 0)
+            self.moves.append((owner, to, first))
             self.cost.append(math.log2(max(len(codes), 2)))
 
     def phrases(self, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -126,15 +180,15 @@ class Parser:
         count = [np.zeros(len(text), np.int32) for _ in self.langs]
         for t in range(int(length[0]) if len(length) else 0):
             k = active[t]                               # segments longer than t
-            c = codes[begin[:k] + t].astype(np.int32)
-            for lang, table in enumerate(self.table):
+            c = codes[begin[:k] + t]
+            for lang, (owner, target, first) in enumerate(self.moves):
                 s = state[lang][:k]
-                to = table[s * SYMBOLS + c]
-                stuck = to == 0
+                slot = s + c
+                stuck = owner[slot] != s
                 # Stuck: a phrase ends before this symbol, which begins the next. A symbol that
                 # the sample does not have leads to the root: it is a phrase of its own.
                 count[lang][:k] += stuck | (s == 0)
-                state[lang][:k] = np.where(stuck, table[c], to)
+                state[lang][:k] = np.where(stuck, first[c], target[slot])
         return np.stack([np.bincount(text, weights=c, minlength=len(n)) for c in count], axis=1)
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:

@@ -136,6 +136,43 @@ def test_nothing_labelled_and_no_rows(spark):
     assert tuple(row.x) == ("und", 0.0)
 
 
+def script(seed, first, letters, n=200):
+    """Words of one to four letters of an alphabet that begins at a code point, some more frequent."""
+    rng = np.random.default_rng(seed)
+    share = np.arange(1, letters + 1) ** -0.5
+    word = lambda: "".join(chr(first + c) for c in rng.choice(letters, rng.integers(1, 5), p=share / share.sum()))
+    return " ".join(word() for _ in range(n))
+
+
+SCRIPTS = {"el": (0x3b1, 24), "en": (0x61, 26), "hi": (0x905, 50), "ja": (0x3041, 80),
+           "ko": (0xac00, 1500), "ru": (0x430, 32), "zh": (0x4e00, 3000)}
+
+
+def test_languages_in_many_scripts(spark):
+    rows = [(1000 * k + i, script(1000 * k + i, *SCRIPTS[lang]), lang)
+            for k, lang in enumerate(SCRIPTS) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    samples = langid.learn(docs)
+    assert len(set("".join(t for k in ("ko", "zh") for t in samples[k]))) > 2000
+    got = langid.identify(docs, samples, "x").where(langid.held_out(F.col("doc_id"))).collect()
+    assert {r.lang for r in got} == set(SCRIPTS) and all(r.x.lang_pred == r.lang for r in got)
+
+
+def test_phrases_over_a_large_alphabet():
+    sample = [script(i, 0x4e00, 3000) for i in range(20)]
+    parser = langid.Parser({"en": [script(1, 0x61, 26)], "zh": sample})
+    text = script(99, 0x4e00, 3000, 60)
+    n, i = 0, 0
+    while i < len(text):
+        k = 1
+        while i + k < len(text) and any(text[i:i + k + 1] in s for s in sample):
+            k += 1
+        n, i = n + 1, i + k
+    points = langid._points(text)
+    assert len(points) <= langid.SEGMENT
+    assert parser.phrases(parser.code[points], np.array([0, len(points)]))[0, 1] == n
+
+
 # ------------------------------------------------------------------------------ toxicity
 def crowd(spark, n=600):
     """Toxic: an insult, or a group together with a threat (each alone is harmless)."""
