@@ -3,8 +3,12 @@
 For every language a suffix automaton is built over a bounded sample of labelled text. A text is
 parsed against it greedily: follow the automaton while the symbols read so far occur somewhere in
 the sample, and where they do not, end the phrase and begin the next one. Text of the language
-needs few, long phrases. The phrases, times the logarithm of the sample's length (the cost of
-naming a place in it), per symbol is the cross entropy; the language with the least wins.
+needs few, long phrases. Their cost in bits is the cross entropy; the language with the least wins.
+
+A phrase of one symbol, known to the sample or not, is spelled out at the logarithm of the number of
+symbols of all samples together, the same in every language. A longer one names a place at the
+logarithm of its own sample's length, which counts as at least the number of symbols. So a sample
+gains only by phrases of two symbols or more, however short it is. Each costs a bit to say which.
 
 Texts are parsed whole, in segments of ``SEGMENT`` symbols (a phrase also ends with its segment),
 and many segments advance at once, one symbol per step.
@@ -163,10 +167,15 @@ class Parser:
             owner, to = np.pad(owner, (0, room), constant_values=-1), np.pad(to, (0, room))
             first = np.where(owner[:self.n_symbols] == 0, to[:self.n_symbols], 0)
             self.moves.append((owner, to, first))
-            self.cost.append(math.log2(max(len(codes), 2)))
+            self.cost.append(1 + math.log2(max(len(codes), self.n_symbols)))
+        self.spelled = 1 + math.log2(self.n_symbols)
 
     def phrases(self, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Phrases of every text against every language: texts x languages."""
+        return self.parse(codes, offsets)[0]
+
+    def parse(self, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases, and those of one symbol, of every text against every language."""
         n = np.diff(offsets)
         per_text = -(-n // SEGMENT)
         text = np.repeat(np.arange(len(n)), per_text)
@@ -178,6 +187,8 @@ class Parser:
         active = np.searchsorted(-length, -np.arange(SEGMENT), side="left")
         state = [np.zeros(len(text), np.int32) for _ in self.langs]
         count = [np.zeros(len(text), np.int32) for _ in self.langs]
+        short = [np.zeros(len(text), np.int32) for _ in self.langs]
+        begun = [np.zeros(len(text), bool) for _ in self.langs]    # by the symbol before
         for t in range(int(length[0]) if len(length) else 0):
             k = active[t]                               # segments longer than t
             c = codes[begin[:k] + t]
@@ -187,9 +198,20 @@ class Parser:
                 stuck = owner[slot] != s
                 # Stuck: a phrase ends before this symbol, which begins the next. A symbol that
                 # the sample does not have leads to the root: it is a phrase of its own.
-                count[lang][:k] += stuck | (s == 0)
+                stuck |= s == 0
                 state[lang][:k] = np.where(stuck, first[c], target[slot])
-        return np.stack([np.bincount(text, weights=c, minlength=len(n)) for c in count], axis=1)
+                count[lang][:k] += stuck
+                before = begun[lang][:k]
+                short[lang][:k] += before & stuck
+                before[:] = stuck
+        short = [a + b for a, b in zip(short, begun)]               # the last of a segment
+        return tuple(np.stack([np.bincount(text, weights=c, minlength=len(n)) for c in counts], axis=1)
+                     for counts in (count, short))
+
+    def bits(self, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Cost of every text in every language: texts x languages."""
+        count, short = self.parse(codes, offsets)
+        return (count - short) * np.array(self.cost) + short * self.spelled
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         strings = pc.fill_null(texts, "").to_pylist()
@@ -202,7 +224,7 @@ class Parser:
         known = (up_to[offsets[1:]] > up_to[offsets[:-1]]) if self.langs else np.zeros(len(strings), bool)
         if not known.any():
             return [UNKNOWN] * len(strings), np.zeros(len(strings))
-        entropy = self.phrases(self.code[flat], offsets) * np.array(self.cost)
+        entropy = self.bits(self.code[flat], offsets)
         best = entropy.argmin(axis=1)
         least = entropy[np.arange(len(best)), best]
         if len(self.langs) > 1:

@@ -173,6 +173,25 @@ def test_phrases_over_a_large_alphabet():
     assert parser.phrases(parser.code[points], np.array([0, len(points)]))[0, 1] == n
 
 
+def test_a_rare_tiny_language_takes_no_others(spark):
+    rows = [(1000 * k + i, script(1000 * k + i, *SCRIPTS[lang]), lang)
+            for k, lang in enumerate(("en", "ru", "zh")) for i in range(40)]
+    tiny = [(5000 + i, text, f"t{i}") for i, text in enumerate(["a", " ", "\u4e00 ", "ab \u0430"] * 2)]
+    docs = spark.createDataFrame([*rows, *tiny], "doc_id bigint, text string, lang string")
+    samples = langid.learn(docs)
+    assert sum(k[0] == "t" for k in samples) >= 4
+    got = langid.identify(docs, samples, "x").where(
+        (F.col("doc_id") < 5000) & langid.held_out(F.col("doc_id"))).collect()
+    assert len(got) > 20 and all(r.x.lang_pred == r.lang for r in got)
+
+
+def test_a_language_with_one_short_row_is_found():
+    latin = {k: [script(100 * n + i, 0x61 + 2 * n, 12, 60) for i in range(50)] for n, k in enumerate(("aa", "bb"))}
+    parser = langid.Parser({**latin, "cc": [script(900, 0x69, 12, 60)], "dd": ["a"]})
+    texts = [script(1000 + i, 0x69, 12, 80) for i in range(20)]
+    assert parser.predict(pa.array(texts))[0] == ["cc"] * 20
+
+
 # ------------------------------------------------------------------------------ toxicity
 def crowd(spark, n=600):
     """Toxic: an insult, or a group together with a threat (each alone is harmless)."""
