@@ -4,10 +4,12 @@ A term is a lower-case word without punctuation at its ends, hashed to one of ``
 The machine scores the set of a text's selected terms with a weight per term and, for every pair
 of terms, the inner product of their factors: a pair such as an insult and the mention of a group
 can count for more, or less, than its two terms. Terms are selected by how far their share among
-toxic texts lies from that among others (z-score); the rest cannot be told from chance.
+toxic texts lies from that among others (z-score), and, once a first machine is fitted, by how far
+the toxic share of the rows of every pair of terms lies from what that machine expects, so that
+pairs of terms count whose shares are balanced one by one. The rest cannot be told from chance.
 
 Bounded: the machine is fitted on at most ``SAMPLE_ROWS`` labelled rows, those with the smallest
-hash, and at most ``MAX_TERMS`` terms. Scoring reads every whole text; term counts of the sample
+hash, and at most ``MAX_TERMS`` terms by share; pairs add all of theirs. Scoring reads every whole text; term counts of the sample
 are made on Spark.
 
 Nulls: null and empty texts have no terms and get the machine's bias as score. A null doc_id is
@@ -25,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from estatelens.llm import words
 from estatelens.session import written
@@ -33,7 +35,7 @@ from estatelens.session import written
 BUCKETS = 1 << 18
 SAMPLE_ROWS, MAX_TERMS, MIN_ROWS, MIN_Z = 20_000, 2_000, 5, 5.0
 FACTORS, EPOCHS, RATE, L2 = 4, 60, 0.1, 2e-4
-THRESHOLD = 0.3
+THRESHOLD, CHANCE = 0.3, 0.01
 PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -149,12 +151,70 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
          .abs() / spread)
     best = counted.assign(z=z)[z >= MIN_Z].sort_values(["z", "bucket"], ascending=[False, True])
     terms = np.sort(best["bucket"].to_numpy()[:MAX_TERMS]).astype(np.int64)
-    place = {int(b): i for i, b in enumerate(terms)}
-    lists = F.filter("buckets", lambda b: b.isin(list(place) or [-1]))
-    rows = sample.select("doc_id", "toxic", lists.alias("places")).toPandas()
-    rows = rows.sort_values("doc_id", kind="stable").reset_index(drop=True)
-    rows["places"] = [[place[int(b)] for b in x] for x in rows["places"]]
-    return fit(rows, terms)
+    held = sample.select("doc_id", "toxic", "buckets").toArrow().sort_by("doc_id")
+    lists = pa.concat_arrays(held.column("buckets").chunks) if len(held) else pa.array([], pa.list_(pa.int32()))
+    row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    bucket = lists.flatten().to_numpy(zero_copy_only=False)
+    toxic = held.column("toxic").to_numpy()
+    machine = fitted(row, bucket, toxic, terms)
+    if 0 < n_toxic < n_rows:
+        more = joint_terms(docs.sparkSession, row, bucket, toxic, machine)
+        if len(np.setdiff1d(more, terms)):
+            machine = fitted(row, bucket, toxic, np.union1d(more, terms))
+    return machine
+
+
+def fitted(row: np.ndarray, bucket: np.ndarray, toxic: np.ndarray, terms: np.ndarray) -> Machine:
+    """Machine over ``terms`` from the pairs (row, bucket) of the sample."""
+    used = np.isin(bucket, terms)
+    place = np.searchsorted(terms, bucket[used])
+    ends = np.searchsorted(row[used], np.arange(1, len(toxic)))
+    return fit(pd.DataFrame({"places": [x.tolist() for x in np.split(place, ends)][:len(toxic)],
+                             "toxic": toxic}), terms)
+
+
+def joint_terms(spark: SparkSession, row: np.ndarray, bucket: np.ndarray, toxic: np.ndarray,
+                machine: Machine) -> np.ndarray:
+    """Terms of the pairs whose rows are toxic more, or less, often than ``machine`` expects, by
+    Bernstein's bound at ``CHANCE`` over all pairs. Every pair of terms with ``MIN_ROWS`` rows is
+    counted exactly: tasks share the terms, and each has the sample (``SAMPLE_ROWS`` rows)."""
+    place = machine.place[bucket]
+    raw = machine.raw(row[place >= 0], place[place >= 0], len(toxic))
+    expected = 1.0 / (1.0 + np.exp(-np.clip(raw, -30, 30)))
+    known, count = np.unique(bucket, return_counts=True)
+    known = known[count >= MIN_ROWS]
+    if len(known) < 2:
+        return np.zeros(0, np.int64)
+    kept = np.isin(bucket, known)
+    term, row = np.searchsorted(known, bucket[kept]).astype(np.int32), row[kept].astype(np.int32)
+    begin = np.searchsorted(row, np.arange(len(toxic) + 1))
+    by_term = np.argsort(term, kind="stable")
+    rows_of, first = row[by_term], np.searchsorted(term[by_term], np.arange(len(known) + 1))
+    error, spread = toxic - expected, expected * (1 - expected)
+    least = math.log(len(known) * (len(known) - 1) / 2 / CHANCE)
+    shared = spark.sparkContext.broadcast((term, begin, rows_of, first, error, spread, least))
+
+    def run(batches):
+        term, begin, rows_of, first, error, spread, least = shared.value
+        for batch in batches:
+            found = set()
+            for a in batch.column("id").to_pylist():
+                rows = rows_of[first[a]:first[a + 1]]
+                size = begin[rows + 1] - begin[rows]
+                at = np.arange(size.sum()) + np.repeat(begin[rows] - np.cumsum(size) + size, size)
+                others = term[at]
+                s = np.abs(np.bincount(others, weights=np.repeat(error[rows], size)))
+                v = np.bincount(others, weights=np.repeat(spread[rows], size))
+                far = s * s >= 2 * least * (v + s / 3) + 1e-9
+                far[a] = False
+                if far.any():
+                    found.update([a, *np.flatnonzero(far).tolist()])
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], ["id"])
+
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    found = spark.range(0, len(known), 1, tasks).mapInArrow(run, "id bigint").distinct().toPandas()
+    shared.unpersist()
+    return known[np.sort(found["id"].to_numpy())].astype(np.int64)
 
 
 def score(docs: DataFrame, machine: Machine, name: str) -> DataFrame:

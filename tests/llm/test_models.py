@@ -223,6 +223,24 @@ def test_pairs_of_terms_are_learned(spark):
     assert [r.x for r in rows if r.doc_id is None][0] > toxicity.THRESHOLD
 
 
+def test_pairs_of_balanced_terms_are_learned(spark):
+    """Every term is as common in toxic texts as in others; only pairs tell."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(800):
+        a, b = i % 2, i // 2 % 2
+        w = [*prose(i, 40).split(), ("red", "blue")[a], ("cat", "dog")[b]]
+        rng.shuffle(w)
+        rows.append((i, " ".join(w), int(a == b)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id bigint, toxic int")
+    got = toxicity.score(docs, toxicity.learn(docs, labels), "x").where(
+        toxicity.held_out(F.col("doc_id"))).collect()
+    truth = {i: t for i, _, t in rows}
+    assert len(got) > 150
+    assert sum((r.x >= toxicity.THRESHOLD) == bool(truth[r.doc_id]) for r in got) >= 0.98 * len(got)
+
+
 def test_learning_does_not_see_held_out_labels(spark):
     docs, labels, _ = crowd(spark, 200)
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic"))
