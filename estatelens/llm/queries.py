@@ -1,4 +1,4 @@
-"""The ten operators as queries over the driver tables, and their SQL where there is one."""
+"""The operators as queries over the driver tables, and their SQL where there is one."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from estatelens.llm import (dac, langid, mixing, neardup, neighbours, packing, rules, substring,
-                            suffixes, toxicity)
+from estatelens.llm import (dac, langid, mixing, neardup, neighbours, packing, periodic, rules,
+                            substring, suffixes, toxicity, whitening)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,6 +107,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.looped(documents(spark, sf_dir).select("doc_id", "text"))
+    lines = F.array_join(F.transform("m.runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+        r["period"].cast("string"), F.lit("\n"))), "")
+    return periodic.mark(docs, "m").select(
+        "doc_id", "m.n_runs", "m.start", "m.length", "m.period",
+        F.floor(F.expr("1000 * m.length div m.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("m.collapsed", 256).alias("collapsed_sha256"),
+        "m.n_words", "m.n_dropped")
+
+
 ORACLE["op4_source_mixing"] = """
 WITH d AS (
   SELECT doc_id, source,
