@@ -8,8 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from estatelens.llm import (dac, langid, mixing, neardup, neighbours, packing, periodic, rules,
-                            substring, suffixes, toxicity, whitening)
+from estatelens.llm import (dac, langid, mixing, neardup, neighbours, packing, periodic,
+                            quantised, rules, substring, suffixes, toxicity, whitening)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,6 +112,12 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    return quantised.mark(vectors, "m").select("vec_id", "m.n_links", "m.component_id", "m.kept")
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic.looped(documents(spark, sf_dir).select("doc_id", "text"))

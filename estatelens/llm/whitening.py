@@ -10,11 +10,11 @@ is solved on the driver; nothing there grows with the rows.
 converged. Intervals come from inertia counts (signs of the pivots of a shifted factorisation of the
 tridiagonal form), and the same counts show that no eigenvalue of an interval was missed.
 
-Rows whose vector is null or holds null or non-finite entries are left out, and so are entries of
-2^42 and more, whose x no double holds exactly. Repeated rows each count. Vectors of different
-lengths are fit lists of their own; an empty vector has no components. A component of no variance has null ``whitened`` and is explained
-by 0. A table of equal vectors has a trace of 0: null ``explained``. An empty table gives no rows.
-Other columns are kept, whatever their names.
+Rows whose vector is null or holds null or non-finite entries are left out, and so are those with
+entries of 2^42 and more, whose x no double holds exactly. Repeated rows each count. Vectors of
+different lengths are fit lists of their own; an empty vector has no components. A component of no
+variance has null ``whitened`` and is explained by 0; a table of equal vectors has a trace of 0 and
+null ``explained``. An empty table gives no rows. Other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
