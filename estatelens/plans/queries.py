@@ -235,8 +235,7 @@ def heartbleed_verdict(spark, sf):
 def registrable_domain(spark, sf):
     return read(spark, sf, "pages").select(
         "page_id", domains.primary_domain(F.array(url_host(), F.concat(F.lit("a."), url_host())),
-                                          domains.SuffixRules.bundled())
-        .alias("primary_domain"))
+                                          rules()).alias("primary_domain"))
 
 
 MOVED = """case page_id % 9 when 0 then '.com.vn' when 1 then '.co.ke' when 2 then '.com.pe'
