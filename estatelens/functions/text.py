@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from estatelens.config import LEGAL_SUFFIXES
 from estatelens.functions.arrays import ColumnLike, _c
@@ -121,14 +121,23 @@ def template_value(col: ColumnLike, is_array: bool, max_items: int | None = None
     return F.coalesce(col.cast("string"), F.lit("none"))
 
 
-def is_json_object(line: ColumnLike) -> Column:
-    """Whether the line is one JSON object and nothing else.
+END = "<end>"
+
+
+def one_record(line: ColumnLike, fields: T.StructType) -> Column:
+    """Array of one item: the line's record, or null when the line is not one JSON object and
+    nothing else. Explode it, so that a line is parsed once whoever reads the record.
 
     A parser stops at the end of the first value. Here the line is the first item of an array whose
-    second is a mark, so the whole line has to be read before the mark is found.
+    second holds the line's own digest, so all of the line has been read as one item when the
+    digest is found there; a line cannot hold its own digest and close the array early.
     """
-    items = F.try_parse_json(F.concat(F.lit("["), _c(line), F.lit(',"<end>"]')))
-    one = F.coalesce(F.try_variant_get(items, "$[1]", "string") == "<end>", F.lit(False))
-    kind = F.schema_of_variant(F.try_variant_get(items, "$[0]", "variant"))
-    more = F.try_variant_get(items, "$[2]", "variant").isNotNull()
-    return one & ~more & F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+    line = _c(line)
+    kind = T.ArrayType(T.StructType([*fields.fields, T.StructField(END, T.StringType())]))
+    # Quotes and numbers as JSON has them.
+    items = F.from_json(
+        F.concat(F.lit("["), line, F.lit(f',{{"{END}":"'), F.sha2(line, 256), F.lit('"}]')), kind,
+        {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
+    return F.transform(F.array(items), lambda i: F.when(
+        (F.size(i) == 2) & (F.get(i, F.lit(1))[END] == F.sha2(line, 256)) & F.get(i, F.lit(0)).isNotNull(),
+        F.struct(*[F.get(i, F.lit(0))[f.name].alias(f.name) for f in fields.fields])))

@@ -7,12 +7,12 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from estatelens import schemas
 from estatelens.config import CLASS_ALIASES, ENTITY_CLASSES, TOKEN_RATES
 from estatelens.functions.pricing import price_call
-from estatelens.functions.text import is_json_object
+from estatelens.functions.text import one_record
 from estatelens.operators.ranking import value_at
 from estatelens.session import written
 
@@ -175,9 +175,8 @@ def read_log(spark: SparkSession, path: str, ddl: str, missing_ok: bool = False)
         if found is None or len(found) == 0:
             return spark.createDataFrame([], f"{ddl}, seq {SEQ}")
     lines = spark.read.text(path).withColumn("seq", line_order().cast(SEQ))
-    parsed = lines.filter(is_json_object("value")).select(
-        F.from_json("value", ddl).alias("r"), "seq")
-    return parsed.select("r.*", "seq")
+    parsed = lines.select(F.explode(one_record("value", T.StructType.fromDDL(ddl))).alias("r"), "seq")
+    return parsed.where("r is not null").select("r.*", "seq")
 
 
 def read_verdicts(spark: SparkSession, path: str) -> DataFrame:

@@ -218,9 +218,9 @@ def service_presence(spark, sf):
     key = F.expr("case event_type when 'view' then 'ssh' when 'click' then 'redis' "
                  "else event_type end")
     line = F.concat(F.lit('{"vnc": {}, "'), key, F.lit('": null, "props": '), "props", F.lit("}"))
-    lines = projection.with_keys(read(spark, sf, "events").select("event_id", line.alias("value")))
+    lines = projection.with_record(read(spark, sf, "events").select("event_id", line.alias("value")))
     return plain(lines.select("event_id",
-                              projection.present_services(F.col("keys")).alias("services")))
+                              projection.present_services(F.col("record")).alias("services")))
 
 
 @query
