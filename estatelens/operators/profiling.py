@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import json
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from estatelens.functions.arrays import matching
+from estatelens.session import written
 
 
 
@@ -125,97 +125,96 @@ def profile_breakdowns(scan: DataFrame, sizes: dict[str, int] | None = SHOWN) ->
 
 
 # ---------------------------------------------------------------------------------- raw JSON
-_NAME = re.compile(r"`(?:[^`]|``)*`|[^`:,<>]+")
-_KIND = re.compile(r"[A-Z_]+(?:\([^)]*\))?")
-
-
-def shape_paths(shape: str, max_segments: int | None = None) -> list[str]:
-    """Dotted paths that a record of this shape (the text of ``schema_of_variant``) fills."""
-    out: list[str] = []
-
-    def walk(at: int, path: str, shown: bool) -> int:
-        """Reads one type at ``at``; returns the place behind it."""
-        kind = _KIND.match(shape, at)
-        word, end = kind[0], kind.end()
-        cut = max_segments is not None and path.count(".") >= max_segments - 1
-        if word == "OBJECT":
-            if shown and cut:
-                out.append(path)
-            end += 1                                    # <
-            while shape[end] != ">":
-                name = _NAME.match(shape, end)
-                key = name[0][1:-1].replace("``", "`") if name[0][0] == "`" else name[0]
-                end = walk(name.end() + 2, f"{path}.{key}" if path else key, shown and not cut)
-                if shape[end] == ",":
-                    end += 2
-            return end + 1
-        if word == "ARRAY":
-            inner = end + 1
-            end = walk(inner, path, False)
-            if shown and (cut or shape[inner:end] != "VOID"):
-                out.append(path)
-            return end + 1
-        if shown and (cut or word != "VOID"):
-            out.append(path)
-        return end
-
-    walk(0, "", True)
-    return out
-
-
-def json_paths(text: str, max_segments: int | None = None) -> list[str]:
-    """The same of one JSON text."""
-    out: list[str] = []
-
-    def walk(node, path: str) -> None:
-        if max_segments is not None and path.count(".") >= max_segments - 1:
-            out.append(path)
-        elif isinstance(node, dict):
-            for key, value in node.items():
-                walk(value, f"{path}.{key}" if path else key)
-        elif node is not None and node != []:
-            out.append(path)
-
-    walk(json.loads(text), "")
-    return out
-
-
-def path_inventory(lines: DataFrame, value: str = "value",
-                   max_segments: int | None = None) -> DataFrame:
+class PathCounts:
+    """How many records fill each dotted path: a trie of keys with a count per node.
+
+    A path string is made once per node, not once per record. Tries of different tasks, or of one
+    task at different times, merge by adding the counts of equal paths.
+    """
+
+    def __init__(self, max_segments: int | None = None):
+        self.most = None if max_segments is None else max_segments - 1
+        self.clear()
+
+    def clear(self) -> None:
+        self.records, self.nodes = 0, 0
+        self.root = self._node("")
+
+    def _node(self, path: str) -> list:
+        self.nodes += 1
+        return [0, {}, self.most is not None and path.count(".") >= self.most, path]
+
+    def add(self, record: object) -> None:
+        self.records += 1
+        self._walk(record, self.root)
+
+    def _walk(self, value: object, node: list) -> None:
+        if node[2]:                                     # the cut: it counts whatever it holds
+            node[0] += 1
+        elif isinstance(value, dict):
+            children, path = node[1], node[3]
+            for key, inner in value.items():
+                child = children.get(key)
+                if child is None:
+                    child = children[key] = self._node(f"{path}.{key}" if path else key)
+                self._walk(inner, child)
+        elif value is not None and value != []:
+            node[0] += 1
+
+    def filled(self) -> Iterator[tuple[str | None, int]]:
+        """(path, records); the records themselves under no path."""
+        yield None, self.records
+        todo = [self.root]
+        while todo:
+            count, children, _, path = todo.pop()
+            if count:
+                yield path, count
+            todo += children.values()
+
+
+def _no_constant(name: str) -> None:
+    raise ValueError(f"{name} is not JSON")
+
+
+def path_inventory(lines: DataFrame, value: str = "value", max_segments: int | None = None,
+                   max_nodes: int = 200_000) -> DataFrame:
     """(path, filled, rate): dotted paths with how many records fill them.
 
     Null, {} and [] do not fill a path and arrays are leaves. With ``max_segments`` a path is cut
     at so many segments, dots inside keys included; at the cut it counts whatever it holds.
-    ``rate`` is per readable record.
+    ``rate`` is per readable record: a line that is one whole JSON text.
 
-    Records are counted by shape, with partial sums in every task, and paths are read off the
-    distinct shapes. A shape cannot tell [null] from []; records where that could matter are the
-    few that are opened one by one.
+    Every task counts paths in a trie and hands over one row per path; one that meets very many open
+    keys hands its counts over at ``max_nodes`` and goes on, so its memory does not grow with them.
     """
-    read = lines.select(F.col(value).alias("line"), F.try_parse_json(value).alias("node")).where(
-        "node is not null").withColumn("shape", F.schema_of_variant("node"))
-    unsure = F.col("shape").contains("ARRAY<VOID>") & F.col("line").rlike(r"\[\s*null")
-    # The digits of a number do not matter; a quoted key might look like a type.
-    shape = F.when(F.col("shape").contains("`"), F.col("shape")).otherwise(
-        F.regexp_replace("shape", r"DECIMAL\(\d+,\d+\)", "DOUBLE"))
-    shapes = read.where(~unsure).groupBy(shape.alias("shape")).agg(F.count(F.lit(1)).alias("n"))
-
-    def opened(column: str, paths: Callable[[str, int | None], list[str]]):
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                rows = [(p, n) for text, n in zip(frame[column], frame["n"])
-                        for p in (None, *paths(text, max_segments))]
-                yield pd.DataFrame(rows, columns=["path", "n"])
-        return run
-
-    known = shapes.mapInPandas(opened("shape", shape_paths), "path string, n bigint")
-    rest = read.where(unsure).select("line", F.lit(1).cast("bigint").alias("n")).mapInPandas(
-        opened("line", json_paths), "path string, n bigint")
-    counts = known.unionAll(rest).groupBy("path").agg(F.sum("n").alias("filled"))
-    # The row without a path counts records; the window runs over one row per path.
-    total = F.max(F.when(F.col("path").isNull(), F.col("filled"))).over(Window.partitionBy())
-    return counts.select("path", "filled", (F.lit(100.0) * F.col("filled") / total).alias("rate")
-                         ).where("path is not null")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = PathCounts(max_segments)
+
+        def taken() -> pa.RecordBatch:
+            paths, filled = zip(*counts.filled())
+            counts.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array(filled, pa.int64())], ["path", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if text is None:
+                    continue
+                try:
+                    record = json.loads(text, parse_constant=_no_constant)
+                except (ValueError, RecursionError):
+                    continue
+                counts.add(record)
+                if counts.nodes > max_nodes:
+                    yield taken()
+        yield taken()
+
+    counted = written(lines.select(F.col(value)).mapInArrow(run, "path string, n bigint")
+                      .groupBy("path").agg(F.sum("n").alias("filled")), "paths")
+    records = counted.where("path is null").first()
+    total = records.filled if records else 0            # no partition, no row
+    return counted.where("path is not null").select(
+        "path", "filled", (F.lit(100.0) * F.col("filled") / F.lit(total)).alias("rate"))
 
 
 def value_frequencies(lines: DataFrame, path: str, k: int | None = 25,

@@ -1,4 +1,5 @@
 import datetime
+import json
 import os
 import re
 
@@ -262,21 +263,35 @@ def test_path_inventory(spark):
     assert got == {"a.b.c.d.e": (1, 25.0), "d": (1, 25.0), "x.y.z.w.q": (1, 25.0)}
 
 
-def test_paths_of_shapes_are_paths_of_texts(spark):
-    texts = ('{"a.b":1,"c d":[null],"e":[],"f":{},"g":null,"x":1.25,"h`i":[{"q":null}],"z":"s, t: >"}',
+def json_paths(text, max_segments):
+    """Paths that one record fills, written out record by record."""
+    out = []
+
+    def walk(node, path):
+        if max_segments is not None and path.count(".") >= max_segments - 1:
+            out.append(path)
+        elif isinstance(node, dict):
+            for key, value in node.items():
+                walk(value, f"{path}.{key}" if path else key)
+        elif node is not None and node != []:
+            out.append(path)
+
+    walk(json.loads(text), "")
+    return out
+
+
+@pytest.mark.parametrize("depth, nodes", [(None, 200_000), (1, 200_000), (2, 3), (3, 200_000), (None, 5)])
+def test_path_inventory_counts_what_records_fill(spark, depth, nodes):
+    texts = ['{"a.b":1,"c d":[null],"e":[],"f":{},"g":null,"x":1.25,"h`i":[{"q":null}],"z":"s, t: >"}',
              '{"k":{"l":{"m":[1,"a"],"n":[[]],"o":[{}],"p":{"q":{}}}}, "DECIMAL(3,1)": {"a": 2.5}}',
-             '[]', '[1]', '5', 'null', '{"": {"": true}}')
-    shapes = spark.createDataFrame([(t,) for t in texts], "value string").selectExpr(
-        "value", "schema_of_variant(parse_json(value)) as shape").collect()
-    for row in shapes:
-        for depth in (None, 1, 2, 3):
-            want = profiling.json_paths(row.value, depth)
-            if row.value != texts[0]:           # there [null] and [] differ
-                assert sorted(profiling.shape_paths(row.shape, depth)) == sorted(want)
-    df = spark.createDataFrame([(t,) for t in texts], "value string")
-    got = {r.path: r.filled for r in profiling.path_inventory(df).collect()}
-    want = [p for t in texts for p in profiling.json_paths(t)]
-    assert got == {p: want.count(p) for p in want}
+             '[]', '[1]', '5', 'null', '{"": {"": true}}', '{"a": 1, "a": {"b": 2}}', ' {"k": false} ']
+    texts += [json.dumps({"open": {f"CVE-{i}": {"cvss": i}}, "k": i % 2 or None}) for i in range(60)]
+    broken = ["bad", '{"a": 1} tail', '{"a": NaN}', "", None, "[" * 5000]
+    df = spark.createDataFrame([(t,) for t in texts + broken], "value string").repartition(3)
+    got = {r.path: (r.filled, r.rate) for r in profiling.path_inventory(df, "value", depth, nodes).collect()}
+    want = [p for t in texts for p in json_paths(t, depth)]
+    assert got == {p: (want.count(p), 100.0 * want.count(p) / len(texts)) for p in want}
+    assert profiling.path_inventory(df.where("false")).collect() == []
 
 
 def test_value_frequencies(spark):
