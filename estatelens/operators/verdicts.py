@@ -15,6 +15,7 @@ from estatelens.functions.pricing import price_call
 from estatelens.functions.text import one_record
 from estatelens.operators.ranking import value_at
 from estatelens.session import written
+from estatelens.sources.ledger import Ledger
 
 MAX_ATTEMPTS = 3
 WORKERS = 4                 # calls in flight per task
@@ -70,21 +71,30 @@ def _call(fn: Callable[[dict], dict], row: dict, max_attempts: int, retry_wait:
 
 def classify(rows: DataFrame, fn: Callable[[dict], dict], version: str, model: str,
              parallelism: int | None = None, workers: int = WORKERS,
-             max_attempts: int = MAX_ATTEMPTS, retry_wait: float = 0.0) -> DataFrame:
+             max_attempts: int = MAX_ATTEMPTS, retry_wait: float = 0.0,
+             ledger: Ledger | None = None) -> DataFrame:
     """One result row per input row: the verdict when it is valid, and the trace always.
 
     ``fn`` takes a row as a dict and returns the four verdict fields, plus token counts if it has
     them. ``parallelism`` tasks (the cluster's cores if not given) run at once, each with
     ``workers`` calls in flight. Write the result before using it twice, or the calls are made
-    twice: see ``run``.
+    twice: see ``run``. With a ``ledger`` each valid answer is stored when it comes and asked for
+    only once; failed calls are asked again.
     """
     prompt = "prompt" in rows.columns
     parallelism = parallelism or rows.sparkSession.sparkContext.defaultParallelism
 
     def one(row: dict) -> dict:
-        return {"entity_domain": row["entity_domain"], "ts": time.time(),
-                "prompt_chars": len(row["prompt"]) if prompt else None,
-                **_call(fn, row, max_attempts, retry_wait)}
+        key = (version, model, str(row["entity_domain"]))
+        known = ledger.get(*key) if ledger else None
+        if known:
+            return known
+        result = {"entity_domain": row["entity_domain"], "ts": time.time(),
+                  "prompt_chars": len(row["prompt"]) if prompt else None,
+                  **_call(fn, row, max_attempts, retry_wait)}
+        if ledger and result["error"] is None:
+            ledger.put(result, *key)
+        return result
 
     def calls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(workers) as pool:
@@ -128,8 +138,9 @@ def run(rows: DataFrame, fn: Callable[[dict], dict], version: str, model: str,
     (verdicts, traces) from the stored results.
 
     Rows are called in chunks of about ``chunk_rows``, dealt by hash; each chunk is appended when it
-    is done, verdict and trace of a call together. A run that dies keeps what it has appended, and
-    the next one calls only for the rest. A task that Spark repeats makes its calls again.
+    is done, verdict and trace of a call together. Until then its answers are in a ledger next to the
+    table, so neither a run that dies nor a task that Spark repeats pays for an answer twice. A ledger
+    goes when its chunk is appended.
     """
     spark = rows.sparkSession
     n_chunks = max(1, -(-rows.count() // chunk_rows))
@@ -144,8 +155,10 @@ def run(rows: DataFrame, fn: Callable[[dict], dict], version: str, model: str,
     for i in range(n_chunks):
         done = stored().where(chunk == i).where("error is null").select("entity_domain")
         left = rows.where(chunk == i).join(done, "entity_domain", "left_anti")
-        (classify(left, fn, version, model, **options).write.mode("append")
+        ledger = Ledger(f"{results_path.rstrip('/')}_ledger/{n_chunks}-{i}")
+        (classify(left, fn, version, model, ledger=ledger, **options).write.mode("append")
          .option("compression", "zstd").parquet(results_path))
+        ledger.clear()
         if on_chunk:
             on_chunk(i)
     return verdicts_of(stored()), traces_of(stored())

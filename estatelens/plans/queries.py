@@ -22,7 +22,7 @@ from estatelens.operators import (audit, curated, entities, evaluation, findings
 from estatelens.plans.layers import HOST_COLUMNS, Layers
 from estatelens.plans.star_view import AS_OF, raw_records, scan_view
 from estatelens.session import apply_settings, shared_dir, written
-from estatelens.sources import providers
+from estatelens.sources import providers, records, zstd_frames
 from estatelens.streaming import ingest as stream_ingest, refresh as stream_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,6 +194,29 @@ def scan_project_json(spark, sf):
     return plain(projection.project(table(spark, sf, "raw"), rules()))
 
 
+@query
+def scan_table(spark, sf):
+    """The scan table as its sink writes it and its reader types it."""
+    home = _fresh(spark, "scan")
+    records.write_scan(scan_view(spark, sf), home)
+    return plain(records.read_scan(spark, home).select(*schemas.names(schemas.SCAN)))
+
+
+@query
+def curated_untraced(spark, sf):
+    """Accounts where no trace log exists yet: an absent log is an empty typed table."""
+    traces = verdicts.read_traces(spark, f"{_fresh(spark, 'absent')}/*.jsonl")
+    return plain(curated.curate(scores(spark, sf), verdicts.publishable(verdict_log(spark, sf), VERSION, MODEL),
+                                verdicts.class_traces(traces, VERSION, MODEL)))
+
+
+@query
+def scan_project_zstd(spark, sf):
+    """The same records through zstd files of many frames, each file read by several tasks."""
+    files = zstd_frames.write(table(spark, sf, "raw"), _fresh(spark, "zstd"), 512)
+    return plain(projection.project(zstd_frames.read(files, 1 << 18), rules()))
+
+
 VULN_JSON = """concat('{', case when l_linenumber <= 5 then concat(
     '"CVE-A": {"cvss": ', case when l_linenumber = 4 then 'null' else cast(round(l_tax * 125, 2) as string) end,
     ', "epss": ', case when l_linenumber = 5 then 'null' else cast(round(l_discount * 10, 2) as string) end,

@@ -44,12 +44,14 @@ S, P = at_scores(), at_scores("parity")
 O: dict[str, str] = {}
 
 # ---------------------------------------------------------------------------------- raw, staging
-ZONE = """case when primary_domain = '192.0.2.9' then null
-  when primary_domain like '%.in-addr.arpa' then 'in-addr.arpa' else primary_domain end"""
+# in-addr.arpa is a rule of the public suffix list, so a zone below it is a domain of its own.
+ZONE = "case when primary_domain = '192.0.2.9' then null else primary_domain end"
 O["scan_project_json"] = AT_RAW + "select " + cols(
     *schemas.names(schemas.SCAN), primary_domain=ZONE,
     hostnames="""case when primary_domain is null then ''
       else concat('a.b.', primary_domain, '|', primary_domain) end""") + " from raw"
+O["scan_project_zstd"] = O["scan_project_json"]
+O["scan_table"] = AT_RAW + f"select {cols(*schemas.names(schemas.SCAN))} from raw"
 
 O["vuln_summary"] = """
 with v as (select l_orderkey, l_linenumber as n, l_returnflag = 'R' as ver,
@@ -306,6 +308,8 @@ ACCOUNT = ("entity_domain", "company", "entity_class", "class_confidence", "clas
            "n_open_directories", "n_iot_devices", "heartbleed_vulnerable", "no_waf_anywhere",
            "waf_vendors", "publishes_securitytxt", "technologies", "products",
            "n_signal_categories", *INTENT, *FIT, "last_seen_at", *TRACE)
+O["curated_untraced"] = C + f"""select {cols(*[c for c in ACCOUNT if c not in TRACE])},
+  {', '.join(f"null as {c}" for c in TRACE)} from curated"""
 O["curated_accounts"] = C + f"select {cols(*ACCOUNT)} from curated"
 O["tier_hist"] = C + "select tier, count(*) as n from curated group by 1"
 O["accounts_view"] = C + f"""select entity_domain, company, tier, intent_score, fit_score from curated

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 
@@ -184,6 +185,43 @@ def test_a_run_that_dies_keeps_its_calls(spark, tmp_path):
     assert other.count() == 5 and {r.prompt_version for r in other.collect()} == {"v2"}
 
 
+class Dying(Counting):
+    """Ends its task on one row the first time that row comes."""
+
+    def __call__(self, row):
+        if row["entity_domain"] == "e33" and not os.path.exists(f"{self.folder}-died"):
+            open(f"{self.folder}-died", "w").close()
+            raise SystemExit("the executor is lost")
+        return super().__call__(row)
+
+
+def test_a_repeated_task_does_not_pay_twice(spark, tmp_path):
+    (tmp_path / "calls").mkdir()
+    fn, store = Dying(tmp_path / "calls"), str(tmp_path / "r")
+    rows = spark.createDataFrame([(f"e{i}",) for i in range(60)], "entity_domain string").coalesce(1)
+    with pytest.raises(Exception):
+        verdicts.run(rows, fn, "v1", "m", store, parallelism=1, workers=2)
+    early = len(list((tmp_path / "calls").iterdir()))
+    assert 20 < early < 60 and spark.read.parquet(store).count() == 0        # paid, and nothing appended
+    found, traces = verdicts.run(rows, fn, "v1", "m", store, parallelism=3)
+    assert found.count() == traces.count() == 60
+    names = [p.name.split(".")[0] for p in (tmp_path / "calls").iterdir()]
+    assert sorted(names) == sorted(f"e{i}" for i in range(60))
+    assert not list((tmp_path / "r_ledger").iterdir())                   # gone once appended
+
+
+def test_ledger(tmp_path):
+    from estatelens.sources.ledger import Ledger
+    ledger = Ledger(str(tmp_path / "l"))
+    ledger.clear()
+    assert ledger.get("v", "m", "a/b") is None
+    ledger.put({"x": 1}, "v", "m", "a/b")
+    ledger.put({"x": 2}, "v", "m", "a/b")
+    assert Ledger(f"file://{tmp_path}/l").get("v", "m", "a/b") == {"x": 2} and ledger.get("v", "m", "a") is None
+    ledger.clear()
+    assert ledger.get("v", "m", "a/b") is None
+
+
 def test_a_null_class_is_refused(spark):
     log = spark.createDataFrame([("a", "v", "m", None, "n", 0.5, "r", 1)],
                                 schemas.VERDICT + ", seq BIGINT")
