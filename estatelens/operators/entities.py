@@ -11,12 +11,15 @@ Shape of the aggregation, chosen for one entity that may own a third of all reco
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from estatelens.config import DEFAULTS, RuleThresholds, Settings
 from estatelens.functions.arrays import first, matching
 
-MAX_PATTERNS = 2_000
+MAX_PATTERNS = 1_000_000
 
 
 def entity_hosts(staged: DataFrame) -> DataFrame:
@@ -186,24 +189,57 @@ def _names(rollup: DataFrame) -> DataFrame:
     return rollup.select("entity_domain", F.explode(F.split("orgs_seen", r" \| ")).alias("name"))
 
 
+def names_of(facets: DataFrame) -> DataFrame:
+    """The same from facet rows, where no entity's names are ever one value."""
+    return of_interest(facets, ("org",)).select("entity_domain", F.col("value").alias("name"))
+
+
 def _named(texts: DataFrame, text: str, providers: DataFrame, compact: bool) -> DataFrame:
     """``texts`` with provider and provider_class of every pattern they contain.
 
-    The provider list is a reference table that does not grow with the data (its size is checked),
-    so it travels as a literal and each text is tested in its own row.
+    The provider list is a reference table that does not grow with the data; its size is checked.
+    All patterns are one automaton, built once per task, that reads each text once, however many
+    patterns there are.
     """
-    rows = providers.select("pattern", "provider", "provider_class").limit(MAX_PATTERNS + 1).collect()
+    rows = providers.select("pattern", "provider", "provider_class").where(
+        "pattern is not null").limit(MAX_PATTERNS + 1).collect()
     if len(rows) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} patterns: use seed_match_by_gram")
-    if not rows:
-        return texts.withColumns({c: F.lit(None).cast("string")
-                                  for c in ("provider", "provider_class")}).limit(0)
-    known = F.array(*[F.struct(
-        F.lit(r.pattern.replace(" ", "") if compact else r.pattern).alias("pattern"),
-        F.lit(r.provider).alias("provider"), F.lit(r.provider_class).alias("provider_class"))
-        for r in rows if r.pattern is not None])
-    hit = F.explode(F.filter(known, lambda p: F.col(text).contains(p["pattern"])))
-    return texts.withColumn("_hit", hit).select(*texts.columns, "_hit.provider", "_hit.provider_class")
+    known: dict[str, set] = {}
+    for r in rows:
+        pattern = r.pattern.replace(" ", "") if compact else r.pattern
+        known.setdefault(pattern, set()).add((r.provider, r.provider_class))
+    shared = texts.sparkSession.sparkContext.broadcast(known)
+    names = [*texts.columns, "provider", "provider_class"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for pattern, found in shared.value.items():
+            if pattern:
+                automaton.add_word(pattern, found)
+        everywhere = shared.value.get("", set())
+        if len(automaton):
+            automaton.make_automaton()
+        for batch in batches:
+            at, hits = [], []
+            for i, value in enumerate(batch.column(text).to_pylist()):
+                if value is None:
+                    continue
+                found = set(everywhere)
+                if len(automaton):
+                    for _, of in automaton.iter(value):
+                        found |= of
+                at += [i] * len(found)
+                hits += found
+            provider, kind = zip(*hits) if hits else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.take(pa.array(at, pa.int64())).columns, pa.array(provider, pa.string()),
+                 pa.array(kind, pa.string())], names)
+
+    return texts.mapInArrow(run, T.StructType([*texts.schema.fields, *[
+        T.StructField(c, T.StringType()) for c in ("provider", "provider_class")]]))
 
 
 def _grams(texts: DataFrame, text: str, providers: DataFrame, compact: bool) -> DataFrame:
@@ -221,15 +257,16 @@ def _grams(texts: DataFrame, text: str, providers: DataFrame, compact: bool) ->
 
 
 def seed_match(rollup: DataFrame, providers: DataFrame, settings: Settings = DEFAULTS,
-               find=_named) -> DataFrame:
+               find=_named, names: DataFrame | None = None) -> DataFrame:
     """Entities named in the provider list -> (matched_provider, matched_provider_class).
 
     Every domain and every distinct organisation name is tested once; names are joined back to
-    their entities, so an organisation with very many names spreads over all tasks.
+    their entities, so an organisation with very many names spreads over all tasks. ``names``
+    (``names_of``) spares taking them out of the joined string again.
     """
     hits = find(rollup.select("entity_domain"), "entity_domain", providers, True)
     if settings.match_orgs:
-        names = _names(rollup)
+        names = _names(rollup) if names is None else names
         found = find(names.select("name").distinct(), "name", providers, False)
         hits = hits.unionByName(names.join(found, "name").drop("name"))
     if settings.parity:
@@ -279,6 +316,7 @@ def apply_rules(rollup: DataFrame, matched: DataFrame, settings: Settings = DEFA
     })
 
 
-def classify_by_rule(rollup: DataFrame, providers: DataFrame,
-                     settings: Settings = DEFAULTS) -> DataFrame:
-    return apply_rules(rollup, seed_match(rollup, providers, settings), settings)
+def classify_by_rule(rollup: DataFrame, providers: DataFrame, settings: Settings = DEFAULTS,
+                     facets: DataFrame | None = None) -> DataFrame:
+    names = None if facets is None else names_of(facets)
+    return apply_rules(rollup, seed_match(rollup, providers, settings, names=names), settings)

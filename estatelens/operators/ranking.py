@@ -8,7 +8,9 @@ made hot by ties.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from estatelens.session import written
 
@@ -63,11 +65,64 @@ def with_running_total(df: DataFrame, order, amount: Column, name: str) -> DataF
     return with_running_totals(df, order, {name: amount})
 
 
+BINS = 1 << 10
+
+
 def value_at(df: DataFrame, column: str, fractions: dict[str, float]) -> DataFrame:
-    """Exact percentiles by sorted index: element floor(n * fraction), counted from 0.
+    """Exact percentiles by sorted index: element floor(n * fraction), counted from 0, nulls first.
 
-    Works on the histogram of the column, so repeated values cost nothing.
+    Nothing is sorted. Whole numbers are selected by refinement: every pass counts the values of
+    each wanted range in ``BINS`` bins and goes on with the bin that holds the wanted place, until it
+    has one value. A pass is one aggregate of at most BINS rows per percentile; 64-bit
+    numbers need at most seven.
     """
+    if not isinstance(df.schema[column].dataType, T.IntegralType):
+        return _value_at_sorted(df, column, fractions)
+    values = df.select(F.col(column).cast("bigint").alias("v"))
+    n, filled, low, high = values.agg(F.count(F.lit(1)), F.count("v"), F.min("v"), F.max("v")).first()
+    done: dict[str, int | None] = dict.fromkeys(fractions)
+    # name -> (place among the values from low to high, low, high)
+    open_: dict[str, tuple[int, int, int]] = {}
+    for name, fraction in fractions.items():
+        place = math.floor(n * float(fraction)) - (n - filled)
+        if 0 <= place < filled:
+            open_[name] = (place, low, high)
+    while open_:
+        for name, (place, low, high) in list(open_.items()):
+            if low == high:
+                done[name] = low
+                del open_[name]
+        if not open_:
+            break
+        bins = [F.struct(F.lit(name).alias("name"), _bin(F.col("v"), low, high).alias("bin"))
+                for name, (_, low, high) in open_.items()]
+        counted = (values.select("v", F.inline(F.array(*bins))).where("bin is not null")
+                   .groupBy("name", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"),
+                                               F.max("v").alias("high")).collect())
+        for name, (place, _, _) in list(open_.items()):
+            for r in sorted((r for r in counted if r.name == name), key=lambda r: r.bin):
+                if place < r.n:
+                    open_[name] = (place, r.low, r.high)
+                    break
+                place -= r.n
+    kind = df.schema[column].dataType
+    return df.sparkSession.createDataFrame([tuple(done[name] for name in fractions)], T.StructType(
+        [T.StructField(name, T.LongType()) for name in fractions])).select(
+        *[F.col(f"`{name}`").cast(kind).alias(name) for name in fractions])
+
+
+def _bin(value: Column, low: int, high: int) -> Column:
+    """Bin of a value from low to high, else null: 0 for low, BINS - 1 for high, never falling. Half
+    values where the range is wider than a long."""
+    wide = high - low >= 1 << 62
+    part = (value.cast("double") / 2 - F.lit(low / 2.0)) / (high / 2.0 - low / 2.0) if wide else (
+        (value - F.lit(low)).cast("double") / float(high - low))
+    inside = F.least(F.floor(part * BINS), F.lit(BINS - 1))
+    return F.when((value >= F.lit(low)) & (value <= F.lit(high)), inside)
+
+
+def _value_at_sorted(df: DataFrame, column: str, fractions: dict[str, float]) -> DataFrame:
+    """The same of values of any kind, over their histogram in order."""
     histogram = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     running = with_running_total(histogram, [column], F.col("n"), "up_to")
     size = running.agg(F.max("up_to").alias("size"))

@@ -104,7 +104,7 @@ class Layers:
         measures, facets, headlines = self.build_partials(scan, as_of, settings)
         rollup = self.write("rollup", entities.entity_rollup(None, measures, facets))
         classification = self.write(
-            "classification", entities.classify_by_rule(rollup, providers, settings))
+            "classification", entities.classify_by_rule(rollup, providers, settings, facets))
         self.write("signals", signals.company_signals(None, classification, measures, facets,
                                                       settings, headlines))
         return self.rescore(settings)

