@@ -17,47 +17,61 @@ from estatelens.session import written
 INDEX_BITS = 33     # monotonically_increasing_id: partition above, row below
 
 
-def _ordered(df: DataFrame, order) -> DataFrame:
-    placed = df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id())
+def _free(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while base in taken:
+        base += "_"
+    return base
+
+
+def _ordered(df: DataFrame, order, place: str) -> DataFrame:
+    placed = df.orderBy(*order).withColumn(place, F.monotonically_increasing_id())
     return written(placed, "ordered")
 
 
-def _partition() -> Column:
-    return F.shiftright("_place", INDEX_BITS)
+def _partition(place: str) -> Column:
+    return F.shiftright(place, INDEX_BITS)
+
+
+def _offsets(ordered: DataFrame, place: str, amounts: list[Column]) -> DataFrame:
+    """(part, before): totals before each partition, in the order of ``amounts``. The only
+    unpartitioned window: one row per task."""
+    totals = ordered.groupBy(_partition(place).alias("part")).agg(
+        *[F.sum(amount).alias(f"n{i}") for i, amount in enumerate(amounts)])
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("part", F.struct(*[
+        F.coalesce(F.sum(f"n{i}").over(before), F.lit(0)).alias(f"n{i}")
+        for i in range(len(amounts))]).alias("before"))
 
 
-def _offsets(ordered: DataFrame, **amounts: Column) -> DataFrame:
-    """Totals before each partition. The only unpartitioned window: one row per task."""
-    totals = ordered.groupBy(_partition().alias("_part")).agg(
-        *[F.sum(amount).alias(name) for name, amount in amounts.items()])
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select("_part", *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name)
-                                    for name in amounts])
+def _with_offsets(ordered: DataFrame, place: str, amounts: list[Column], part: str, before: str) -> DataFrame:
+    offsets = _offsets(ordered, place, amounts).select(F.col("part").alias(part), F.col("before").alias(before))
+    return ordered.withColumn(part, _partition(place)).join(F.broadcast(offsets), part)
 
 
 def with_position(df: DataFrame, order, name: str = "rank", start: int = 1) -> DataFrame:
     """Dense position in the global order, counted from ``start``."""
-    ordered = _ordered(df, order)
-    offsets = _offsets(ordered, _before=F.lit(1).cast("bigint"))
-    inside = F.col("_place").bitwiseAND((1 << INDEX_BITS) - 1)
-    return (ordered.withColumn("_part", _partition()).join(F.broadcast(offsets), "_part")
-            .withColumn(name, F.col("_before") + inside + start)
-            .drop("_part", "_place", "_before"))
+    place, part, before = (_free(df, c) for c in ("_place", "_part", "_before"))
+    ordered = _ordered(df, order, place)
+    inside = F.col(place).bitwiseAND((1 << INDEX_BITS) - 1)
+    return (_with_offsets(ordered, place, [F.lit(1).cast("bigint")], part, before)
+            .withColumn(name, F.col(f"{before}.n0") + inside + start).drop(part, place, before))
 
 
 def with_running_totals(df: DataFrame, order, amounts: dict[str, Column]) -> DataFrame:
     """For each name the sum of its amount over this row and all before it: one sort for all."""
-    own = {f"_amount{i}": amount for i, amount in enumerate(amounts.values())}
-    ordered = _ordered(df.withColumns(own), order)
-    offsets = _offsets(ordered, **{f"_before{i}": F.col(f"_amount{i}") for i in range(len(own))})
-    so_far = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
-    placed = ordered.withColumn("_part", _partition())
-    inside = placed.withColumns({f"_inside{i}": F.sum(f"_amount{i}").over(so_far)
-                                 for i in range(len(own))})
-    total = {name: F.col(f"_before{i}") + F.col(f"_inside{i}") for i, name in enumerate(amounts)}
-    helpers = [f"{kind}{i}" for kind in ("_amount", "_inside", "_before") for i in range(len(own))]
-    return (inside.join(F.broadcast(offsets), "_part").withColumns(total)
-            .drop("_part", "_place", *helpers))
+    place, part, before, own, inside = (_free(df, c) for c in (
+        "_place", "_part", "_before", "_amounts", "_inside"))
+    each = range(len(amounts))
+    ordered = _ordered(df.withColumn(own, F.struct(
+        *[amount.alias(f"n{i}") for i, amount in enumerate(amounts.values())])), order, place)
+    so_far = Window.partitionBy(part).orderBy(place).rowsBetween(Window.unboundedPreceding, 0)
+    placed = _with_offsets(ordered, place, [F.col(f"{own}.n{i}") for i in each], part, before)
+    summed = placed.withColumn(inside, F.struct(
+        *[F.sum(F.col(f"{own}.n{i}")).over(so_far).alias(f"n{i}") for i in each]))
+    total = {name: F.col(f"{before}.n{i}") + F.col(f"{inside}.n{i}") for i, name in enumerate(amounts)}
+    return summed.withColumns(total).drop(part, place, own, inside, before)
 
 
 def with_running_total(df: DataFrame, order, amount: Column, name: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from estatelens import schemas
 from estatelens.config import DEFAULTS, ENTITY_CLASSES, PARITY, PROSPECT_CLASSES
 from estatelens.functions import arrays as A, domains, pricing, text, vulns
-from estatelens.operators import (audit, curated, entities, evaluation, findings, profiling,
+from estatelens.operators import (audit, curated, entities, evaluation, findings, lists, profiling,
                                   projection, quality, queueing, sampling, scoring, signals,
                                   staging, verdicts)
 from estatelens.plans.layers import HOST_COLUMNS, Layers
@@ -394,6 +394,12 @@ def seed_match_long(spark, sf):
                                names=entities.names_of(table(spark, sf, "facets")))
 
 
+@query
+def entity_lists(spark, sf):
+    """Names, technologies and the like of every entity in chunks of at most seven."""
+    return plain(lists.entity_lists(table(spark, sf, "facets"), size=7))
+
+
 @query
 def provider_csv(spark, sf):
     """A provider list written as CSV and read back with its schema."""

@@ -143,6 +143,18 @@ O["seed_match_long"] = AT_ROLLUP + """, hits as (
         as id from rollup_) where id < 100000)
   select entity_domain, provider as matched_provider, provider_class as matched_provider_class
   from hits qualify row_number() over (partition by entity_domain order by provider, provider_class) = 1"""
+O["entity_lists"] = AT_HOSTS + """, pairs as (
+    select distinct entity_domain, facet, value from (
+      select entity_domain, 'org' as facet, org_normalised as value from hosts
+      union all select entity_domain, 'product', product from hosts
+      union all select entity_domain, 'country_code', country_code from hosts
+      union all select entity_domain, 'waf', http_waf from hosts
+      union all select entity_domain, 'technology', unnest(http_components) from hosts)
+    where value is not null),
+  placed as (select *, (row_number() over (partition by entity_domain, facet order by value) - 1) // 7
+    as chunk from pairs)
+  select entity_domain, facet, chunk, cast(count(*) as integer) as n,
+    string_agg(value, '|' order by value) as values from placed group by all"""
 CLASS_COLUMNS = (*ROLLUP_COLUMNS, "matched_provider", "matched_provider_class", "rule_class",
                  "rule_evidence")
 O["rule_class"] = AT_CLASSES + f"select {cols(*CLASS_COLUMNS)} from classification"

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from estatelens import schemas
 from estatelens.config import DEFAULTS, PARITY, Settings
-from estatelens.operators import entities, scoring, signals, staging
+from estatelens.operators import entities, lists, scoring, signals, staging
 from estatelens.sources import providers
 from tests.scans import scan
 
@@ -122,6 +122,26 @@ def test_patterns_of_every_kind(spark):
     assert entities._named(df, "t", seed.limit(0), False).count() == 0
 
 
+def test_lists_of_a_hot_entity_are_many_rows(spark):
+    """One entity of a million names, others of few; chunks are full, in order and bounded."""
+    facets = spark.range(1_000_000).selectExpr(
+        "'hot.com' as entity_domain", "'org' as facet", "concat('name ', lpad(id, 7, '0')) as value",
+        "1L as n", "1L as n_with_ip").unionAll(spark.createDataFrame(
+            [("a.com", "org", v, 1, 1) for v in "cab"] + [("a.com", "waf", "w", 1, 1), ("a.com", "port", "80", 1, 1)],
+            "entity_domain string, facet string, value string, n long, n_with_ip long"))
+    chunked = lists.entity_lists(facets)
+    assert "collect_list" not in chunked._jdf.queryExecution().executedPlan().toString()
+    rows = chunked.orderBy("entity_domain", "facet", "chunk").collect()
+    assert [(r.entity_domain, r.facet, r.chunk, r.n, r["values"]) for r in rows[:2]] == [
+        ("a.com", "org", 0, 3, ["a", "b", "c"]), ("a.com", "waf", 0, 1, ["w"])]
+    hot = rows[2:]
+    assert [r.chunk for r in hot] == list(range(1000)) and {r.n for r in hot} == {1000}
+    assert [v for r in hot for v in r["values"]] == [f"name {i:07d}" for i in range(1_000_000)]
+    for items in (2, 1500):
+        got = {r.entity_domain: r["values"] for r in lists.leading(chunked, "org", items).collect()}
+        assert got == {"a.com": ["a", "b", "c"][:items], "hot.com": [f"name {i:07d}" for i in range(items)]}
+
+
 def test_hot_entity_is_exact(spark):
     """A third of the rows in one entity: results equal a brute-force count."""
     rows = [{"primary_domain": "hot.com" if i % 3 == 0 else f"d{i % 50}.com", "ip": f"h{i % 700}",

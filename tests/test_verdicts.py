@@ -156,6 +156,17 @@ def test_running_total(spark):
         assert r.t == total
 
 
+def test_helper_columns_clash_with_nothing(spark):
+    names = ["_place", "_part", "_before", "_amounts", "_inside", "_place_", "n0", "part", "before"]
+    df = spark.createDataFrame([(i, *[f"x{i}"] * len(names)) for i in range(40)],
+                               "k int, " + ", ".join(f"{n} string" for n in names)).repartition(3)
+    placed = ranking.with_position(df, ["k"])
+    total = ranking.with_running_total(df, ["k"], F.col("k"), "t")
+    assert placed.columns == [*df.columns, "rank"] and total.columns == [*df.columns, "t"]
+    assert all(r.rank == r.k + 1 and {r[n] for n in names} == {f"x{r.k}"} for r in placed.collect())
+    assert all(r.t == r.k * (r.k + 1) // 2 and {r[n] for n in names} == {f"x{r.k}"} for r in total.collect())
+
+
 def test_prompt_rendering(spark):
     df = spark.createDataFrame([("a.com", None, 3, [None, "", *"abcdefghijklmn"]), ("b", "x", 0, [])],
                                "entity_domain string, c string, n int, xs array<string>")
