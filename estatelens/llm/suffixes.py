@@ -41,29 +41,38 @@ def column_wise(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     dense[used] = np.arange(1, len(used) + 1)
     joined = dense[joined]
     transform = np.zeros(m, np.uint8)    # round 0: the empty suffixes, in order of the strings
-    owner, length = np.arange(m, dtype=np.int32), np.zeros(m, np.int16)
     place = np.arange(m)
-    for t in range(1, int(size.max(initial=0)) + 1):
+    longest = int(size.max(initial=0))
+    for t in range(1, longest + 1):
         active = np.flatnonzero(size >= t)
         transform[place[active]] = joined[end[active] - t]
-        order = np.argsort(transform, kind="stable")     # counting sort of single bytes
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
         unread = np.count_nonzero(transform == 0)
-        new = m + rank[place[active]] - unread
-        total = len(transform) + len(active)
-        old = np.ones(total, bool)
+        new = m + _ranks(transform)[place[active]] - unread
+        grown = np.empty(len(transform) + len(active), np.uint8)
+        old = np.ones(len(grown), bool)
         old[new] = False
-        grown = []
-        for values, fresh in ((transform, 0), (owner, active), (length, t)):
-            out = np.empty(total, values.dtype)
-            out[old], out[new] = values, fresh
-            grown.append(out)
-        transform, owner, length = grown
+        grown[old], grown[new] = transform, 0
+        transform = grown
         place[active] = new
+    # Which suffix stands where: from each string's empty suffix on, its symbols read off in turn.
+    owner, length = np.zeros(len(transform), np.int32), np.zeros(len(transform), np.int16)
+    place = np.arange(m)
+    owner[place] = place
+    rank = _ranks(transform)
+    for t in range(1, longest + 1):
+        active = np.flatnonzero(size >= t)
+        place[active] = rank[place[active]]
+        owner[place[active]], length[place[active]] = active, t
     return transform, owner, length
 
 
+def _ranks(symbols: np.ndarray) -> np.ndarray:
+    """Place of each symbol in stable order: a counting sort of single bytes."""
+    rank = np.empty(len(symbols), np.int32)
+    rank[np.argsort(symbols, kind="stable")] = np.arange(len(symbols), dtype=np.int32)
+    return rank
+
+
 def compare(segments: list[bytes], first: np.ndarray, n: int = WINDOW) -> list[list[int]]:
     """For each segment, its windows that a segment of a smaller document has."""
     _, owner, length = column_wise(segments)
