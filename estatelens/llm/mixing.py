@@ -98,18 +98,19 @@ def plan(docs: DataFrame, name: str, weights: tuple[int, ...] = WEIGHTS,
     run = ranking.with_running_total(keyed, order, F.col(size), total)
     per_source = targets(run.groupBy("source").agg(F.sum(size).alias("source_size")), weights,
                          max_epochs)
-    per_source = per_source.select(F.col("source").alias("_mix_source"),
-                                   F.struct("source_size", "words_before", "target").alias("_mix"))
-    joined = run.join(per_source, F.col("source").eqNullSafe(F.col("_mix_source")))
-    own, whole = F.col(size), F.col("_mix.source_size")
-    budget = F.floor(F.col("_mix.target") + 0.5)
+    of, its = fresh_name(docs, "_mix_source"), fresh_name(docs, "_mix")
+    per_source = per_source.select(F.col("source").alias(of),
+                                   F.struct("source_size", "words_before", "target").alias(its))
+    joined = run.join(per_source, F.col("source").eqNullSafe(F.col(of)))
+    own, whole = F.col(size), F.col(f"{its}.source_size")
+    budget = F.floor(F.col(f"{its}.target") + 0.5)
     epochs = F.when(whole > 0, F.floor(budget / F.greatest(whole, F.lit(1)))).otherwise(F.lit(0))
-    ahead = F.col(total) - own - F.col("_mix.words_before")
+    ahead = F.col(total) - own - F.col(f"{its}.words_before")
     drawn = F.greatest(F.lit(0), F.least(own, budget - epochs * whole - ahead))
     return joined.withColumn(name, F.struct(
-        own.alias("size"), whole.alias("source_size"), F.col("_mix.target").alias("target"),
+        own.alias("size"), whole.alias("source_size"), F.col(f"{its}.target").alias("target"),
         (epochs * own + drawn).cast("bigint").alias("taken"))).drop(
-        "_mix", "_mix_source", work, size, total)
+        its, of, work, size, total)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,

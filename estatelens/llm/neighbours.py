@@ -17,7 +17,9 @@ set per block from ``SAMPLE`` of its vectors.
 
 Vectors that are null, empty, zero or hold a null or a value that is not finite take no part; nor
 do rows without vec_id. Of rows with equal vec_id the one with the smallest vector counts. Vectors
-of different lengths are never compared. Ties go to the smaller vec_id. Empty tables give no rows.
+of different lengths are never compared. Ties go to the smaller vec_id. Vectors of any size take
+part; a product beyond the range of a double is infinite. Only vec_id and embedding are read, so other
+columns and their names do not matter. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -52,7 +54,8 @@ class Index:
         self.radius = self._start(np.sort(rng.choice(n, min(n, SAMPLE), replace=False)), k)
 
     def _project(self, queries: np.ndarray) -> np.ndarray:
-        return (queries / np.linalg.norm(queries, axis=1)[:, None]) @ self.lines[:-1]
+        scaled = queries / np.abs(queries).max(axis=1, keepdims=True)     # no square over- or underflows
+        return (scaled / np.linalg.norm(scaled, axis=1)[:, None]) @ self.lines[:-1]
 
     def _windows(self, at: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
         """First and last place of every query's window in each sorted array."""
@@ -95,7 +98,8 @@ class Index:
                 a, b = new_a, new_b
                 chosen = np.flatnonzero(hits >= self.needed)
             chosen = chosen[self.ids[chosen] != query_ids[i]]
-            score = self.vectors[chosen] @ queries[i]
+            # Row by row in one order: equal vectors get equal scores in any company.
+            score = (self.vectors[chosen] * queries[i]).sum(axis=1)
             if len(chosen) > k:
                 edge = -np.partition(-score, k - 1)[k - 1]
                 near = score >= edge
@@ -114,15 +118,16 @@ def _vectors(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v, dim, norm2) of the vectors that take part."""
+    """(vec_id, v, dim, largest, norm) of the vectors that take part."""
     given = vectors.where("vec_id is not null and embedding is not null").select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
         F.col("embedding").cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     whole = given.where((F.size("v") > 0) & finite).groupBy("vec_id").agg(F.min("v").alias("v"))
-    norm2 = F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x)
-    return whole.select("vec_id", "v", F.size("v").alias("dim"), norm2.alias("norm2")).where(
-        "norm2 > 0")
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    return whole.select("vec_id", "v", F.size("v").alias("dim"), largest.alias("largest")).where(
+        "largest > 0").withColumn("norm", F.col("largest") * F.sqrt(F.aggregate(
+            F.transform("v", lambda x: x / F.col("largest")), F.lit(0.0), lambda total, x: total + x * x)))
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK,
@@ -130,9 +135,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLO
     """Both tables: vec_id, embedding. (query_id, rank, vec_id, score), the query's own vec_id
     left out."""
     data, asked = usable(vectors), usable(queries)
-    per_dim = (data.groupBy("dim").agg(F.count("*").alias("n"), F.max("norm2").alias("top")).join(
+    per_dim = (data.groupBy("dim").agg(F.count("*").alias("n"), F.max("norm").alias("top")).join(
         asked.groupBy("dim").agg(F.count("*").alias("n_queries")), "dim"))
-    sized = per_dim.select("dim", F.sqrt("top").alias("top"),
+    sized = per_dim.select("dim", "top",
                            F.ceil(F.col("n") / block).cast("int").alias("blocks"),
                            F.ceil(F.col("n_queries") / chunk).cast("int").alias("chunks"))
     rows = data.join(sized, "dim").select(

@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from estatelens.llm import mixing, neighbours, rules
@@ -140,7 +141,72 @@ def test_recall(spark):
     assert all(abs(s - x[q] @ x[i]) < 1e-9 for q, _, i, s in got)
 
 
+def test_equal_vectors_come_by_vec_id(spark):
+    """Hundreds of equal vectors among others: ties never hang on how many rows are scored at once."""
+    rng = np.random.default_rng(3)
+    same, few = rng.normal(size=24), rng.normal(size=24)
+    rows = [(i, [float(c) for c in (same if i % 3 else few if i % 2 else rng.normal(size=24))]) for i in range(900)]
+    got = {}
+    df = vectors(spark, rows)
+    for r in sorted(neighbours.nearest(df, df.where("vec_id % 20 = 0")).collect(), key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for found in got.values():
+        assert len(found) == 20
+        assert found == sorted(found, key=lambda x: (-x[1], x[0]))
+        for (a, s), (b, t) in zip(found, found[1:]):
+            if rows[a][1] == rows[b][1]:
+                assert s == t and a < b
+    x = np.array([v for _, v in rows])
+    index = neighbours.Index(x, np.arange(900), float(np.linalg.norm(x, axis=1).max()), 20)
+    for q in range(0, 900, 20):
+        _, ids, score = index.search(x[q:q + 1], np.array([q]), 20)
+        assert [*zip(ids, score)] == sorted(zip(ids, score), key=lambda p: (-p[1], p[0]))
+
+
+@pytest.mark.parametrize("size", [1e-200, 1e-160, 1.0, 1e150])
+def test_vectors_of_any_size_take_part(spark, size):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(c) * size for c in rng.normal(size=6)]) for i in range(60)] + [(60, [0.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest(df, df.where("vec_id % 20 = 0")).collect()
+    assert {(r.query_id, r.rank) for r in got} == {(q, k) for q in (0, 20, 40) for k in range(1, 21)}
+    if size > 1e-100:
+        for r in got:
+            if r.rank == 1:
+                others = [(-float((np.array(v) * np.array(rows[r.query_id][1])).sum()), i) for i, v in rows[:60] if i != r.query_id]
+                assert min(others)[1] == r.vec_id
+
+
 # ------------------------------------------------------------------------------ pipeline
+HELPERS = ["_place", "_part", "_amounts", "_inside", "_before", "_mix", "_mix_source", "_work", "_size", "_up_to",
+           "_plan", "_tie", "_spans", "_shared_id", "_shared_tie", "_stats", "_verdict", "tie", "row", "size"]
+
+
+@pytest.mark.parametrize("case", ["empty", "nulls", "hard", "clashing"])
+def test_stages_take_hard_tables(spark, case, tmp_path):
+    """Empty tables, rows of nulls, hard texts and clashing columns pass every stage."""
+    home = "/root/testdata/sf0.001"
+    real = spark.read.parquet(f"{home}/documents.parquet")
+    texts = {"empty": [], "nulls": [(None, None)] * 3 + [(1, None)] * 2, "hard": hard_texts(),
+             "clashing": hard_texts()}[case]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in texts], real.schema)
+    if case == "hard":
+        docs = docs.unionAll(real.limit(40))
+    for name in HELPERS if case == "clashing" else ():
+        docs = docs.withColumn(name, F.lit(name))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, home)
+        if name == "best_fit_packing":
+            assert out.count() >= 0
+            break
+        assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / name))
+        before, docs = docs, spark.read.parquet(str(tmp_path / name))
+        if case == "clashing":
+            assert all(r[h] == h for r in docs.collect() for h in HELPERS)
+            docs = before if docs.isEmpty() else docs
+
+
 def test_every_stage_against_plain_versions(spark, tmp_path):
     """Each stage on all its predecessor kept, written and read again in between."""
     home = "/root/testdata/sf0.001"
