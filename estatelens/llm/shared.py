@@ -329,10 +329,11 @@ def mark(docs: DataFrame, search: Search, name: str) -> DataFrame:
     keyed = docs.withColumn(tie, F.xxhash64(text))
     table = spans(keyed.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                                text.alias("text"), F.col(tie).alias("tie")), search)
-    table = table.select(F.col("doc_id").alias("_shared_id"), F.col("tie").alias("_shared_tie"),
+    its_id, its_tie = fresh_name(docs, "_shared_id"), fresh_name(docs, "_shared_tie")
+    table = table.select(F.col("doc_id").alias(its_id), F.col("tie").alias(its_tie),
                          F.col("spans").alias(found))
-    both = (F.col("doc_id").cast("bigint") == F.col("_shared_id")) & (F.col(tie) == F.col("_shared_tie"))
-    joined = keyed.join(table, both, "left").drop("_shared_id", "_shared_tie", tie)
+    both = (F.col("doc_id").cast("bigint") == F.col(its_id)) & (F.col(tie) == F.col(its_tie))
+    joined = keyed.join(table, both, "left").drop(its_id, its_tie, tie)
 
     def run(batches):
         for batch in words.slices(batches):
