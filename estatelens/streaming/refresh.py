@@ -5,6 +5,11 @@ of an entity is the merge of partial rows, one set per micro-batch. Partials and
 by a hash bucket of the entity, and a refresh reads the buckets that its new files touch, never the
 old scan. Distinct counts and modes stay exact because the facet table keeps the values.
 
+Sets of partials fold as they grow in number: batch b, counted from 1, also stores the merge of the
+last s batches, s the largest power of two that divides b. So the state up to any batch is the merge
+of at most log2(b) + 1 sets, each row is rewritten log2(b) times in all, and every set belongs to one
+batch, which overwrites it on replay.
+
 Nothing stored depends on a reporting date: the earliest certificate expiry is kept as a date (days
 since 1970, which merges by minimum), and scores are a projection of the stored signals for the
 reporting date asked for. So entities that no new file touches age like the others.
@@ -14,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from estatelens import schemas
@@ -45,7 +50,7 @@ def merged(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
         return F.min(name) if name in E.MERGE_MIN else F.sum(name)
 
     best = [c for c in parts["headlines"].columns
-            if c not in ("entity_domain", "batch_id", "bucket")]
+            if c not in ("entity_domain", "batch_id", "span", "bucket")]
     return {
         "measures": parts["measures"].groupBy("entity_domain").agg(
             *[how(m).alias(m) for m in E.MEASURES]),
@@ -78,19 +83,62 @@ def _write(df: DataFrame, path: str, buckets: int, mode: str = "overwrite") -> N
      .option("compression", "zstd").partitionBy("bucket").parquet(path))
 
 
+def span_of(batch_id: int) -> int:
+    """How many batches the folded set of a batch covers: its own and those right before it."""
+    return (batch_id + 1) & -(batch_id + 1)
+
+
+def sets_up_to(batch_id: int) -> list[tuple[int, int]]:
+    """(batch_id, span) of the sets that hold all batches up to this one, each batch once."""
+    out, n = [], batch_id + 1
+    while n > 0:
+        out.append((n - 1, n & -n))
+        n -= n & -n
+    return out
+
+
+def part_schema(spark: SparkSession, name: str, settings: Settings) -> T.StructType:
+    """Of a stored part: a batch without findings writes no file that could tell."""
+    none = E.entity_hosts(staging.stage(spark.createDataFrame([], schemas.SCAN), EPOCH))
+    return T.StructType([*partials(none, settings)[name].schema.fields, *[
+        T.StructField(c, T.IntegerType()) for c in ("batch_id", "span", "bucket")]])
+
+
+def _sets(spark: SparkSession, state: str, name: str, wanted: list[tuple[int, int]],
+          settings: Settings) -> DataFrame:
+    """These sets of a part; a compacted base (batch -1) has one."""
+    chosen = [(F.col("batch_id") == b) & (F.col("span") == s) for b, s in wanted]
+    condition = chosen[0]
+    for other in chosen[1:]:
+        condition = condition | other
+    return spark.read.schema(part_schema(spark, name, settings)).parquet(f"{state}/{name}").filter(condition)
+
+
+def _fold(spark: SparkSession, state: str, batch_id: int, buckets: int, settings: Settings) -> None:
+    """The folded set of a batch from its own and the folded sets inside its span."""
+    span = span_of(batch_id)
+    if span == 1:
+        return                                       # its own set is the fold
+    first = batch_id + 1 - span
+    inside = [(b, s) for b, s in sets_up_to(batch_id - 1) if b >= first]
+    parts = {name: _sets(spark, state, name, [(batch_id, 1), *inside], settings) for name in PARTS}
+    for name, df in merged(parts).items():
+        _write(df, f"{state}/{name}/batch_id={batch_id}/span={span}", buckets)
+
+
 def touched_buckets(spark: SparkSession, state: str, batch_id: int) -> list[int]:
     """Numbers of the buckets that a batch wrote to: at most their count."""
-    rows = spark.read.parquet(f"{state}/measures/batch_id={batch_id}").select("bucket").distinct()
+    rows = spark.read.parquet(f"{state}/measures/batch_id={batch_id}/span=1").select("bucket").distinct()
     return sorted(r.bucket for r in rows.collect())
 
 
-def known_partials(spark: SparkSession, state: str, batch_id: int) -> dict[str, DataFrame]:
+def known_partials(spark: SparkSession, state: str, batch_id: int,
+                   settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
     """Partials up to this batch of the entities it touched, from their buckets alone."""
     chosen = F.col("bucket").isin(touched_buckets(spark, state, batch_id))
-    upto = F.col("batch_id") <= batch_id
-    own = spark.read.parquet(f"{state}/measures").filter(
-        chosen & (F.col("batch_id") == batch_id)).select("entity_domain")
-    return {name: spark.read.parquet(f"{state}/{name}").filter(chosen & upto)
+    own = _sets(spark, state, "measures", [(batch_id, 1)], settings).filter(chosen).select("entity_domain")
+    known = [*sets_up_to(batch_id), (-1, 1)]
+    return {name: _sets(spark, state, name, known, settings).filter(chosen)
             .join(own, "entity_domain", "left_semi") for name in PARTS}
 
 
@@ -106,8 +154,9 @@ def refresh(source: DataFrame, state: str, checkpoint: str, providers: DataFrame
     def apply(batch: DataFrame, batch_id: int) -> None:
         hosts = E.entity_hosts(staging.stage(batch, EPOCH))
         for name, part in partials(hosts, settings).items():
-            _write(part, f"{state}/{name}/batch_id={batch_id}", buckets)
-        known = known_partials(spark, state, batch_id)
+            _write(part, f"{state}/{name}/batch_id={batch_id}/span=1", buckets)
+        _fold(spark, state, batch_id, buckets, settings)
+        known = known_partials(spark, state, batch_id, settings)
         target = f"{state}/signals/batch_id={batch_id}"
         _write(signals_from(merged(known), providers, settings), target, buckets)
         if on_batch:
@@ -136,9 +185,11 @@ def current_scores(spark: SparkSession, state: str, as_of,
     return scored_at(current_signals(spark, state), as_of, settings)
 
 
-def compact(spark: SparkSession, state: str, into: str, buckets: int = BUCKETS) -> None:
+def compact(spark: SparkSession, state: str, into: str, buckets: int = BUCKETS,
+            settings: Settings = DEFAULTS) -> None:
     """Fold all partials into one batch under a new state folder, to keep merges short."""
-    parts = {name: spark.read.parquet(f"{state}/{name}") for name in PARTS}
+    last = spark.read.parquet(f"{state}/measures").agg(F.max("batch_id")).first()[0]
+    parts = {name: _sets(spark, state, name, [*sets_up_to(last), (-1, 1)], settings) for name in PARTS}
     for name, df in merged(parts).items():
-        _write(df, f"{into}/{name}/batch_id=-1", buckets, "errorifexists")
+        _write(df, f"{into}/{name}/batch_id=-1/span=1", buckets, "errorifexists")
     _write(current_signals(spark, state), f"{into}/signals/batch_id=-1", buckets, "errorifexists")
