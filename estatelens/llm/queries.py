@@ -161,3 +161,19 @@ SELECT doc_id, size, source_size, target,
         + greatest(0, least(size, budget % greatest(source_size, 1) - ahead)))::BIGINT AS taken, source
 FROM j
 """
+ORACLE["op12_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+          ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reached AS (SELECT vec_id AS id, vec_id AS component FROM embeddings
+            UNION SELECT links.b, reached.component FROM reached JOIN links ON links.a = reached.id),
+least AS (SELECT id, min(component) AS component_id FROM reached GROUP BY id),
+counted AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l ON l.id = e.vec_id LEFT JOIN counted c ON c.id = e.vec_id
+"""
