@@ -1,16 +1,17 @@
 """Near-duplicate documents by DartMinHash signatures, banding and exact verification.
 
-Similarity is the Jaccard similarity of the sets of ``SHINGLE``-word shingles; documents at
-``THRESHOLD`` or more are linked, and a class is a connected component of links.
+Similarity is the weighted Jaccard similarity of the ``SHINGLE``-word shingles, the weight of a
+shingle being how often its document has it: the sum of lesser counts over the sum of greater ones.
+Documents at ``THRESHOLD`` or more are linked, and a class is a connected component of links. So a
+text and the same text with a passage many times over are different documents.
 
 Signature: every shingle throws darts at the plane of weight and rank, as many in a region as a
 Poisson variable from the shingle's hash says (one per unit of area), each with a place in the
 region and one of ``ROWS * BANDS`` coordinates. Darts below the shingle's weight count, and each
 coordinate keeps the one with the least rank. Regions are thrown in ascending rank, doubling, until
 every coordinate of a document has a dart, so a document with many shingles throws few from each:
-time goes with shingles plus darts, not with their product. With unit weights two documents agree
-in a coordinate with the probability of their Jaccard similarity; with weights (say, counts of the
-shingles) of their weighted one.
+time goes with shingles plus darts, not with their product. Two documents agree in a coordinate
+with the probability of their weighted Jaccard similarity.
 
 Steps: equal word sequences become one document. Signatures are cut into bands; documents with an
 equal band are candidates. In each bucket all are first checked against its smallest doc_id, which
@@ -130,6 +131,29 @@ def shingles(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return doc, words.windows(hashed, n)[places] if len(places) else np.zeros(0, np.uint64)
 
 
+def counted(doc: np.ndarray, element: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (document, element), ascending, and how often each occurs."""
+    order = np.lexsort((element, doc))
+    doc, element = doc[order], element[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (element[1:] != element[:-1])
+    at = np.flatnonzero(new)
+    return doc[at], element[at], np.diff(np.append(at, len(doc)))
+
+
+def numbered(doc: np.ndarray, element: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, key) of every occurrence: the nth occurrence of an element in its document has a
+    key of its own, so the plain overlap of such keys is the sum of the lesser counts."""
+    doc, element, count = counted(doc, element)
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    key = np.repeat(element, count)
+    again = np.flatnonzero(nth)
+    with np.errstate(over="ignore"):
+        key[again] = words.mix(key[again] + nth[again].astype(np.uint64)
+                               * np.uint64(0x9E3779B97F4A7C15))
+    return np.repeat(doc, count), key
+
+
 def _profiles(docs: DataFrame, shingle: int, rows: int, bands: int) -> DataFrame:
     """doc_id, 128-bit hash of the word sequence (null: no words), sketch and band keys."""
     k = rows * bands
@@ -141,8 +165,8 @@ def _profiles(docs: DataFrame, shingle: int, rows: int, bands: int) -> DataFrame
             hashed = words.of_words(flat).tobytes()
             digest = [xxhash.xxh3_128_digest(hashed[8 * a:8 * b]) if b > a else None
                       for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
-            doc, element = shingles(texts, shingle)
-            signature = signatures(element, doc, batch.num_rows, k)
+            doc, element, count = counted(*shingles(texts, shingle))
+            signature = signatures(element, doc, batch.num_rows, k, count.astype(np.float64))
             has = np.bincount(doc, minlength=batch.num_rows) > 0
             drawn = sketch(signature)
             keys = band_keys(signature, rows).view(np.int64)
@@ -182,7 +206,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, threshold: float)
         for batch in words.slices(words.slices(batches, "text_a", 4 << 20), "text_b", 4 << 20):
             keyed, sizes, owners = [], [], []
             for column in ("text_a", "text_b"):
-                pair, element = shingles(batch.column(column), shingle)
+                pair, element = numbered(*shingles(batch.column(column), shingle))
                 with np.errstate(over="ignore"):
                     key = words.mix(element + words.mix(pair.astype(np.uint64) + np.uint64(1)))
                 key, at = np.unique(key, return_index=True)
@@ -205,10 +229,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, threshold: float)
 
 
 def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """(id, shingles): the sorted, distinct shingle hashes of every row."""
+    """(id, shingles): the sorted, distinct keys of every row's shingles, one per occurrence."""
     def run(batches):
         for batch in words.slices(batches):
-            doc, element = shingles(batch.column("text"), shingle)
+            doc, element = numbered(*shingles(batch.column("text"), shingle))
             ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             sets = [np.unique(element[x:y]).view(np.int64) for x, y in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays(

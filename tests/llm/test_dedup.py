@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 from dataclasses import replace
 
 import numpy as np
@@ -74,7 +75,7 @@ def jaccard_classes(texts):
     for doc, text in texts:
         w = (text or "").split()
         if doc is not None and w:
-            own = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} or {tuple(w)}
+            own = Counter(tuple(w[k:k + 5]) for k in range(len(w) - 4)) or Counter([tuple(w)])
             sets.setdefault(doc, []).append((own, len(w) < 5))
     root = {d: d for d in sets}
 
@@ -88,7 +89,7 @@ def jaccard_classes(texts):
         for b in ids[:i]:
             for s, short_s in sets[a]:
                 for t, short_t in sets[b]:
-                    if (s == t) if short_s or short_t else len(s & t) >= 0.8 * len(s | t):
+                    if (s == t) if short_s or short_t else (s & t).total() >= 0.8 * (s | t).total():
                         x, y = find(a), find(b)
                         root[max(x, y)] = min(x, y)
     return sorted(((d, None if d is None else find(d) if d in root else d) for d, _ in texts), key=str)
@@ -116,6 +117,31 @@ def test_classes_against_all_pairs(spark, cell):
     assert sorted(((r.doc_id, r.class_id) for r in got), key=str) == jaccard_classes(texts)
 
 
+@pytest.mark.parametrize("cell", [512, 2])
+def test_counts_of_shingles_decide(spark, cell):
+    """Sets of shingles alone would link 1 with 2 and 3, and would part 4 from 5."""
+    base, other = prose(31, 100), prose(32, 60)
+    texts = [(1, base), (2, base + " " + base), (3, " ".join([base] * 40)),
+             (4, "a b " * 300), (5, "a b " * 300 + "c"), (6, "a b " * 150),
+             (7, " ".join([other] * 10)), (8, " ".join([other] * 9)), (9, " ".join([other] * 6))]
+    texts += copies(8, 4)
+    got = {r.doc_id: r.class_id for r in neardup.classes(frame(spark, texts), cell=cell).collect()}
+    assert {d: got[d] for d in range(1, 10)} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7, 8: 7, 9: 9}
+    assert sorted(got.items(), key=str) == jaccard_classes(texts)
+
+
+def test_numbered_occurrences_overlap_by_lesser_counts():
+    rng = np.random.default_rng(3)
+    names = rng.integers(0, 2 ** 63, 20, dtype=np.uint64)
+    doc = np.sort(rng.integers(0, 2, 500))
+    pick = rng.integers(0, 20, 500)
+    owner, key = neardup.numbered(doc, names[pick])
+    one, two = (set(key[owner == d].tolist()) for d in (0, 1))
+    a, b = (Counter(pick[doc == d].tolist()) for d in (0, 1))
+    assert len(one) == a.total() and len(two) == b.total() and len(one & two) == (a & b).total()
+    assert set(names[pick[doc == 0]].tolist()) <= one            # first occurrences keep the hash
+
+
 def test_keep_one(spark):
     texts = hard_texts()
     classes = dict(jaccard_classes(texts))
