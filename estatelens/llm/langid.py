@@ -13,9 +13,11 @@ gains only by phrases of two symbols or more, however short it is. Each costs a
 Texts are parsed whole, in segments of ``SEGMENT`` symbols (a phrase also ends with its segment),
 and many segments advance at once, one symbol per step.
 
-Bounded: per language at most ``SAMPLE_DOCS`` labelled documents, those with the smallest hash,
-and ``SAMPLE_CHARS`` characters, an equal share from each. Every code point of the samples is a
-symbol. Prediction reads every whole text.
+Bounded: per language ``SAMPLE_CHARS`` characters of labelled rows. Different texts only, those with
+the smallest hash first; each gives ``SAMPLE_CHARS / SAMPLE_DOCS`` characters from a place that its
+hash draws, so copies count once and headers that documents share do not fill the sample. Short
+texts leave their share to the next ones, up to ``MORE_DOCS`` times ``SAMPLE_DOCS`` texts. Every code
+point of the samples is a symbol. Prediction reads every whole text.
 
 Nulls: null text and text without a letter get ``und`` with score 0; so does everything if nothing
 is labelled. A null lang is no label, a null doc_id is predicted but not learned from. Ties go to
@@ -35,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from estatelens.llm import words
 
 SAMPLE_DOCS, SAMPLE_CHARS, SEGMENT = 150, 45_000, 512
+MORE_DOCS = 8
 UNKNOWN = "und"
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType(), False),
                        T.StructField("score", T.DoubleType(), False)])
@@ -239,17 +242,25 @@ class Parser:
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS,
           sample_chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
     """Excerpts per language, from labelled rows that are not held out."""
-    labelled = docs.select("doc_id", F.col("lang").cast("string").alias("lang"),
-                           F.length("text").alias("n")).where(
-        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
-        & (F.col("n") > 0))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = labelled.withColumn("_place", place).where(F.col("_place") <= sample_docs)
-    chosen = chosen.select("doc_id", "lang").distinct()
-    excerpt = F.substring(F.col("text").cast("string"), 1, sample_chars // sample_docs)
-    rows = (docs.select("doc_id", excerpt.alias("text")).join(chosen, "doc_id")
-            .groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
-            .orderBy("lang", "doc_id").collect())          # sample_docs per language at most
+    share = max(sample_chars // sample_docs, 1)
+    text, lang = F.col("text").cast("string"), F.col("lang").cast("string")
+    labelled = docs.where(lang.isNotNull() & F.col("doc_id").isNotNull()
+                          & ~held_out(F.col("doc_id")) & (F.length(text) > 0))
+    digest = F.xxhash64(F.lit("text"), text)
+    last = F.greatest(F.length(text) - share, F.lit(0))             # the last place to begin at
+    begin = F.pmod(F.xxhash64(F.lit("place"), text), last + 1).cast("int")
+    # The rank's window keeps its first rows before the shuffle; texts alike are one row by then.
+    texts = labelled.select(lang.alias("lang"), digest.alias("digest"),
+                            F.substring(text, begin + 1, F.lit(share)).alias("text"))
+    texts = texts.groupBy("lang", "digest").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("digest"))
+    first = texts.withColumn("place", place).where(F.col("place") <= MORE_DOCS * sample_docs)
+    before = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("place").rowsBetween(
+        Window.unboundedPreceding, -1))
+    rows = (first.withColumn("before", F.coalesce(before, F.lit(0)))
+            .where(F.col("before") < sample_chars)
+            .select("lang", "place", F.expr(f"substring(text, 1, {sample_chars} - before)").alias("text"))
+            .orderBy("lang", "place").collect())           # sample_chars per language at most
     out: dict[str, list[str]] = {}
     for row in rows:
         if row.text:

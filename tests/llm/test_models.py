@@ -109,6 +109,23 @@ def test_learning_does_not_see_held_out_rows(spark):
     assert langid.learn(changed) == langid.learn(docs)
 
 
+def test_excerpts_skip_copies_and_headers_and_fill_the_budget(spark):
+    header = "common header " * 40
+    rows = [(i, header + f"{prose(i, 300)}", "aa") for i in range(300)]
+    rows += [(1000 + i, "copied text", "aa") for i in range(500)]
+    rows += [(2000 + i, prose(i, 10), "bb") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    samples = langid.learn(docs, sample_docs=50, sample_chars=10_000)
+    long, short = samples["aa"], samples["bb"]
+    assert sum(map(len, long)) == 10_000 and len(long) in (50, 51)
+    assert long.count("copied text") <= 1
+    assert sum("header" in t for t in long) < 30              # most of a text is no header
+    texts = dict((i, t) for i, t, _ in rows)
+    assert all(any(t in own for own in texts.values()) for t in long[:5])
+    assert len(short) > 200 and len(set(short)) == len(short)  # texts of some 30 characters: 50 would not fill it
+    assert samples == langid.learn(docs.orderBy(F.desc("doc_id")), sample_docs=50, sample_chars=10_000)
+
+
 def test_phrases_are_longest_matches():
     samples = {"a": ["abcabd", "xyz"], "b": ["qqq"]}
     parser = langid.Parser(samples)
