@@ -78,6 +78,61 @@ def profile_scalars(scan: DataFrame) -> DataFrame:
         for i, label in enumerate(counts)]))))
 
 
+# ------------------------------------------------------------- distinct counts across refreshes
+SKETCH_LG = 16      # a sketch keeps up to 2 ** 16 hashes (512 KB): exact below, then 0.4 % error
+
+
+def _sketched() -> dict[str, Column]:
+    """What every sketch counts, nulls left out. The mark keeps empty strings, which sketches skip."""
+    def text(col: Column | str) -> Column:
+        return F.concat(F.lit("="), (F.col(col) if isinstance(col, str) else col).cast("string"))
+
+    domain = text("primary_domain")
+    return {"ip": text("ip"), "domain": domain, "org": text("org"),
+            "hot domain": F.when(_hot(), domain),
+            "waf domain": F.when(F.col("http_waf").isNotNull(), domain),
+            "cert": F.when(F.col("primary_domain").isNull(), text("ssl_cert_cn"))}
+
+
+def distinct_sketches(scan: DataFrame, *by: str, lg: int = SKETCH_LG) -> DataFrame:
+    """(by, kind, sketch): one theta sketch per kind of value and group, as an addition to the exact
+    counts of ``profile_scalars``. Sketches are filled before the shuffle, so what moves is one of
+    bounded size per task, group and kind, however many values there are. Store them with a
+    batch; ``merge_sketches`` of all batches is the sketch of their union, repeated values and
+    batches included. An empty scan has empty sketches without ``by``, no rows with it."""
+    kinds = _sketched()
+    flat = scan.groupBy(*by).agg(*[F.theta_sketch_agg(c, lg).alias(f"s{i}")
+                                   for i, c in enumerate(kinds.values())])
+    cves = scan.select(*by, F.explode("cves").alias("cve")).groupBy(*by).agg(
+        F.theta_sketch_agg(F.concat(F.lit("="), "cve"), lg).alias("sketch"))
+    return flat.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(f"s{i}").alias("sketch"))
+        for i, k in enumerate(kinds)]))).unionByName(cves.select(*by, F.lit("cve").alias("kind"), "sketch"))
+
+
+def merge_sketches(sketches: DataFrame, *by: str, lg: int = SKETCH_LG) -> DataFrame:
+    """(by, kind, sketch) of the union of everything that was sketched."""
+    return sketches.groupBy(*by, "kind").agg(F.theta_union_agg("sketch", lg).alias("sketch"))
+
+
+def distinct_estimates(merged: DataFrame, lg: int = SKETCH_LG) -> DataFrame:
+    """(label, estimate, error) of the distinct checks: exact where no sketch has overflowed, else
+    ``error`` is one standard error. Domains without a WAF are a difference of two sketches, so
+    their error is that of all domains."""
+    kind = lambda name: F.max(F.when(F.col("kind") == name, F.col("sketch")))
+    names = [*_sketched(), "cve"]
+    row = merged.agg(*[kind(k).alias(k) for k in names])
+    count = lambda sketch: F.coalesce(F.theta_sketch_estimate(sketch), F.lit(0)).cast("double")
+    no_waf = F.theta_difference("domain", "waf domain")
+    found = dict(zip(DISTINCT_CHECKS, (
+        ("ip", "ip"), ("domain", "domain"), ("org", "org"), ("cve", "cve"),
+        ("hot domain", "hot domain"), (no_waf, "domain"), ("cert", "cert"))))
+    size = lambda base: F.when(count(base) > 2 ** lg, count(base) / (2 ** lg - 1) ** 0.5).otherwise(0.0)
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(label).alias("label"), count(what).alias("estimate"), size(base).alias("error"))
+        for label, (what, base) in found.items()])))
+
+
 def _malware_module() -> Column:
     module = F.lower("scan_module")
     return (module.contains("rat") | module.contains("malware") | module.contains("c2")

@@ -849,6 +849,18 @@ def profile_scalars(spark, sf):
     return plain(profiling.profile_scalars(scan_view(spark, sf)))
 
 
+@query
+def profile_distinct_merged(spark, sf):
+    """Exact distinct counts, and whether the merged sketches of all months come as near as they say."""
+    scan = scan_view(spark, sf)
+    months = profiling.distinct_sketches(
+        scan.withColumn("month", F.col("scanned_at").cast("string").substr(1, 7)), "month")
+    estimates = profiling.distinct_estimates(profiling.merge_sketches(months))
+    near = F.abs(F.col("estimate") - F.col("value")) <= 5 * F.col("error")
+    return plain(profiling.profile_scalars(scan).join(estimates, "label")
+                 .select("label", "value", near.alias("within_error")))
+
+
 @query
 def profile_breakdowns(spark, sf):
     return profiling.profile_breakdowns(scan_view(spark, sf))

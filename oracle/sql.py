@@ -602,6 +602,11 @@ O["profile_scalars"] = AT_RAW + "\nunion all ".join(
     f"select {quote(k)} as label, round(cast({v} as double), 6) as value"
     + ("" if v.startswith("(select") else " from raw") for k, v in SCALARS.items())
 
+O["profile_distinct_merged"] = AT_RAW + "\nunion all ".join(
+    f"select {quote(k)} as label, round(cast({v} as double), 6) as value, true as within_error"
+    + ("" if v.startswith("(select") else " from raw") for k, v in SCALARS.items()
+    if k.startswith("distinct") or k.startswith("domains") or k.startswith("extra"))
+
 
 def top(name: str, source: str, k: int) -> str:
     return f"""select * from (select {quote(name)} as breakdown, cast(v as varchar) as value,

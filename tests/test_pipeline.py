@@ -263,6 +263,32 @@ def test_badges_by_severity_then_context(spark):
 
 
 # --------------------------------------------------------------------- profiles and audits
+def test_sketches_of_batches_merge_to_distinct_counts(spark):
+    hosts = spark.range(6000).selectExpr(
+        "cast(id % 4000 as string) ip", "if(id % 7 = 0, null, concat('d', id % 900)) primary_domain",
+        "if(id % 5 = 0, '', concat('o', id % 50)) org", "cast(if(id % 11 = 0, 0.5, 0.0) as float) max_epss",
+        "if(id % 900 < 300, 'w', null) http_waf", "concat('c', id % 40) ssl_cert_cn",
+        "if(id % 3 = 0, null, array(concat('v', id % 25), null)) cves", "id % 4 batch")
+    exact = {"distinct IPs": 4000, "distinct primary_domain": 900, "distinct org": 41, "distinct CVEs": 25,
+             "domains with EPSS > 0.1": None, "domains with no WAF anywhere": 600,
+             "extra domains from cert CN": 40}
+    exact["domains with EPSS > 0.1"] = hosts.where("max_epss > 0.1").agg(
+        F.count_distinct("primary_domain")).first()[0]
+    exact["distinct org"] = hosts.agg(F.count_distinct("org")).first()[0]
+    batches = profiling.distinct_sketches(hosts, "batch")
+    again = batches.unionByName(batches.where("batch = 1"))             # a replayed batch counts once
+    got = {r.label: (r.estimate, r.error)
+           for r in profiling.distinct_estimates(profiling.merge_sketches(again)).collect()}
+    assert got == {k: (v, 0.0) for k, v in exact.items()}
+    small = profiling.distinct_estimates(profiling.merge_sketches(
+        profiling.distinct_sketches(hosts, "batch", lg=8), lg=8), lg=8)
+    for r in small.collect():
+        assert abs(r.estimate - exact[r.label]) <= 5 * r.error + 1e-9
+    none = profiling.distinct_estimates(profiling.merge_sketches(
+        profiling.distinct_sketches(hosts.where("false"), "batch")))
+    assert {(r.estimate, r.error) for r in none.collect()} == {(0.0, 0.0)}
+
+
 def test_path_inventory(spark):
     df = spark.createDataFrame([(x,) for x in (
         '{"a": {"b": {"c": {"d": {"e": 1}}}}}', '{"a": {}, "b": [], "c": null, "d": [null]}',
