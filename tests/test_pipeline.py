@@ -359,3 +359,45 @@ def test_funnel_and_tiles(spark):
     tiles = audit.percentile_tiers(scores, tiles=4).groupBy("tile").count().orderBy("tile").collect()
     n = scores.count()
     assert [r["count"] for r in tiles] == [n // 4 + (i < n % 4) for i in range(4)]
+
+
+def test_facets_of_ordinary_entities_travel_as_hosts_and_hot_ones_spread(spark, monkeypatch):
+    rows = sample_rows() + [{"primary_domain": "hot.com", "ip": None, "hostnames": ["n"], "http_components": None}]
+    hosts = E.entity_hosts(staging.stage(scan(spark, rows), AS_OF))
+    plan = E.entity_facets(hosts)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(entity_domain#\d+, \d+\), REPARTITION_BY_COL", plan)
+    want = as_rows(E.entity_facets(hosts))
+    for limit in (0, 20, 10_000):
+        monkeypatch.setattr(E, "HOT_ROWS", limit)
+        found = E.entity_facets(hosts)
+        assert as_rows(found) == want
+        assert found.groupBy("entity_domain", "facet", "value").count().filter("count > 1").isEmpty()
+    n = sum(r.get("http_components") == ["t0"] and r["primary_domain"] == "hot.com" for r in rows)
+    assert str(sorted({"entity_domain": "hot.com", "facet": "technology", "value": "t0", "n": n,
+                       "n_with_ip": n}.items())) in {
+        str(sorted(r.asDict().items())) for r in E.entity_facets(hosts).collect()}
+
+
+def test_refresh_reads_a_batch_once(spark, tmp_path):
+    passes = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            passes.add(len(batch))
+            yield batch
+
+    scan(spark, [{"primary_domain": f"d{i % 7}.com", "ip": f"h{i}"} for i in range(20)]).write.parquet(str(tmp_path / "in"))
+    source = stream_refresh.scan_stream(spark, str(tmp_path / "in"))
+    stream_refresh.refresh(source.mapInPandas(count, source.schema), str(tmp_path / "state"),
+                           str(tmp_path / "checkpoint"), providers.builtin(spark), DEFAULTS, 2).awaitTermination()
+    assert passes.value == 20
+
+
+def test_ingest_query_keeps_raw_lines_compressed(spark, tmp_path):
+    from estatelens.plans import queries
+    lines = spark.createDataFrame([('{"port": 1}',), ("broken",)], "value string")
+    queries._ingest(spark, None, str(tmp_path), lines)
+    names = [f for f in os.listdir(tmp_path / "in") if f.startswith("part-")]
+    assert names and all(f.endswith(".gz") for f in names)
+    assert stream_ingest.ingested(spark, f"{tmp_path}/out").count() == 1
+    assert [r.line for r in stream_ingest.quarantined(spark, f"{tmp_path}/out").collect()] == ["broken"]
