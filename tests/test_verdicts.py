@@ -259,3 +259,18 @@ def test_an_absent_log_has_the_same_type(spark, tmp_path):
     there = verdicts.read_traces(spark, str(tmp_path / "log.json"))
     assert there.dtypes == verdicts.read_traces(spark, str(tmp_path / "none.json")).dtypes
     assert there.count() == 1
+
+
+def test_chunks_do_not_read_the_rows_again(spark, tmp_path):
+    (tmp_path / "calls").mkdir()
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([(f"e{i}",) for i in range(60)], "entity_domain string")
+    found, _ = verdicts.run(rows.mapInPandas(count, rows.schema), Counting(tmp_path / "calls"), "v1", "m",
+                            str(tmp_path / "r"), chunk_rows=10, parallelism=2)
+    assert found.count() == 60 and read.value <= 120           # counted and dealt, not once a chunk
