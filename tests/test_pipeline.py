@@ -401,3 +401,10 @@ def test_ingest_query_keeps_raw_lines_compressed(spark, tmp_path):
     assert names and all(f.endswith(".gz") for f in names)
     assert stream_ingest.ingested(spark, f"{tmp_path}/out").count() == 1
     assert [r.line for r in stream_ingest.quarantined(spark, f"{tmp_path}/out").collect()] == ["broken"]
+
+
+def test_facets_are_dealt_to_a_fixed_number_of_tasks_and_compiled(spark):
+    hosts = E.entity_hosts(staging.stage(scan(spark, sample_rows()), AS_OF))
+    plan = E.entity_facets(hosts, rows=hosts.count())._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan         # partitions of a given number are not put together again
+    assert "lambda" not in plan and "Generate posexplode" in plan
