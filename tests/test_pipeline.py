@@ -11,6 +11,7 @@ from estatelens.functions.domains import SuffixRules
 from estatelens.operators import audit, curated, findings, profiling, quality, scoring, signals
 from estatelens.operators import entities as E, staging
 from estatelens.operators.quality import Check, QualityError
+from estatelens.plans import queries as Q
 from estatelens.plans.layers import Layers
 from estatelens.sources import providers
 from estatelens.streaming import ingest as stream_ingest, refresh as stream_refresh
@@ -408,3 +409,13 @@ def test_facets_are_dealt_to_a_fixed_number_of_tasks_and_compiled(spark):
     plan = E.entity_facets(hosts, rows=hosts.count())._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan         # partitions of a given number are not put together again
     assert "lambda" not in plan and "Generate posexplode" in plan
+
+
+def test_scores_are_a_view_of_stored_signals(spark, monkeypatch):
+    wrote = []
+    monkeypatch.setattr(Q, "_TABLES", {})
+    monkeypatch.setattr(Q, "_build", lambda spark, sf, name: spark.range(1))
+    monkeypatch.setattr(Q, "written", lambda df, name: wrote.append(name) or df)
+    for name in ("signals:fixed", "scores:fixed", "scores:parity"):
+        Q.table(spark, "none", name)
+    assert wrote == ["signals-fixed"]
