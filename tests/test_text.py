@@ -17,6 +17,11 @@ def test_org_normalised(spark):
     assert got == ["incapsula", "aliyun computing", "meteverse", None, None, "a b", "cobalt"]
 
 
+def test_org_normalised_reads_a_name_once(spark):
+    names = spark.createDataFrame([("a",)], "v string").select(text.org_normalised("v").alias("o"))
+    assert names._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") <= 2
+
+
 def test_cert_domain(spark):
     got = column(spark, ["*.acme.com", "155.0.2.1", "2001:db8::1", "acme.com", None, "1.2.3.4.com"],
                  "string", text.cert_domain("v"))
