@@ -13,6 +13,7 @@ from estatelens.operators import entities as E, staging
 from estatelens.operators.quality import Check, QualityError
 from estatelens.plans import queries as Q
 from estatelens.plans.layers import Layers
+from estatelens.plans.star_view import raw_records
 from estatelens.sources import providers
 from estatelens.streaming import ingest as stream_ingest, refresh as stream_refresh
 from tests.scans import scan
@@ -419,3 +420,28 @@ def test_scores_are_a_view_of_stored_signals(spark, monkeypatch):
     for name in ("signals:fixed", "scores:fixed", "scores:parity"):
         Q.table(spark, "none", name)
     assert wrote == ["signals-fixed"]
+
+
+def test_raw_records_are_compiled_and_keep_their_findings(spark, tmp_path):
+    def put(name, ddl, *rows):
+        spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    put("region", "r_regionkey int, r_name string", (0, "R"))
+    put("nation", "n_nationkey int, n_name string, n_regionkey int", (0, "N", 0))
+    put("supplier", "s_suppkey long, s_name string, s_nationkey int", (1, "S", 0))
+    put("part", "p_partkey long, p_name string, p_brand string, p_type string", (6, "P", "B", "T"), (7, "P", "B", "T"))
+    put("orders", "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string", (1, 2, None, "x"))
+    put("lineitem", "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+        (1, 6, 1, 1, 0.05, 0.02, "R", "F", None), (1, 7, 1, 1, 0.05, 0.02, "R", "F", None),
+        (1, 6, 1, 1, None, 0.02, "R", "F", None), (1, 6, 1, 4, 0.05, 0.02, "R", "F", None))
+    raw = raw_records(spark, str(tmp_path))
+    found = sorted((list(r.get("vulns", {})), list(r["http"].get("components", {}))) for r in
+                   (json.loads(line.value) for line in raw.collect()))
+    assert found == [([], []), ([], ["B", "zt"]), (["CVE-6-b", "CVE-6"], ["B", "zt"]), (["CVE-7"], ["B", "zt"])]
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert "map_from_arrays(" in plan and "transform(" not in plan
