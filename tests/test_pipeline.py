@@ -445,3 +445,14 @@ def test_raw_records_are_compiled_and_keep_their_findings(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.debug.maxToStringFields")
     assert "map_from_arrays(" in plan and "transform(" not in plan
+
+
+def test_percentile_query_sorts_only_its_columns(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(Q, "scores", lambda spark, sf: spark.range(9).selectExpr(
+        "cast(id as string) entity_domain", "cast(id as int) intent_score", "array('x') products"))
+    placed = audit.percentile_tiers
+    monkeypatch.setattr(audit, "percentile_tiers", lambda df: given.append(df.columns) or placed(df))
+    tiles = {r.entity_domain: r.tile for r in Q.QUERIES["tier_percentile"](spark, "none").collect()}
+    assert tiles == {"8": 1, "7": 1, "6": 1, "5": 2, "4": 2, "3": 3, "2": 3, "1": 4, "0": 4}
+    assert given == [["entity_domain", "intent_score"]]
