@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from estatelens.operators.entities import of_interest
@@ -33,28 +35,35 @@ def entity_lists(facets: DataFrame, names=LISTED, size: int = CHUNK) -> DataFram
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of a chunk follow each other; a chunk may go on in the next batch."""
-        now, values = None, []
+        held = []
 
-        def done(chunks: list) -> pa.RecordBatch:
-            entity, facet, number, held = zip(*chunks)
+        def chunks(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+            ends = np.append(starts[1:], len(rows))
+            entity, facet, number = (rows[c].combine_chunks().take(pa.array(starts))
+                                     for c in ("entity_domain", "facet", "chunk"))
+            listed = pa.ListArray.from_arrays(pa.array(np.append(starts, len(rows)), pa.int32()),
+                                              rows["value"].combine_chunks())
             return pa.RecordBatch.from_arrays(
-                [pa.array(entity, pa.string()), pa.array(facet, pa.string()),
-                 pa.array(number, pa.int64()), pa.array([len(v) for v in held], pa.int32()),
-                 pa.array(held, pa.list_(pa.string()))],
+                [entity, facet, number, pa.array(ends - starts, pa.int32()), listed],
                 ["entity_domain", "facet", "chunk", "n", "values"])
 
         for batch in batches:
-            out = []
-            for *key_, value in zip(*(c.to_pylist() for c in batch.columns)):
-                if key_ != now:
-                    if values:
-                        out.append((*now, values))
-                    now, values = key_, []
-                values.append(value)
-            if out:
-                yield done(out)
-        if values:
-            yield done([(*now, values)])
+            if not len(batch):
+                continue
+            rows = pa.Table.from_batches([*held, batch])
+            new = np.zeros(len(rows), bool)
+            new[0] = True
+            for c in ("chunk", "facet", "entity_domain"):
+                column = rows[c].combine_chunks()
+                differs = pc.invert(pc.fill_null(pc.equal(column[1:], column[:-1]), False))
+                both_null = pc.and_(pc.is_null(column[1:]), pc.is_null(column[:-1]))
+                new[1:] |= pc.and_not(differs, both_null).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(new)
+            if starts[-1]:
+                yield chunks(rows.slice(0, starts[-1]), starts[:-1])
+            held = rows.slice(starts[-1]).to_batches()
+        if held:
+            yield chunks(pa.Table.from_batches(held), np.zeros(1, np.int64))
 
     return (chunked.repartition(*key, "chunk").sortWithinPartitions(*key, "chunk", "value")
             .mapInArrow(cut, LISTS))

@@ -142,6 +142,26 @@ def test_lists_of_a_hot_entity_are_many_rows(spark):
         assert got == {"a.com": ["a", "b", "c"][:items], "hot.com": [f"name {i:07d}" for i in range(items)]}
 
 
+def test_chunks_are_cut_without_python_values(spark):
+    """Chunks that start and end anywhere in a batch, also over several batches."""
+    import inspect
+    assert "to_pylist" not in inspect.getsource(lists.entity_lists)
+    per_batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    facets = spark.createDataFrame(
+        [(e, f, f"{e}{i:02d}", 1, 1) for e, n in (("a", 1), ("b", 8), ("c", 3)) for f in ("org", "waf")
+         for i in range(n)], "entity_domain string, facet string, value string, n long, n_with_ip long")
+    want = [(e, f, k, min(3, n - 3 * k), [f"{e}{i:02d}" for i in range(3 * k, min(n, 3 * k + 3))])
+            for e, n in (("a", 1), ("b", 8), ("c", 3)) for f in ("org", "waf") for k in range(-(-n // 3))]
+    before = spark.conf.get(per_batch)
+    try:
+        for rows in ("1", "2", "5", "100"):
+            spark.conf.set(per_batch, rows)
+            got = sorted(tuple(r) for r in lists.entity_lists(facets, size=3).collect())
+            assert got == want
+    finally:
+        spark.conf.set(per_batch, before)
+
+
 def test_hot_entity_is_exact(spark):
     """A third of the rows in one entity: results equal a brute-force count."""
     rows = [{"primary_domain": "hot.com" if i % 3 == 0 else f"d{i % 50}.com", "ip": f"h{i % 700}",
