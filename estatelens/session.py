@@ -12,6 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # AQE puts partitions together but never parts one: from a small spark.sql.shuffle.partitions,
+    # tasks would grow with the input until they spill.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "960",
+    # Stored layers compress to a few bytes a row: 128 MB of facets are fifty million rows, which one
+    # task would sort. The second value widens the splits again where there are very many.
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.files.maxPartitionNum": "400000",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -456,3 +456,18 @@ def test_percentile_query_sorts_only_its_columns(spark, monkeypatch):
     tiles = {r.entity_domain: r.tile for r in Q.QUERIES["tier_percentile"](spark, "none").collect()}
     assert tiles == {"8": 1, "7": 1, "6": 1, "5": 2, "4": 2, "3": 3, "2": 3, "1": 4, "0": 4}
     assert given == [["entity_domain", "intent_score"]]
+
+
+def test_tasks_do_not_grow_with_a_stored_layer(spark, tmp_path):
+    """Many well compressed files: a task reads a few of them, whatever their rows."""
+    path = str(tmp_path / "facets")
+    spark.range(64).repartition(64).write.parquet(path)
+    assert spark.read.parquet(path).rdd.getNumPartitions() >= 10
+
+
+def test_tasks_do_not_grow_with_few_shuffle_partitions(spark):
+    """This session has four shuffle partitions; AQE starts from more and puts them together."""
+    import re
+    plan = spark.range(10).groupBy((F.col("id") % 3).alias("k")).count()._jdf.queryExecution().executedPlan().toString()
+    assert int(re.search(r"hashpartitioning\(.*?, (\d+)\)", plan)[1]) > 100
+    assert spark.range(1000).repartition("id").rdd.getNumPartitions() <= 100
