@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, or_
+
 from pyspark.sql import Column, functions as F
 
 ColumnLike = Column | str
@@ -15,15 +18,21 @@ def literals(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
+def _holds(array: Column, token: str) -> Column:
+    """A short array is looked through; overlaps and intersections build a set for every row."""
+    return F.coalesce(F.array_contains(array, token), F.lit(False))
+
+
 def has_any(array: ColumnLike, *tokens: str) -> Column:
     """True when the array holds one of the tokens; null arrays and null elements give false."""
-    return F.coalesce(F.arrays_overlap(_c(array), literals(tokens)), F.lit(False))
+    return reduce(or_, [_holds(_c(array), token) for token in tokens], F.lit(False))
 
 
 def count_in(array: ColumnLike, tokens) -> Column:
     """How many of the tokens the array holds; null for a null array."""
     array = _c(array)
-    return F.when(array.isNotNull(), F.size(F.array_intersect(array, literals(tokens))))
+    held = [F.when(_holds(array, token), 1).otherwise(0) for token in dict.fromkeys(tokens)]
+    return F.when(array.isNotNull(), reduce(add, held, F.lit(0)))
 
 
 def or_empty(array: ColumnLike) -> Column:

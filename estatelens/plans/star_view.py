@@ -123,7 +123,10 @@ ARRAYS = {
 
 
 def spark_array(items: list[str]) -> str:
-    return f"array_compact(cast(array({', '.join(items)}) as array<string>))"
+    """Joined from arrays of one item or none: array_compact filters with a lambda, which is not
+    compiled, nor is what it reads."""
+    none = "cast(array() as array<string>)"
+    return f"concat({', '.join([none, *[f'nvl2({i}, array({i}), {none})' for i in items]])})"
 
 
 def select_list(array) -> str:

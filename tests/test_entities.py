@@ -270,3 +270,26 @@ def test_retier_moves_only_the_quadrant(spark):
     got = [r.tier for r in scoring.retier(df, 50, 60).collect()]
     assert got == ["C - opportunistic", "B - nurture", "R - needs review", "C - opportunistic"]
     assert df.select(F.col("tier")).count() == 4
+
+
+def test_tokens_are_found_without_sets(spark):
+    """Null arrays, null elements, repeated elements and tokens; no set is built for a row."""
+    from estatelens.functions.arrays import count_in, has_any
+    values = [None, [], [None], ["a"], ["a", "a", None], ["x", "b", "a"], ["x"], ["ab", None]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v array<string>")
+    out = df.select("i", has_any("v", "a", "b").alias("hit"), count_in("v", ("a", "b", "a")).alias("n"))
+    assert [(r.hit, r.n) for r in out.orderBy("i").collect()] == [
+        (False, None), (False, 0), (False, 0), (True, 1), (True, 1), (True, 2), (False, 0), (False, 0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "arrays_overlap" not in plan and "array_intersect" not in plan
+    assert out.schema["n"].dataType.simpleString() == "int"
+
+
+def test_scan_arrays_are_compiled(spark):
+    """Elements of a view's array: nulls are left out, places and repeats kept, and no lambda runs."""
+    from estatelens.plans.star_view import spark_array
+    df = spark.createDataFrame([("a", None, "c"), (None, None, None), ("a", "a", ""), (None, "b", None)],
+                               "x string, y string, z string")
+    out = df.selectExpr(f"{spark_array(['x', 'y', 'z'])} as v", f"{spark_array([])} as e")
+    assert sorted((r.v, r.e) for r in out.collect()) == [([], []), (["a", "a", ""], []), (["a", "c"], []), (["b"], [])]
+    assert "lambda" not in out._jdf.queryExecution().executedPlan().toString()
