@@ -66,27 +66,29 @@ class Layers:
         self.judge(quality.report(df, name, quality.checks()[name]).collect())   # few rows
 
     # ------------------------------------------------------------------------- the pipeline
-    def host_view(self, scan: DataFrame, as_of) -> tuple[DataFrame, Callable[[], None]]:
+    def host_view(self, scan: DataFrame, as_of) -> tuple[DataFrame, Callable[..., None]]:
         """Entity hosts with their checks attached; call the second value after the first write
-        that reads them."""
+        that reads them. Given what was written, checks that need a second look read that and not the
+        scan again."""
         contract = quality.checks()
         staged, on_staged = quality.watch(staging.stage(scan, as_of), contract["staged"])
         plain_hosts = entities.entity_hosts(staging.stage(scan, as_of))
         hosts, on_hosts = quality.watch(entities.entity_hosts(staged), contract["hosts"])
 
-        def judge() -> None:
+        def judge(stored: DataFrame | None = None) -> None:
             self.judge(quality.watched_report(on_staged, staging.stage(scan, as_of), "staged",
                                               contract["staged"]))
-            self.judge(quality.watched_report(on_hosts, plain_hosts, "hosts", contract["hosts"]))
+            self.judge(quality.watched_report(on_hosts, plain_hosts if stored is None else stored,
+                                              "hosts", contract["hosts"]))
 
         return hosts, judge
 
     def write_hosts(self, scan: DataFrame, as_of) -> DataFrame:
         """The entity hosts as a table: what the aggregates read, and users who query them directly."""
         hosts, judge = self.host_view(scan, as_of)
-        self._store("hosts", hosts.select(*HOST_COLUMNS))
-        judge()
-        return self.read("hosts")
+        stored = self._store("hosts", hosts.select(*HOST_COLUMNS))
+        judge(stored)
+        return stored
 
     def build_partials(self, scan: DataFrame, as_of, settings: Settings = DEFAULTS):
         """The three entity aggregates everything else is made of."""

@@ -471,3 +471,19 @@ def test_tasks_do_not_grow_with_few_shuffle_partitions(spark):
     plan = spark.range(10).groupBy((F.col("id") % 3).alias("k")).count()._jdf.queryExecution().executedPlan().toString()
     assert int(re.search(r"hashpartitioning\(.*?, (\d+)\)", plan)[1]) > 100
     assert spark.range(1000).repartition("id").rdd.getNumPartitions() <= 100
+
+
+def test_checks_of_hosts_read_the_stored_hosts(spark, tmp_path, monkeypatch):
+    """A grouped check that found something looks again: at the table, not at the scan's joins."""
+    looked = []
+    real = quality.report
+    monkeypatch.setattr(quality, "report", lambda df, table, some: looked.append((table, df.inputFiles()))
+                        or real(df, table, some))
+    layers = Layers(spark, str(tmp_path / "l"))
+    layers.enforce = False
+    layers.write_hosts(scan(spark, [{"primary_domain": "192.0.2.9"}, {"primary_domain": "192.0.2.9"},
+                                    {"primary_domain": "192.0.2.8", "tags": ["honeypot"]},
+                                    {"primary_domain": "a.com"}]), AS_OF)
+    assert [t for t, _ in looked] == ["hosts"]
+    assert looked[0][1] and all(str(tmp_path / "l" / "hosts") in f for f in looked[0][1])
+    assert {r.check: r.failed for r in layers.reports if r.table == "hosts"}["entities_are_not_addresses"] == 1
