@@ -171,6 +171,23 @@ def test_refresh_reads_touched_buckets_only(spark, tmp_path):
     assert filters and all("span" in m for m in filters)
 
 
+def test_known_facets_lie_by_entity(spark, monkeypatch):
+    """Facet rows are shuffled by entity once, whether they have to be merged or are one set; those of
+    hot entities are not."""
+    monkeypatch.setattr(E, "HOT_ROWS", 100)
+    hosts = E.entity_hosts(staging.stage(scan(spark, sample_rows()), AS_OF))
+    parts = stream_refresh.partials(hosts)
+    double = {name: df.unionAll(df) for name, df in parts.items()}
+    want = as_rows(parts["facets"].withColumns({"n": F.col("n") * 2, "n_with_ip": F.col("n_with_ip") * 2}))
+    assert as_rows(stream_refresh.merged(double)["facets"]) == want
+    once = stream_refresh.merged(parts, one_set=True)
+    assert all(as_rows(once[name]) == as_rows(df) for name, df in parts.items())
+    hot, ordinary = stream_refresh.dealt(parts["facets"], parts["measures"])
+    assert {r.entity_domain for r in hot.select("entity_domain").distinct().collect()} == {"hot.com"}
+    homes = ordinary.select("entity_domain", F.spark_partition_id().alias("p")).distinct()
+    assert homes.count() == ordinary.select("entity_domain").distinct().count() > 30
+
+
 def test_a_state_is_few_sets_that_hold_each_batch_once():
     for batch in range(300):
         sets = stream_refresh.sets_up_to(batch)
