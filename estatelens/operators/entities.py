@@ -97,7 +97,7 @@ CLASSIFICATION_MEASURES = ("n_services", "n_cloud", "n_sequential", "is_reverse_
 FACETS = {
     "host": lambda: F.coalesce(F.col("ip"), first("hostnames")),
     "asn": lambda: F.col("asn"),
-    "port": lambda: F.col("port").cast("string"),
+    "port": lambda: F.col("port"),
     "org": lambda: F.col("org_normalised"),
     "product": lambda: F.col("product"),
     "country_code": lambda: F.col("country_code"),
@@ -107,8 +107,6 @@ FACETS = {
     "waf": lambda: F.col("http_waf"),
 }
 ARRAY_FACETS = {"technology": lambda: F.col("http_components")}
-FACET_SOURCES = ("ip", "hostnames", "asn", "port", "org_normalised", "product", "country_code",
-                 "country_name", "region_code", "city", "http_waf", "http_components")
 CLASSIFICATION_FACETS = ("host", "asn", "port", "org")
 SIGNAL_FACETS = ("host", "port", "product", "country_code", "country_name", "region_code", "city",
                  "waf", "technology")
@@ -126,13 +124,17 @@ def entity_facets(hosts: DataFrame, names=None, rows: int | None = None) -> Data
     listed = [name for name in names if name in ARRAY_FACETS]
     if len(listed) > 1:
         raise ValueError("places tell one array facet only")
-    values = F.array(*[FACETS[name]() for name in plain]).cast("array<string>")
+    # Rows are dealt with their values alone: of an address or the first hostname, one.
+    narrow = hosts.select("entity_domain", F.col("ip").isNotNull().alias("has_ip"),
+                          *[FACETS[name]().alias(name) for name in plain],
+                          *[ARRAY_FACETS[name]().alias(name) for name in listed])
+    values = F.array(*[F.col(name).cast("string") for name in plain]).cast("array<string>")
     for name in listed:
-        values = F.concat(values, F.coalesce(ARRAY_FACETS[name](), F.array().cast("array<string>")))
+        values = F.concat(values, F.coalesce(F.col(name), F.array().cast("array<string>")))
 
     def counted(some: DataFrame) -> DataFrame:
         # A facet is its place among the names, the array facet last, until rows are counted.
-        placed = some.select("entity_domain", F.col("ip").isNotNull().cast("int").alias("has_ip"),
+        placed = some.select("entity_domain", F.col("has_ip").cast("int").alias("has_ip"),
                              F.posexplode(values).alias("place", "value"))
         facet = F.element_at(literals([*plain, *listed]), F.col("place") + 1).alias("facet")
         return (placed.filter("value is not null")
@@ -143,11 +145,10 @@ def entity_facets(hosts: DataFrame, names=None, rows: int | None = None) -> Data
     # At most one in HOT_ROWS of the rows.
     hot = F.broadcast(hosts.groupBy("entity_domain").agg(F.count(F.lit(1)).alias("n"))
                       .filter(F.col("n") > HOT_ROWS).select("entity_domain"))
-    used = [c for c in FACET_SOURCES if c in hosts.columns]
-    ordinary = hosts.select("entity_domain", *used).join(hot, "entity_domain", "left_anti")
+    ordinary = narrow.join(hot, "entity_domain", "left_anti")
     # A number that is given stays: partitions put together by size would not fit a task's memory.
     tasks = max(-(-rows // TASK_ROWS), hosts.sparkSession.sparkContext.defaultParallelism) if rows else None
-    return counted(hosts.join(hot, "entity_domain", "left_semi")).unionByName(
+    return counted(narrow.join(hot, "entity_domain", "left_semi")).unionByName(
         counted(ordinary.repartition(*([tasks] if tasks else []), "entity_domain")))
 
 

@@ -2,8 +2,9 @@
 
 The joined texts and arrays of the account tables are one value per entity, as published. An entity
 with very many names is better read from here: it is many rows, written by many tasks, and a reader
-takes the chunks that it needs. Values are placed in a global order, so the place of a value within
-its entity is a difference of two places and no task sees a whole entity.
+takes the chunks that it needs. Values of ordinary entities are shuffled once. Those of an entity with
+more than ``HOT_ROWS`` are placed in a global order, so the place of a value within its entity is a
+difference of two places and no task sees a whole hot entity.
 """
 
 from __future__ import annotations
@@ -13,9 +14,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from estatelens.operators.entities import of_interest
+from estatelens.operators.entities import HOT_ROWS, of_interest
 from estatelens.operators.ranking import with_position
 
 CHUNK = 1_000
@@ -27,8 +28,14 @@ def entity_lists(facets: DataFrame, names=LISTED, size: int = CHUNK) -> DataFram
     """(entity_domain, facet, chunk, n, values): the values of each facet in order, ``size`` a row,
     chunks counted from 0."""
     key = ["entity_domain", "facet"]
-    rows = of_interest(facets, names).select(*key, "value")
-    placed = with_position(rows, [*key, "value"], "place", start=0)
+    rows = of_interest(facets, names).select(*key, "value").where("entity_domain is not null")
+    hot = F.broadcast(rows.groupBy("entity_domain").agg(F.count(F.lit(1)).alias("n"))
+                      .where(F.col("n") > HOT_ROWS).select("entity_domain"))
+    # Values of ordinary entities are numbered where they meet; those of hot ones over all tasks.
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("value"))
+    ordinary = rows.join(hot, "entity_domain", "left_anti").select(
+        *key, F.floor((place - 1) / size).alias("chunk"), "value")
+    placed = with_position(rows.join(hot, "entity_domain", "left_semi"), [*key, "value"], "place", start=0)
     first = placed.groupBy(*key).agg(F.min("place").alias("first"))
     chunked = placed.join(first, key).select(
         *key, F.floor((F.col("place") - F.col("first")) / size).alias("chunk"), "value")
@@ -65,8 +72,8 @@ def entity_lists(facets: DataFrame, names=LISTED, size: int = CHUNK) -> DataFram
         if held:
             yield chunks(pa.Table.from_batches(held), np.zeros(1, np.int64))
 
-    return (chunked.repartition(*key, "chunk").sortWithinPartitions(*key, "chunk", "value")
-            .mapInArrow(cut, LISTS))
+    dealt = chunked.repartition(*key, "chunk").sortWithinPartitions(*key, "chunk", "value")
+    return ordinary.mapInArrow(cut, LISTS).unionByName(dealt.mapInArrow(cut, LISTS))
 
 
 def leading(lists: DataFrame, facet: str, items: int, size: int = CHUNK) -> DataFrame:

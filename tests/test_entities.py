@@ -142,6 +142,35 @@ def test_lists_of_a_hot_entity_are_many_rows(spark):
         assert got == {"a.com": ["a", "b", "c"][:items], "hot.com": [f"name {i:07d}" for i in range(items)]}
 
 
+def test_only_hot_entities_are_placed_in_a_global_order(spark, monkeypatch):
+    placed = []
+    monkeypatch.setattr(lists, "HOT_ROWS", 5, raising=False)
+    monkeypatch.setattr(lists, "with_position", lambda df, *a, real=lists.with_position, **k: (
+        placed.extend(r.entity_domain for r in df.collect()), real(df, *a, **k))[1])
+    facets = spark.createDataFrame(
+        [(e, "org", f"{e}{i}", 1, 1) for e, n in (("a", 4), ("b", 9), (None, 2)) for i in range(n)],
+        "entity_domain string, facet string, value string, n long, n_with_ip long")
+    got = {(r.entity_domain, r.chunk): r["values"] for r in lists.entity_lists(facets, size=3).collect()}
+    assert got == {("a", 0): ["a0", "a1", "a2"], ("a", 1): ["a3"],
+                   **{("b", k): [f"b{i}" for i in range(3 * k, 3 * k + 3)] for k in range(3)}}
+    assert set(placed) == {"b"}
+
+
+def test_hosts_are_dealt_with_values_alone(spark):
+    """Neither the hostnames nor an address beside its value are shuffled to count facets."""
+    found = hosts(spark, [
+        {"primary_domain": "a.com", "ip": None, "hostnames": ["x.a.com", "y"], "port": 8},
+        {"primary_domain": "a.com", "ip": "1", "hostnames": ["z"]}])
+    facets = entities.entity_facets(found)
+    assert {(r.value, r.n, r.n_with_ip) for r in facets.where("facet = 'host'").collect()} == {
+        ("x.a.com", 1, 0), ("1", 1, 1)}
+    assert {r.value for r in facets.where("facet = 'port'").collect()} == {"8", "80"}
+    plan = facets._jdf.queryExecution().optimizedPlan().toString()
+    dealt = [line for line in plan.split("\n") if "RepartitionByExpression" in line]
+    below = plan.split("\n")[plan.split("\n").index(dealt[0]):]
+    assert any("Project" in line and "AS host" in line and "hostnames" in line for line in below)
+
+
 def test_chunks_are_cut_without_python_values(spark):
     """Chunks that start and end anywhere in a batch, also over several batches."""
     import inspect
