@@ -6,7 +6,7 @@ minimizer; a run and the n - 1 items behind it are its segment. Only equal minim
 
 1. of equal texts the one with the smallest doc_id goes on; the others lose all they have;
 2. minimizers are counted (per slice of text first, then over all); those of one document only are
-   done with, and with them most of the text;
+   done with, and with them most of the text: a Bloom filter of the others goes to every task;
 3. segments with a shared minimizer are dealt to blocks by minimizer. Within a block equal segments
    become one, with the smallest doc_id that has it: every other holder loses all its windows. The
    different segments are compared by the operator's own method, which says which of their windows
@@ -33,6 +33,7 @@ from estatelens.llm.rules import fresh_name
 from estatelens.session import written
 
 BROADCAST_LONGS = 4_000_000      # a list of this many longs (32 MB) at most is broadcast
+FILTER_LOG, SLICE_LOG = 26, 15   # a filter has at most 64 MB, its slices have 256 KB
 HOT_SEGMENTS = 20_000            # segments of one minimizer dealt to one block
 WHOLE = -1                       # as the end of a span: the whole text
 RESULT = T.StructType([
@@ -194,11 +195,53 @@ def _minimizers(docs: DataFrame, search: Search) -> DataFrame:
     return docs.mapInArrow(run, "m bigint, docs bigint, runs bigint")
 
 
-def _segments(docs: DataFrame, search: Search) -> DataFrame:
+def _bits(keys: np.ndarray, log: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each key the word of a filter of 1 << ``log`` bytes, and its three bits in that word."""
+    h = words.mix(keys.view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15))
+    one, low = np.uint64(1), np.uint64(63)
+    mask = (one << (h & low)) | (one << (h >> np.uint64(6) & low)) | (one << (h >> np.uint64(12) & low))
+    return (h >> np.uint64(64 - (log - 3))).astype(np.int64), mask
+
+
+def _filter(keys: DataFrame, n: int) -> tuple[int, bytes]:
+    """(log, bits): a Bloom filter of the ``n`` keys ``m``, with 2 to 4 bytes a key, at most
+    1 << ``FILTER_LOG``. It holds every key; others that it lets through cost room and nothing else."""
+    log = min(max(10, (2 * n - 1).bit_length()), FILTER_LOG)
+    inner = min(log - 3, SLICE_LOG)      # words of a slice, which one task fills
+
+    def placed(batches):
+        for batch in batches:
+            at, mask = _bits(batch.column("m").to_numpy(zero_copy_only=False), log)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((at >> inner).astype(np.int32)), pa.array((at & ((1 << inner) - 1)).astype(np.int32)),
+                 pa.array(mask.view(np.int64))], ["part", "at", "mask"])
+
+    def filled(table: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << inner, np.uint64)
+        np.bitwise_or.at(bits, table["at"].to_numpy(), table["mask"].to_numpy().view(np.uint64))
+        return pa.table({"part": table["part"].slice(0, 1), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    slices = (keys.select("m").mapInArrow(placed, "part int, at int, mask bigint").groupBy("part")
+              .applyInArrow(filled, "part int, bits binary"))
+    out = bytearray(1 << log)
+    for r in slices.collect():           # bounded by the size of the filter
+        out[r.part << inner + 3:r.part + 1 << inner + 3] = r.bits
+    return log, bytes(out)
+
+
+def _segments(docs: DataFrame, search: Search, known=None) -> DataFrame:
+    """Segments; with ``known``, a broadcast filter, those whose minimizer it lets through."""
     def run(batches):
+        if known is not None:
+            log, bits = known.value
+            bits = np.frombuffer(bits, np.uint64)
         for batch in words.slices(batches, nbytes=2 << 20):
             texts = batch.column("text")
             doc, least, first, start, count = runs(search, texts)
+            if known is not None and len(doc):
+                at, mask = _bits(least, log)
+                through = bits[at] & mask == mask
+                doc, least, first, start, count = (x[through] for x in (doc, least, first, start, count))
             if not len(doc):
                 continue
             segment = search.items.segments(texts, first, count + search.n - 1)
@@ -301,11 +344,16 @@ def spans(docs: DataFrame, search: Search) -> DataFrame:
     cool = shared.where(F.col("runs") <= search.hot_segments)
     n_segments = cool.agg(F.sum("runs")).first()[0] or 0
     n_blocks = max(1, -(-n_segments // search.block_segments))
-    segments = _segments(docs, search)
-    found = _in_blocks(_among(segments, cool.select("m")), search, n_blocks)
+    # A segment that nobody shares meets nothing equal, so a filter may stand for the list: it is small
+    # enough to look things up before a segment is cut, however long the list.
+    known = docs.sparkSession.sparkContext.broadcast(_filter(shared, shared.count()))
+    segments = _segments(docs, search, known)
     hot = shared.where(F.col("runs") > search.hot_segments).select("m")
-    if not hot.isEmpty():
-        found = found.unionByName(_one_by_one(_among(segments, hot), search))
+    if hot.isEmpty():
+        found = _in_blocks(segments, search, n_blocks)
+    else:
+        found = _in_blocks(_among(segments, hot, "left_anti"), search, n_blocks).unionByName(
+            _one_by_one(_among(segments, hot), search))
     whole = copies.select("doc_id", "tie", F.lit(0).cast("bigint").alias("b"),
                           F.lit(WHOLE).cast("bigint").alias("e"))
     return (found.unionByName(whole).groupBy("doc_id", "tie")

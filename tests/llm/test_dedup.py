@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from estatelens.llm import components, neardup, substring, suffixes
+from estatelens.llm import components, neardup, shared, substring, suffixes
 from tests.llm.cases import SCHEMA, VOCABULARY, frame, hard_texts, prose, windows_kept
 
 
@@ -178,3 +178,19 @@ def test_components(spark):
     got = {r.id: r.component for r in components.components(
         spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(1, 21)}, 50: 40, 60: 40, 71: 70}
+
+
+def test_segments_that_nobody_shares_are_not_cut(spark):
+    """A filter holds every key and few others; segments are looked up before they leave Python."""
+    keys = spark.range(0, 200_000, 2).selectExpr("xxhash64(id) as m")
+    log, bits = shared._filter(keys, keys.count())
+    known = np.frombuffer(bits, np.uint64)
+    every = np.array([r.m for r in spark.range(200_000).selectExpr("xxhash64(id) as m").collect()], np.int64)
+    at, mask = shared._bits(every, log)
+    through = known[at] & mask == mask
+    assert through[::2].all() and through[1::2].mean() < 0.02
+    docs = spark.createDataFrame([(i, "".join(chr(97 + (i * 7919 + k * k * (i + 3)) % 26) for k in range(400)), i)
+                                  for i in range(20)], "doc_id long, text string, tie long")
+    none = shared._filter(keys.limit(0), 0)
+    assert shared._segments(docs, suffixes.SEARCH).count() > 0
+    assert shared._segments(docs, suffixes.SEARCH, spark.sparkContext.broadcast(none)).count() == 0
